@@ -46,13 +46,14 @@ def mean_half_up(total: Column, count: Column, scale: int = 2) -> Column:
     return half_up_div(units, count).cast("double") / F.lit(float(10 ** scale))
 
 
-def pct_half_up(part: Column, whole: Column, scale: int = 1) -> Column:
-    """``ROUND(100 * part / whole, scale)`` for integer or DECIMAL inputs.
+def pct_half_up(part: Column, whole: Column, scale: int = 1, in_scale: int = 0) -> Column:
+    """``ROUND(100 * part / whole, scale)``, exact, as DOUBLE.
 
-    ``part`` and ``whole`` must share their scale (counts, or money of the
-    same DECIMAL type).
+    ``part`` and ``whole`` are integers, or DECIMALs with ``in_scale``
+    fraction digits; both are moved to integer minor units first.
     """
     factor = 10 ** scale
-    num = (part * F.lit(100 * factor)).cast("decimal(38,0)").cast("long")
-    den = whole.cast("decimal(38,0)").cast("long")
+    unit = 10 ** in_scale
+    num = (part * F.lit(unit * 100 * factor)).cast("decimal(38,0)").cast("long")
+    den = (whole * F.lit(unit)).cast("decimal(38,0)").cast("long")
     return half_up_div(num, den).cast("double") / F.lit(float(factor))

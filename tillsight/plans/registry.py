@@ -1,7 +1,9 @@
 """Registered queries: one per operator, bound to the driver's tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose column
-names and types match the DuckDB twin in ``tillsight.plans.oracle``.
+names and types match the DuckDB twin in ``tillsight.plans.oracle``. Final
+casts (DECIMAL(18,2) money, BIGINT counts, DOUBLE ratios) are the only thing
+added on top of the operators.
 """
 
 from __future__ import annotations
@@ -11,29 +13,271 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.operators import dims, facts, forecast, profile, recommend, segment, stated
 from tillsight.operators.calendar import calendar_dim
 from tillsight.operators.weekday import weekday_mean
 from tillsight.plans import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Forecast setup for the TPC-H dates (1995-01 .. 2001-08).
+TRAIN_END = "2000-12"
+TEST_MONTHS = ("2001-01", "2001-02", "2001-03")
+WINDOW = 3
+# Segmentation: categories are the 25 brands.
+MIN_CATEGORIES = 23
+TOP_N = 10
+# Recommendation: reference product id and list length.
+REFERENCE_PRODUCT = 7
+SIMILAR_N = 5
+# Reference date for the future-dated count (never current_date in a test).
+AS_OF = "2001-06-30"
 
-def _calendar(spark: SparkSession, d: str) -> DataFrame:
+
+def _money(df: DataFrame, *cols: str, scale: int = 2) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast(f"decimal(18,{scale})"))
+    return df
+
+
+def _long(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("long"))
+    return df
+
+
+def _calendar(spark, d):
     return calendar_dim(B.orders(spark, d), "placed_at",
                         others=[(B.returns(spark, d), "created_at")])
 
 
+def _order_fact(spark, d):
+    return facts.order_fact(B.orders(spark, d), channel_labels=B.PRIORITY_LABELS,
+                            status_labels=B.STATUS_LABELS,
+                            realised_statuses=B.REALISED_STATUSES)
+
+
+def _item_fact(spark, d):
+    return facts.order_item_fact(B.order_items(spark, d), B.orders(spark, d),
+                                 realised_statuses=B.REALISED_STATUSES)
+
+
+def _return_fact(spark, d):
+    return facts.return_fact(B.return_items(spark, d), B.returns(spark, d), B.orders(spark, d),
+                             action_labels=B.ACTION_LABELS,
+                             empty_values=B.PRIORITY_EMPTY_VALUES, rules=B.PRIORITY_RULES,
+                             default=B.PRIORITY_DEFAULT)
+
+
+def _product_dim(spark, d):
+    return dims.product_dim(B.product_variants(spark, d), B.products(spark, d),
+                            B.categories(spark, d), B.brands(spark, d))
+
+
+def _series(spark, d):
+    return forecast.monthly_demand(B.order_items(spark, d), B.orders(spark, d),
+                                   B.product_variants(spark, d), B.products(spark, d))
+
+
+def _forecast(spark, d):
+    return forecast.moving_average_forecast(_series(spark, d), TRAIN_END, TEST_MONTHS, WINDOW)
+
+
+def _pairs(spark, d):
+    return recommend.purchase_pairs(B.order_items(spark, d), B.orders(spark, d),
+                                    B.product_variants(spark, d))
+
+
+# --- calendar and dimensions ------------------------------------------------
 def q_calendar_dim(spark, d):
     return _calendar(spark, d)
 
 
+def q_customer_dim(spark, d):
+    return dims.customer_dim(B.customers(spark, d), B.addresses(spark, d),
+                             person_type_labels=B.SEGMENT_LABELS)
+
+
+def q_product_dim(spark, d):
+    return _money(_product_dim(spark, d), "sale_price", "cost_price", "gross_margin")
+
+
+def q_location_dim(spark, d):
+    return dims.location_dim(B.locations(spark, d), type_labels=B.NATION_TYPE_LABELS)
+
+
+def q_unknown_member_dim(spark, d):
+    return dims.employee_dim(B.employees(spark, d))
+
+
+# --- facts ------------------------------------------------------------------
+def q_order_fact(spark, d):
+    return _order_fact(spark, d)
+
+
+def q_order_item_fact(spark, d):
+    return _item_fact(spark, d)
+
+
+def q_return_fact(spark, d):
+    out = _return_fact(spark, d)
+    return _money(out, "refund_value", scale=5)
+
+
+def q_clean_text_key(spark, d):
+    from tillsight.functions.text import normalise_key
+    r = B.returns(spark, d)
+    return r.select(F.col("id").alias("return_id"), F.col("reason").alias("reason_original"),
+                    normalise_key(F.col("reason")).alias("reason_key"))
+
+
+def q_rule_categorise(spark, d):
+    from tillsight.functions.text import categorise, matched_any_rule, normalise_key
+    r = B.returns(spark, d)
+    g = r.groupBy(F.col("reason").alias("reason_original")).agg(
+        F.count(F.lit(1)).alias("returns"))
+    k = normalise_key(F.col("reason_original"))
+    return g.select("reason_original", k.alias("reason_key"),
+                    categorise(k, B.PRIORITY_EMPTY_VALUES, B.PRIORITY_RULES, B.PRIORITY_DEFAULT)
+                    .alias("reason"),
+                    matched_any_rule(k, B.PRIORITY_EMPTY_VALUES, B.PRIORITY_RULES).alias("matched"),
+                    F.col("returns").cast("long").alias("returns"))
+
+
+def q_changed_flag(spark, d):
+    f = _return_fact(spark, d)
+    return (f.groupBy("reason", "reason_changed")
+            .agg(F.count(F.lit(1)).cast("long").alias("items")))
+
+
+# --- profiling --------------------------------------------------------------
+def q_table_overview(spark, d):
+    from tillsight.sources.tables import read_table
+    return profile.table_overview(read_table(spark, d, "orders"), "o_orderdate")
+
+
+def q_numeric_distribution(spark, d):
+    out = profile.numeric_distribution(B.orders(spark, d), "total")
+    return _money(out, "min_value", "max_value")
+
+
+def q_column_profile(spark, d):
+    out = profile.column_profile(B.orders(spark, d))
+    return out.select("ordinal", "column", "row_count", "null_count", "distinct_count")
+
+
+def q_null_pattern(spark, d):
+    return profile.null_pattern(B.orders(spark, d), "channel", "salesperson_id")
+
+
+def q_share_of_total(spark, d):
+    return _money(profile.share_of_total(B.orders(spark, d), "status", "total"), "value_sum")
+
+
+def q_yearly_future(spark, d):
+    return profile.yearly_future(B.orders(spark, d), "created_at", as_of=AS_OF)
+
+
+def q_integrity_panel(spark, d):
+    return profile.integrity_panel(
+        B.orders_with_item_totals(spark, d),
+        {"duplicate_ids": ["id"], "duplicate_numbers": ["order_number"],
+         "duplicate_customer_days": ["customer_id", "created_at"]},
+        profile.order_checks())
+
+
+def q_iqr_outliers(spark, d):
+    return profile.iqr_outliers(B.orders(spark, d), "total")
+
+
+# --- business analyses ------------------------------------------------------
 def q_weekday_mean(spark, d):
     out = weekday_mean(B.orders(spark, d), _calendar(spark, d), channel=B.IN_STORE_CHANNEL)
-    return out.withColumn("total_sold", F.col("total_sold").cast("decimal(18,2)"))
+    return _money(out, "total_sold")
+
+
+def q_elite_customers(spark, d):
+    out = segment.elite_customers(B.orders(spark, d), B.order_items(spark, d),
+                                  B.product_variants(spark, d), B.products(spark, d),
+                                  min_categories=MIN_CATEGORIES, n=TOP_N,
+                                  category_col="brand_id")
+    return _money(out, "revenue")
+
+
+def q_elite_category_mix(spark, d):
+    out = segment.elite_category_mix(B.orders(spark, d), B.order_items(spark, d),
+                                     B.product_variants(spark, d), B.products(spark, d),
+                                     B.brands(spark, d), min_categories=MIN_CATEGORIES, n=TOP_N,
+                                     category_col="brand_id")
+    return _long(out, "items_bought", "orders_involved")
+
+
+# --- time series ------------------------------------------------------------
+def q_monthly_demand(spark, d):
+    return _series(spark, d)
+
+
+def q_moving_average_forecast(spark, d):
+    return _forecast(spark, d).select("name", "month", "forecast", "window_units")
+
+
+def q_forecast_evaluation(spark, d):
+    ev = forecast.forecast_evaluation(_series(spark, d), _forecast(spark, d))
+    return forecast.forecast_summary(ev)
+
+
+# --- recommendation ---------------------------------------------------------
+def q_purchase_pairs(spark, d):
+    return _pairs(spark, d)
+
+
+def q_item_cosine(spark, d):
+    return recommend.item_cosine(_pairs(spark, d))
+
+
+def q_similar_items_topn(spark, d):
+    return recommend.similar_items(_pairs(spark, d), REFERENCE_PRODUCT, SIMILAR_N,
+                                   B.products(spark, d))
+
+
+def q_name_resolution(spark, d):
+    return recommend.name_resolution(B.products(spark, d))
+
+
+def q_matrix_density(spark, d):
+    return recommend.matrix_summary(_pairs(spark, d))
+
+
+# --- stated reports ---------------------------------------------------------
+def q_revenue_summary(spark, d):
+    f = facts.order_fact(B.orders_with_item_totals(spark, d),
+                         realised_statuses=B.REALISED_STATUSES)
+    return _money(stated.revenue_summary(f), "total_all", "revenue_realised")\
+        .withColumn("discount_realised", F.col("discount_realised").cast("decimal(18,4)"))
+
+
+def q_category_mix(spark, d):
+    out = stated.category_mix(_item_fact(spark, d), _product_dim(spark, d))
+    return _money(out, "revenue")
+
+
+def q_returns_by_reason(spark, d):
+    return _money(stated.returns_by_reason(_return_fact(spark, d)), "refund_value", scale=5)
+
+
+def q_channel_location_crosstab(spark, d):
+    return stated.channel_location_crosstab(_order_fact(spark, d),
+                                            dims.location_dim(B.locations(spark, d)))
+
+
+def q_item_order_reconcile(spark, d):
+    out = stated.item_order_reconcile(B.order_items(spark, d), B.orders(spark, d), "total")
+    return _money(out, "abs_difference")
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "calendar_dim": q_calendar_dim,
-        "weekday_mean": q_weekday_mean,
-    }
+    out: dict[str, Query] = {}
+    for name, fn in list(globals().items()):
+        if name.startswith("q_") and callable(fn):
+            out[name[2:]] = fn
+    return out
