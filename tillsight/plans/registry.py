@@ -275,6 +275,63 @@ def q_item_order_reconcile(spark, d):
     return _money(out, "abs_difference")
 
 
+# --- ingestion --------------------------------------------------------------
+# Role tables rendered as text, as a CSV export of them would read.
+INFER_TABLES = {
+    "orders": B.orders,
+    "order_items": B.order_items,
+    "customers": B.customers,
+    "product_variants": B.product_variants,
+    "returns": B.returns,
+}
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def _text_tables(spark, d):
+    return {name: _as_text(fn(spark, d)) for name, fn in INFER_TABLES.items()}
+
+
+def q_infer_types(spark, d):
+    from tillsight.sources.infer import infer_schema
+    return infer_schema(_text_tables(spark, d))
+
+
+def q_key_candidates(spark, d):
+    from tillsight.sources.infer import infer_schema, key_candidates
+    return key_candidates(infer_schema(_text_tables(spark, d)))
+
+
+def _export_csv(spark, d) -> dict[str, str]:
+    """Write the role tables as CSV datasets under a fresh folder of the
+    shared directory; returns table -> path."""
+    from tillsight.session import new_run_dir
+    from tillsight.sources.csv_files import write_csv
+    root = new_run_dir(spark, "csv-export")
+    paths = {}
+    for name, fn in INFER_TABLES.items():
+        path = f"{root}/{name}.csv"
+        write_csv(fn(spark, d), path)
+        paths[name] = path
+    return paths
+
+
+def q_csv_validation(spark, d):
+    from tillsight.sources.csv_files import validate_csv
+    return validate_csv(spark, list(_export_csv(spark, d).values())).drop("path", "content_hash")
+
+
+def q_load_reconcile(spark, d):
+    from tillsight.session import new_run_dir
+    from tillsight.sources.load import load_run
+    paths = _export_csv(spark, d)
+    report, _ = load_run(spark, list(paths.values()), new_run_dir(spark, "raw-load"),
+                         expected=list(paths))
+    return report
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name, fn in list(globals().items()):
