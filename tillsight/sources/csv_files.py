@@ -51,7 +51,9 @@ def header(spark: SparkSession, path: str) -> list[str]:
 def read_text_table(spark: SparkSession, path: str, columns: list[str] | None = None,
                     multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """All-text frame of one CSV file; columns are matched to the header by
-    name (``enforceSchema=False``), ragged records fail the read."""
+    name (``enforceSchema=False``). Ragged records fail any action that
+    parses every field (a load does); a bare ``count()`` parses none, so use
+    ``validate_csv`` to count offenders."""
     cols = columns or header(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
     df = (_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
