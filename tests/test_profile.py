@@ -79,5 +79,14 @@ def test_iqr_outliers(spark):
     r = profile.iqr_outliers(df, "total").first()
     assert (r["q1"], r["q3"], r["iqr"]) == (3.0, 7.0, 4.0)
     assert r["upper_fence"] == 13.0 and r["lower_fence"] == -3.0 and r["outliers"] == 1
-    approx = profile.iqr_outliers(df, "total", approx=True).first()
-    assert approx["outliers"] == 1
+    for method in ("approx", "single"):
+        assert profile.iqr_outliers(df, "total", method=method).first()["outliers"] == 1
+
+
+def test_exact_quantiles_with_a_hot_value(spark):
+    from tillsight.operators.quantiles import exact_quantiles
+    vals = [float(v) for v in range(1, 301)] + [7.0] * 150
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = exact_quantiles(df, "v", [0.25, 0.5, 0.75], buckets=16).first()
+    import numpy as np
+    assert list(got) == [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]

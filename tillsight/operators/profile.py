@@ -4,10 +4,12 @@ Every operator is one or two aggregates over the table: partial aggregation
 runs per partition, so the shuffle carries one row per partition (per group
 for grouped panels), never the rows themselves.
 
-Exact quartiles use Spark's ``percentile`` (PostgreSQL's ``percentile_cont``):
-its buffer holds one entry per *distinct* value, merged across partitions.
-For columns with billions of distinct values pass ``approx=True``
-(``percentile_approx``, bounded sketch, relative rank error 1/accuracy).
+Quartiles are PostgreSQL's ``percentile_cont``. ``method="exact"`` (default)
+uses the distributed exact algorithm of ``tillsight.operators.quantiles``;
+``"single"`` is Spark's built-in ``percentile`` (exact, but every distinct
+value meets in one task: fine for small domains); ``"approx"`` is
+``percentile_approx`` (bounded sketch, relative rank error 1/accuracy).
+Quantiles enter the result as scalar subqueries of one row.
 """
 
 from __future__ import annotations
@@ -19,13 +21,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import mean_half_up, pct_half_up
+from tillsight.operators.quantiles import exact_quantiles
 
 
-def _quantiles(col: Column, probs: Sequence[float], approx: bool, accuracy: int) -> Column:
-    x = col.cast("double")
-    if approx:
-        return F.percentile_approx(x, list(probs), accuracy)
-    return F.percentile(x, F.array(*[F.lit(p) for p in probs]))
+def quantile_columns(df: DataFrame, col: str, probs: Sequence[float], method: str = "exact",
+                     accuracy: int = 10000) -> list[Column]:
+    """Scalar-subquery columns holding the continuous quantiles of ``col``."""
+    if method == "exact":
+        q = exact_quantiles(df, col, probs)
+        # One subquery for all probabilities, indexed afterwards.
+        arr = q.select(F.array(*[F.col(f"q{i}") for i in range(len(probs))])).scalar()
+        return [arr[i] for i in range(len(probs))]
+    x = F.col(col).cast("double")
+    if method == "approx":
+        arr = df.select(F.percentile_approx(x, list(probs), accuracy).alias("a"))
+    elif method == "single":
+        arr = df.select(F.percentile(x, F.array(*[F.lit(p) for p in probs])).alias("a"))
+    else:
+        raise ValueError(f"unknown quantile method {method!r}")
+    one = arr.select("a").scalar()
+    return [one[i] for i in range(len(probs))]
 
 
 def table_overview(df: DataFrame, ts_col: str) -> DataFrame:
@@ -38,21 +53,21 @@ def table_overview(df: DataFrame, ts_col: str) -> DataFrame:
     )
 
 
-def numeric_distribution(df: DataFrame, col: str, approx: bool = False,
+def numeric_distribution(df: DataFrame, col: str, method: str = "exact",
                          accuracy: int = 10000) -> DataFrame:
     """Min, max, rounded mean, Q1, median, Q3, rounded sample stddev.
 
     ``col`` is exact money (DECIMAL); the mean is rounded half-up exactly.
     """
     c = F.col(col)
-    q = _quantiles(c, (0.25, 0.5, 0.75), approx, accuracy)
+    q1, med, q3 = quantile_columns(df, col, (0.25, 0.5, 0.75), method, accuracy)
     agg = df.agg(F.min(c).alias("min_value"), F.max(c).alias("max_value"),
                  F.sum(c).alias("_sum"), F.count(c).alias("_n"),
-                 q.alias("_q"), F.stddev_samp(c.cast("double")).alias("_sd"))
+                 F.stddev_samp(c.cast("double")).alias("_sd"))
     return agg.select(
         "min_value", "max_value",
         mean_half_up(F.col("_sum"), F.col("_n")).alias("mean_value"),
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
+        q1.alias("q1"), med.alias("median"), q3.alias("q3"),
         F.round(F.col("_sd"), 2).alias("stddev"),
     )
 
@@ -151,15 +166,14 @@ def integrity_panel(df: DataFrame, unique_keys: Mapping[str, Sequence[str]],
     return df.agg(*aggs)
 
 
-def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, approx: bool = False,
+def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
     """Quartiles, IQR, Tukey fences and the number of rows outside.
 
-    The quartiles are one scalar subquery (a single row, computed once);
-    the outlier count is a second, purely map-side aggregate over the column.
+    The quartiles are scalar subqueries (one row, computed once); the
+    outlier count is a second, purely map-side aggregate over the column.
     """
-    q = df.select(_quantiles(F.col(col), (0.25, 0.75), approx, accuracy)).scalar()
-    q1, q3 = q[0], q[1]
+    q1, q3 = quantile_columns(df, col, (0.25, 0.75), method, accuracy)
     iqr = q3 - q1
     lower, upper = q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
     x = F.col(col).cast("double")

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.session import materialize
+
 
 class ProductNameError(ValueError):
     pass
@@ -79,7 +81,7 @@ def resolve_product(products: DataFrame, name: str) -> int:
 
 
 def similar_items(pairs: DataFrame, reference: int, n: int = 5,
-                  products: DataFrame | None = None) -> DataFrame:
+                  products: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
     """U32: the ``n`` products most similar to ``reference`` (itself
     excluded), with similarity rounded to 4 places, common buyers and own
     buyers. Ties go to the lower id. Products sharing no buyer are
@@ -87,8 +89,11 @@ def similar_items(pairs: DataFrame, reference: int, n: int = 5,
     ``n`` overlap. A reference nobody bought yields an empty ranking.
 
     The co-count is the reference's buyer list joined back to the pairs and
-    counted per product: linear in the data.
+    counted per product: linear in the data. The pairs feed three branches,
+    so they are checkpointed once (``checkpoint=False`` keeps them lazy).
     """
+    if checkpoint:
+        pairs = materialize(pairs)
     ref_buyers = pairs.filter(F.col("product_id") == F.lit(reference)).select("customer_id")
     n_ref = ref_buyers.select(F.count(F.lit(1))).scalar()
     common = (pairs.join(ref_buyers, "customer_id")
@@ -178,10 +183,13 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
     return partial.groupBy("product_a", "product_b").agg(F.sum("common").alias("common_buyers"))
 
 
-def item_cosine(pairs: DataFrame, **tiling) -> DataFrame:
+def item_cosine(pairs: DataFrame, checkpoint: bool = True, **tiling) -> DataFrame:
     """Cosine similarity of every product pair (a < b) sharing at
     least one buyer; pairs with no common buyer have similarity 0 and are
-    not listed."""
+    not listed. The pairs feed the tiled product and both buyer counts, so
+    they are checkpointed once (``checkpoint=False`` keeps them lazy)."""
+    if checkpoint:
+        pairs = materialize(pairs)
     co = co_counts(pairs, **tiling)
     buyers = product_buyers(pairs)
     ba = buyers.select(F.col("product_id").alias("product_a"), F.col("buyers").alias("buyers_a"))

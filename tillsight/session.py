@@ -75,3 +75,15 @@ def new_run_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used where one derived frame feeds several branches of a plan (Spark
+    does not reuse those exchanges): it is computed once, written to
+    ``spark.checkpoint.dir``, and a lost executor re-reads it instead of
+    recomputing its joins. Never a local checkpoint.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
