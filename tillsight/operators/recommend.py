@@ -11,11 +11,12 @@ Two ways to get the co-counts:
 * all product pairs (``item_cosine``): a tiled sparse matrix product.
   Products are hashed into ``T`` tiles and customers into ``B`` blocks; every
   pair entry is copied to the ``T`` tile pairs that involve its tile, and
-  each (tile, tile, block) group multiplies two dense 0/1 matrices with numpy
-  (``A^T B``) inside ``applyInPandas``. Partial counts are summed by Spark
-  across blocks. A group holds at most two product tiles of one customer
-  block, so neither a huge basket nor a best-selling product makes one task
-  unbounded, and per-basket pair lists are never produced.
+  each (tile, tile, block) group accumulates its block of ``A^T B`` (A the
+  0/1 customer x product matrix) into a tile x tile count array with numpy
+  inside ``applyInPandas``. Partial counts are summed by Spark across
+  blocks. A group holds at most two product tiles of one customer block, so
+  neither a huge basket nor a best-selling product makes one task unbounded,
+  and no pair list ever leaves a task.
 """
 
 from __future__ import annotations
@@ -118,51 +119,77 @@ def similar_items(pairs: DataFrame, reference: int, n: int = 5,
                       "common_buyers", "buyers")
 
 
+# Pair slots generated per chunk inside one tile group (bounds task memory).
+_CHUNK_PAIRS = 4_000_000
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted keys with the start and length of each run."""
+    uniq, start, length = np.unique(keys, return_index=True, return_counts=True)
+    return uniq, start, length
+
+
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     """Co-counts of one (tile i, tile j, customer block) group.
 
-    Builds 0/1 matrices customers x products of each tile and multiplies
-    them; float32 counts are exact below 2^24 customers per block.
+    For every customer of the block, the products it bought in tile i and in
+    tile j form a small outer product; all of them are accumulated at once
+    into a dense ``|tile i| x |tile j|`` count array with ``bincount``,
+    customer chunk by customer chunk. Work is the number of co-occurrences,
+    memory the tile size squared plus one chunk; nothing per pair leaves the
+    task, only the summed counts.
     """
     ti, tj = int(pdf["ti"].iat[0]), int(pdf["tj"].iat[0])
+    pdf = pdf.sort_values(["customer_id", "product_id"], kind="stable")
     cust = pdf["customer_id"].to_numpy()
     prod = pdf["product_id"].to_numpy()
     tile = pdf["tile"].to_numpy()
-    _, ci = np.unique(cust, return_inverse=True)
-    nc = int(ci.max()) + 1 if len(ci) else 0
-    if ti == tj:
-        pids, pi = np.unique(prod, return_inverse=True)
-        a = np.zeros((nc, len(pids)), dtype=np.float32)
-        a[ci, pi] = 1.0
-        c = a.T @ a
-        r, k = np.triu_indices(len(pids), k=1)
-        cnt = c[r, k]
-        keep = cnt > 0
-        lo, hi, cnt = pids[r[keep]], pids[k[keep]], cnt[keep]
-    else:
-        mi, mj = tile == ti, tile == tj
-        pid_i, pi = np.unique(prod[mi], return_inverse=True)
-        pid_j, pj = np.unique(prod[mj], return_inverse=True)
-        a = np.zeros((nc, len(pid_i)), dtype=np.float32)
-        b = np.zeros((nc, len(pid_j)), dtype=np.float32)
-        a[ci[mi], pi] = 1.0
-        b[ci[mj], pj] = 1.0
-        c = a.T @ b
-        r, k = np.nonzero(c)
-        x, y, cnt = pid_i[r], pid_j[k], c[r, k]
-        lo, hi = np.minimum(x, y), np.maximum(x, y)
-    return pd.DataFrame({"product_a": lo.astype(np.int64), "product_b": hi.astype(np.int64),
-                         "common": np.rint(cnt).astype(np.int64)})
+    mi = tile == ti
+    mj = tile == tj
+    pid_i, li = np.unique(prod[mi], return_inverse=True)
+    pid_j, lj = np.unique(prod[mj], return_inverse=True)
+    ci, cj = cust[mi], cust[mj]
+    ui, si, ni = _runs(ci)
+    uj, sj, nj = _runs(cj)
+    both, ki, kj = np.intersect1d(ui, uj, assume_unique=True, return_indices=True)
+    si, ni, sj, nj = si[ki], ni[ki], sj[kj], nj[kj]
+    width = len(pid_j)
+    counts = np.zeros(len(pid_i) * width, dtype=np.int64)
+    per_customer = ni.astype(np.int64) * nj.astype(np.int64)
+    ends = np.cumsum(per_customer)
+    k0 = 0
+    while k0 < len(both):
+        base = ends[k0 - 1] if k0 else 0
+        k1 = int(np.searchsorted(ends, base + _CHUNK_PAIRS, side="right"))
+        k1 = max(k1, k0 + 1)
+        sizes = per_customer[k0:k1]
+        owner = np.repeat(np.arange(k0, k1), sizes)
+        first = np.repeat(ends[k0:k1] - sizes, sizes)
+        off = np.arange(base, ends[k1 - 1], dtype=np.int64) - first
+        a = li[si[owner] + off // nj[owner]]
+        b = lj[sj[owner] + off % nj[owner]]
+        if ti == tj:
+            keep = a < b
+            a, b = a[keep], b[keep]
+        counts += np.bincount(a * width + b, minlength=counts.size)
+        k0 = k1
+    nz = np.nonzero(counts)[0]
+    x, y = pid_i[nz // width], pid_j[nz % width]
+    return pd.DataFrame({"product_a": np.minimum(x, y).astype(np.int64),
+                         "product_b": np.maximum(x, y).astype(np.int64),
+                         "common": counts[nz]})
 
 
 def co_counts(pairs: DataFrame, product_tiles: int | None = None,
-              customer_blocks: int | None = None, tile_products: int = 1000,
-              block_customers: int = 10000) -> DataFrame:
+              customer_blocks: int | None = None, tile_products: int = 2000,
+              block_customers: int = 20000) -> DataFrame:
     """Common-buyer counts for every product pair ``a < b`` with at least one
     common buyer, via the tiled product described in the module docstring.
 
-    Tile and block counts default to sizes that keep each group's dense
-    matrices near ``block_customers x tile_products`` (one small count job).
+    Tile and block counts default to about ``tile_products`` products per
+    tile (the count array of a group is tile x tile) and ``block_customers``
+    customers per block (one small count job). Every pair entry is copied
+    once per tile, so fewer, larger tiles move less data.
     """
     if product_tiles is None or customer_blocks is None:
         n = pairs.agg(F.count_distinct("product_id").alias("p"),
@@ -180,6 +207,9 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
         F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"))
     partial = copies.groupBy("ti", "tj", "block").applyInPandas(
         _tile_product, "product_a long, product_b long, common long")
+    if b == 1:
+        # One customer block: every pair comes out of exactly one group.
+        return partial.withColumnRenamed("common", "common_buyers")
     return partial.groupBy("product_a", "product_b").agg(F.sum("common").alias("common_buyers"))
 
 
