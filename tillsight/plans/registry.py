@@ -307,13 +307,13 @@ def q_key_candidates(spark, d):
 def _export_csv(spark, d) -> dict[str, str]:
     """Write the role tables as CSV datasets under a fresh folder of the
     shared directory; returns table -> path."""
-    from tillsight.session import new_run_dir
+    from tillsight.session import new_run_dir, spread
     from tillsight.sources.csv_files import write_csv
     root = new_run_dir(spark, "csv-export")
     paths = {}
     for name, fn in INFER_TABLES.items():
         path = f"{root}/{name}.csv"
-        write_csv(fn(spark, d), path)
+        write_csv(spread(fn(spark, d)), path)
         paths[name] = path
     return paths
 
@@ -344,10 +344,13 @@ def q_incremental_load(spark, d):
     dest = new_run_dir(spark, "stream-load")
     texts = {name: read_text_table(spark, path) for name, path in paths.items()}
     catalog = infer_schema(texts)
-    reports = None
-    for name, path in paths.items():
-        q = stream_raw_load(spark, path, name, struct_from_catalog(catalog, name), dest)
+    # The five streams are independent: start them all, then wait.
+    running = [stream_raw_load(spark, path, name, struct_from_catalog(catalog, name), dest)
+               for name, path in paths.items()]
+    for q in running:
         q.awaitTermination()
+    reports = None
+    for name in paths:
         rep = batch_report(spark, dest, name)
         reports = rep if reports is None else reports.unionByName(rep)
     return reports.groupBy("table").agg(F.sum("source_rows").alias("source_rows"),

@@ -87,3 +87,15 @@ def materialize(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin ``df`` when its scan yields fewer partitions than the
+    session can run at once, before CPU-heavy per-row work (regex type
+    tests, CSV encoding). A small single-file table otherwise runs all that
+    work in one task. Inputs at scale have far more splits than cores, so
+    there nothing changes and no shuffle is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

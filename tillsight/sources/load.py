@@ -19,7 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,14 +74,20 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     expected = list(expected) if expected is not None else list(texts)
     known = {r["table"] for r in catalog.select("table").distinct().collect()}
     src_rows, loaded_rows = [], []
+    wanted = {e.lower() for e in expected}
     for name in sorted(texts):
         text = texts[name]
-        src_rows.append((name, text.count()))
-        if name not in known or name not in [e.lower() for e in expected]:
+        if name not in known or name not in wanted:
+            src_rows.append((name, text.count()))
             continue
-        typed = typed_frame(text, struct_from_catalog(catalog, name))
+        # Source records are counted on the same pass that writes the typed
+        # rows; the loaded count comes from the Parquet footers.
+        seen = Observation(f"source_{name}")
+        typed = typed_frame(text.observe(seen, F.count(F.lit(1)).alias("n")),
+                            struct_from_catalog(catalog, name))
         path = f"{run}/{name}"
         typed.write.mode("errorifexists").parquet(path)
+        src_rows.append((name, int(seen.get["n"])))
         loaded_rows.append((name, spark.read.parquet(path).count()))
     src = spark.createDataFrame(src_rows, "table string, source_rows long")
     loaded = spark.createDataFrame(loaded_rows, "table string, loaded_rows long")
