@@ -42,6 +42,8 @@ def test_overview_and_column_profile(spark):
     cp = {x["column"]: x for x in profile.column_profile(o).collect()}
     assert cp["salesperson_id"]["null_count"] == 2
     assert cp["id"]["distinct_count"] == 3 and cp["id"]["ordinal"] == 1
+    ap = {x["column"]: x for x in profile.column_profile(o, approx=True).collect()}
+    assert ap["id"]["distinct_count"] == 3
 
 
 def test_null_pattern_and_share(spark):

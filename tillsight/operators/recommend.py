@@ -10,7 +10,8 @@ Two ways to get the co-counts:
   pairs and count per product. Linear in the data, no pairs within a basket.
 * all product pairs (``item_cosine``): a tiled sparse matrix product.
   Products are hashed into ``T`` tiles and customers into ``B`` blocks; every
-  pair entry is copied to the ``T`` tile pairs that involve its tile, and
+  pair entry is copied to the tile pairs formed by its tile and each tile
+  its customer bought from (at most ``T``), and
   each (tile, tile, block) group accumulates its block of ``A^T B`` (A the
   0/1 customer x product matrix) into a tile x tile count array with numpy
   inside ``applyInPandas``. Partial counts are summed by Spark across
@@ -189,7 +190,7 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
     Tile and block counts default to about ``tile_products`` products per
     tile (the count array of a group is tile x tile) and ``block_customers``
     customers per block (one small count job). Every pair entry is copied
-    once per tile, so fewer, larger tiles move less data.
+    once per tile its customer touches (at most ``T``).
     """
     if product_tiles is None or customer_blocks is None:
         n = pairs.agg(F.count_distinct("product_id").alias("p"),
@@ -201,7 +202,13 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
         "customer_id", "product_id",
         F.pmod(F.xxhash64("product_id"), F.lit(t)).cast("int").alias("tile"),
         F.pmod(F.xxhash64("customer_id"), F.lit(b)).cast("int").alias("block"))
-    copies = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(t - 1))))
+    # An entry is needed only by tile pairs whose other tile this customer
+    # also bought from: copy it to those tiles (at most T per customer, a
+    # bounded set), not to all T. A customer who bought everywhere still
+    # gets T copies per entry, split over T groups.
+    touched = (entries.select("customer_id", "tile").distinct()
+               .groupBy("customer_id").agg(F.collect_set("tile").alias("tiles")))
+    copies = entries.join(touched, "customer_id").withColumn("other", F.explode("tiles"))
     copies = copies.select(
         "customer_id", "product_id", "tile", "block",
         F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"))

@@ -222,8 +222,11 @@ def q_moving_average_forecast(spark, d):
 
 
 def q_forecast_evaluation(spark, d):
-    ev = forecast.forecast_evaluation(_series(spark, d), _forecast(spark, d))
-    return forecast.forecast_summary(ev)
+    from tillsight.session import materialize
+    # The series feeds the forecast and the actuals: build it once.
+    series = materialize(_series(spark, d))
+    fc = forecast.moving_average_forecast(series, TRAIN_END, TEST_MONTHS, WINDOW)
+    return forecast.forecast_summary(forecast.forecast_evaluation(series, fc))
 
 
 # --- recommendation ---------------------------------------------------------
