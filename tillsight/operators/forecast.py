@@ -23,16 +23,19 @@ def _month(s: str) -> str:
 
 def monthly_demand(items: DataFrame, orders: DataFrame, variants: DataFrame,
                    products: DataFrame, name: str | None = None,
-                   extend_to: str | None = None) -> DataFrame:
+                   extend_to: str | None = None, order_filter=None) -> DataFrame:
     """Units per month of every product name (all variants of all
     products sharing it), zero-filled between the name's first and last
-    month with sales (or up to ``extend_to``). No status filter.
+    month with sales (or up to ``extend_to``). No status filter unless
+    ``order_filter`` (a Column over the orders) is given.
 
     Products are filtered first and semi-joined down to items, so a
     one-name series reads only that name's items; the month grid is built
     per key from its own bounds (``sequence`` over a row per name), so its
     size is names x months, independent of the item count.
     """
+    if order_filter is not None:
+        orders = orders.filter(order_filter)
     prods = products.select(F.col("id").alias("product_id"), "name")
     if name is not None:
         prods = prods.filter(F.col("name") == F.lit(name))

@@ -36,8 +36,12 @@ class ProductNameError(ValueError):
     pass
 
 
-def purchase_pairs(items: DataFrame, orders: DataFrame, variants: DataFrame) -> DataFrame:
-    """Distinct (customer, product) pairs; quantity and status ignored."""
+def purchase_pairs(items: DataFrame, orders: DataFrame, variants: DataFrame,
+                   order_filter=None) -> DataFrame:
+    """Distinct (customer, product) pairs; quantity and status ignored
+    unless ``order_filter`` (a Column over the orders) is given."""
+    if order_filter is not None:
+        orders = orders.filter(order_filter)
     return (items.select("order_id", "product_variant_id")
             .join(orders.select(F.col("id").alias("order_id"), "customer_id"), "order_id")
             .join(variants.select(F.col("id").alias("product_variant_id"), "product_id"),

@@ -29,13 +29,16 @@ def _customer_metrics(orders: DataFrame, items: DataFrame, variants: DataFrame,
 
 def elite_customers(orders: DataFrame, items: DataFrame, variants: DataFrame,
                     products: DataFrame, min_categories: int = 13, n: int = 10,
-                    category_col: str = "category_id") -> DataFrame:
+                    category_col: str = "category_id", order_filter=None) -> DataFrame:
     """Customers with at least ``min_categories`` distinct categories,
     top ``n`` by ticket rounded to cents (ties broken by customer id).
 
     ``orderBy().limit(n)`` plans as TakeOrderedAndProject: every partition
-    keeps its own top n and only those rows move.
+    keeps its own top n and only those rows move. No status filter unless
+    ``order_filter`` is given (the reference applies none).
     """
+    if order_filter is not None:
+        orders = orders.filter(order_filter)
     m = _customer_metrics(orders, items, variants, products, category_col)
     ranked = (m.filter(F.col("category_diversity") >= min_categories)
               .select("customer_id", "revenue", "frequency",
@@ -49,7 +52,7 @@ def elite_category_mix(orders: DataFrame, items: DataFrame, variants: DataFrame,
                        products: DataFrame, categories: DataFrame,
                        min_categories: int = 13, n: int = 10,
                        category_col: str = "category_id",
-                       rank_by_rounded: bool = False) -> DataFrame:
+                       rank_by_rounded: bool = False, order_filter=None) -> DataFrame:
     """Items bought and orders involved per category, for the top ``n``.
 
     The group is re-selected by the *unrounded* ticket (the reference's mix
@@ -57,6 +60,8 @@ def elite_category_mix(orders: DataFrame, items: DataFrame, variants: DataFrame,
     different customers when tickets tie at two decimals. The elite list has
     at most ``n`` rows by construction, so it is broadcast into the item join.
     """
+    if order_filter is not None:
+        orders = orders.filter(order_filter)
     m = _customer_metrics(orders, items, variants, products, category_col)
     qual = m.filter(F.col("category_diversity") >= min_categories)
     if rank_by_rounded:
