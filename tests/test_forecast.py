@@ -55,6 +55,14 @@ def test_short_training_series(spark):
         fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=5, strict=True)
 
 
+def test_series_starting_after_training_end_is_short(spark):
+    items, orders, variants, products = _frames(spark, [("2026-02-10 10:00:00", 11, 2)])
+    s = fc.monthly_demand(items, orders, variants, products)
+    assert fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=1).count() == 0
+    with pytest.raises(fc.ForecastError):
+        fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=1, strict=True)
+
+
 def test_known_product_without_sales_is_empty(spark):
     # No crash, empty series.
     items, orders, variants, products = _frames(spark, [("2025-01-10 10:00:00", 11, 2)])

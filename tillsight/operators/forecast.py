@@ -74,6 +74,10 @@ def moving_average_forecast(series: DataFrame, train_end: str, test_months: Sequ
     per_key = last.groupBy("name").agg(
         F.count(F.lit(1)).alias("train_months"),
         F.sum(F.when(F.col("_rn") <= window, F.col("units"))).alias("window_units"))
+    # Keys whose first sale comes after the training end have no training
+    # month at all; they are short too.
+    per_key = (series.select("name").distinct().join(per_key, "name", "left")
+               .withColumn("train_months", F.coalesce("train_months", F.lit(0))))
     short = per_key.filter(F.col("train_months") < window)
     if strict and short.limit(1).count() > 0:
         bad = [r["name"] for r in short.limit(5).collect()]

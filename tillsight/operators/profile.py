@@ -98,7 +98,7 @@ def column_profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> Da
     )
     return prof.join(F.broadcast(types), "column").select(
         "ordinal", "column", "data_type", "declared_nullable",
-        "row_count", "null_count", "distinct_count")
+        "row_count", "null_count", "distinct_count").orderBy("ordinal")
 
 
 def null_pattern(df: DataFrame, group_col: str, col: str) -> DataFrame:
@@ -109,7 +109,7 @@ def null_pattern(df: DataFrame, group_col: str, col: str) -> DataFrame:
         group_col, "rows", "non_null",
         (F.col("rows") - F.col("non_null")).alias("nulls"),
         pct_half_up(F.col("rows") - F.col("non_null"), F.col("rows")).alias("pct_null"),
-    )
+    ).orderBy(F.col(group_col).asc_nulls_last())
 
 
 def share_of_total(df: DataFrame, group_col: str, value_col: str,
@@ -128,7 +128,7 @@ def share_of_total(df: DataFrame, group_col: str, value_col: str,
         group_col, "rows", "value_sum",
         pct_half_up(F.col("rows"), all_rows).alias("pct_rows"),
         pct_half_up(F.col("value_sum"), all_value, in_scale=value_scale).alias("pct_value"),
-    )
+    ).orderBy(F.col("value_sum").desc_nulls_last())
 
 
 def yearly_future(df: DataFrame, ts_col: str, as_of: date | str | None = None) -> DataFrame:
@@ -140,7 +140,7 @@ def yearly_future(df: DataFrame, ts_col: str, as_of: date | str | None = None) -
     return df.groupBy(F.year(ts).alias("year")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(ts > ref.cast("timestamp_ntz")).alias("future_rows"),
-    )
+    ).orderBy(F.col("year").asc_nulls_last())
 
 
 def order_checks() -> dict[str, Column]:
