@@ -39,7 +39,7 @@ def _brute_force(pairs_list):
     return co
 
 
-@pytest.mark.parametrize("tiles,blocks", [(1, 1), (3, 2), (5, 4)])
+@pytest.mark.parametrize("tiles,blocks", [(1, 1), (3, 2), (5, 4), (20, 2)])
 def test_tiled_co_counts_equal_brute_force(spark, tiles, blocks):
     rnd = random.Random(tiles * 10 + blocks)
     pl = {(rnd.randrange(60), rnd.randrange(40)) for _ in range(700)}

@@ -124,6 +124,8 @@ def similar_items(pairs: DataFrame, reference: int, n: int = 5,
                       "common_buyers", "buyers")
 
 
+# Up to this many tiles every entry is copied to all of them.
+_ALL_TILES_UP_TO = 16
 # Pair slots generated per chunk inside one tile group (bounds task memory).
 _CHUNK_PAIRS = 4_000_000
 
@@ -187,20 +189,24 @@ def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def co_counts(pairs: DataFrame, product_tiles: int | None = None,
               customer_blocks: int | None = None, tile_products: int = 2000,
-              block_customers: int = 20000) -> DataFrame:
+              group_rows: int = 2_000_000) -> DataFrame:
     """Common-buyer counts for every product pair ``a < b`` with at least one
     common buyer, via the tiled product described in the module docstring.
 
-    Tile and block counts default to about ``tile_products`` products per
-    tile (the count array of a group is tile x tile) and ``block_customers``
-    customers per block (one small count job). Every pair entry is copied
-    once per tile its customer touches (at most ``T``).
+    ``product_tiles`` defaults to about ``tile_products`` products per tile
+    (a group's count array is tile x tile). ``customer_blocks`` defaults to
+    enough blocks that a group receives about ``group_rows`` copied entries
+    even if every entry were copied to all tiles (one small count job).
     """
     if product_tiles is None or customer_blocks is None:
         n = pairs.agg(F.count_distinct("product_id").alias("p"),
-                      F.count_distinct("customer_id").alias("c")).first()
-        product_tiles = product_tiles or max(1, math.ceil((n["p"] or 0) / tile_products))
-        customer_blocks = customer_blocks or max(1, math.ceil((n["c"] or 0) / block_customers))
+                      F.count(F.lit(1)).alias("cells")).first()
+        t_guess = product_tiles or max(1, math.ceil((n["p"] or 0) / tile_products))
+        product_tiles = t_guess
+        if customer_blocks is None:
+            tile_pairs = t_guess * (t_guess + 1) / 2
+            copies = (n["cells"] or 0) * t_guess
+            customer_blocks = max(1, math.ceil(copies / (tile_pairs * group_rows)))
     t, b = int(product_tiles), int(customer_blocks)
     entries = pairs.select(
         "customer_id", "product_id",
@@ -210,9 +216,14 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
     # also bought from: copy it to those tiles (at most T per customer, a
     # bounded set), not to all T. A customer who bought everywhere still
     # gets T copies per entry, split over T groups.
-    touched = (entries.select("customer_id", "tile").distinct()
-               .groupBy("customer_id").agg(F.collect_set("tile").alias("tiles")))
-    copies = entries.join(touched, "customer_id").withColumn("other", F.explode("tiles"))
+    # With few tiles nearly every customer touches all of them, and copying
+    # to all T tiles saves the join that finds the touched ones.
+    if t > _ALL_TILES_UP_TO:
+        touched = (entries.select("customer_id", "tile").distinct()
+                   .groupBy("customer_id").agg(F.collect_set("tile").alias("tiles")))
+        copies = entries.join(touched, "customer_id").withColumn("other", F.explode("tiles"))
+    else:
+        copies = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(t - 1))))
     copies = copies.select(
         "customer_id", "product_id", "tile", "block",
         F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"))
