@@ -85,6 +85,16 @@ def test_empty_file_has_no_header(spark, scratch):
         C.header(spark, p)
 
 
+def test_prerequisite_check_stops_before_loading(spark, scratch):
+    a = _write(os.path.join(scratch, "a.csv"), "id\n1\n")
+    z = _write(os.path.join(scratch, "Zeta.csv"), "id\n1\n")
+    assert L.missing_tables([a, z], ["a"]) == ["zeta"]
+    dest = os.path.join(scratch, "dest")
+    with pytest.raises(L.MissingTablesError):
+        L.load_run(spark, [a, z], dest, expected=["a"], require_declared=True)
+    assert not os.path.exists(dest)
+
+
 def test_load_round_trip_reconciles_and_publishes(spark, scratch):
     a = _write(os.path.join(scratch, "a.csv"), "id,flag,day\n1,T,2024-01-02\n2,f,2024-1-3\n")
     b = _write(os.path.join(scratch, "b.csv"), "id,v\n1,x\n")

@@ -57,16 +57,33 @@ def reconcile(expected: Sequence[str], source_counts: DataFrame,
     return j.select("table", "source_rows", "loaded_rows", status.alias("status"))
 
 
+class MissingTablesError(RuntimeError):
+    pass
+
+
+def missing_tables(files: Sequence[str], declared: Sequence[str]) -> list[str]:
+    """Tables of the given files that are not declared, sorted."""
+    known = {d.lower() for d in declared}
+    return sorted({table_name(p) for p in files} - known)
+
+
 def load_run(spark: SparkSession, files: Sequence[str], dest: str,
              expected: Sequence[str] | None = None, catalog: DataFrame | None = None,
-             multi_line: bool = False, publish: bool = True) -> tuple[DataFrame, str]:
+             multi_line: bool = False, publish: bool = True,
+             require_declared: bool = False) -> tuple[DataFrame, str]:
     """Load CSV files into a staging run under ``dest``; returns the
     reconciliation report (materialised) and the run folder.
 
     ``expected`` lists the tables that must exist (default: one per file);
     ``catalog`` is a U03 catalog (default: inferred from the files in the
-    same run).
+    same run). With ``require_declared`` every file must have a declared
+    table (in ``expected``), checked before anything is read or written, as
+    the reference's prerequisite check does.
     """
+    if require_declared and expected is not None:
+        missing = missing_tables(files, expected)
+        if missing:
+            raise MissingTablesError(f"no declared table for: {', '.join(missing)}")
     run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
     texts = {table_name(p): read_text_table(spark, p, multi_line=multi_line) for p in files}
     if catalog is None:
