@@ -20,19 +20,30 @@ BASE_CONF = {
 }
 
 
+# Bytes of input per initial shuffle partition when sizing from the input.
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+
+
 def get_session(master: str | None = None, app: str = "tillsight",
                 shuffle_partitions: int | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
+                conf: dict[str, str] | None = None,
+                input_bytes: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
-    On a cluster leave ``master`` unset and let the launcher decide; pick
-    ``shuffle_partitions`` so that one shuffle partition stays around
-    128-256 MB at the target scale (AQE coalesces smaller ones).
+    On a cluster leave ``master`` unset and let the launcher decide. Give
+    ``shuffle_partitions``, or ``input_bytes`` (the size of the largest
+    table a job reads) to start from about 256 MB of input per shuffle
+    partition; AQE then coalesces partitions by their advisory size rather
+    than by parallelism, and splits skewed ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
+    if input_bytes and not shuffle_partitions:
+        shuffle_partitions = max(200, -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION))
+        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(128 * 1024 * 1024)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
