@@ -41,11 +41,14 @@ def monthly_demand(items: DataFrame, orders: DataFrame, variants: DataFrame,
         prods = prods.filter(F.col("name") == F.lit(name))
     var = variants.select(F.col("id").alias("product_variant_id"), "product_id").join(
         prods, "product_id")
-    sold = (items.select("order_id", "product_variant_id", "quantity")
-            .join(var.select("product_variant_id", "name"), "product_variant_id")
-            .join(orders.select(F.col("id").alias("order_id"), "placed_at"), "order_id"))
+    # Units are summed per (order, name) before the large join with the
+    # orders; the month comes from the order.
+    per_order = (items.select("order_id", "product_variant_id", "quantity")
+                 .join(var.select("product_variant_id", "name"), "product_variant_id")
+                 .groupBy("order_id", "name").agg(F.sum("quantity").cast("long").alias("q")))
+    sold = per_order.join(orders.select(F.col("id").alias("order_id"), "placed_at"), "order_id")
     monthly = sold.groupBy("name", F.trunc(F.to_date("placed_at"), "month").alias("month")).agg(
-        F.sum("quantity").cast("long").alias("units"))
+        F.sum("q").cast("long").alias("units"))
     bounds = monthly.groupBy("name").agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     if extend_to is not None:
         bounds = bounds.withColumn(

@@ -42,10 +42,14 @@ def purchase_pairs(items: DataFrame, orders: DataFrame, variants: DataFrame,
     unless ``order_filter`` (a Column over the orders) is given."""
     if order_filter is not None:
         orders = orders.filter(order_filter)
-    return (items.select("order_id", "product_variant_id")
+    # Variant -> product first and distinct per order, so repeated products
+    # of one order collapse before the large join with the orders.
+    order_products = (items.select("order_id", "product_variant_id")
+                      .join(variants.select(F.col("id").alias("product_variant_id"),
+                                            "product_id"), "product_variant_id")
+                      .select("order_id", "product_id").distinct())
+    return (order_products
             .join(orders.select(F.col("id").alias("order_id"), "customer_id"), "order_id")
-            .join(variants.select(F.col("id").alias("product_variant_id"), "product_id"),
-                  "product_variant_id")
             .select("customer_id", "product_id").distinct())
 
 

@@ -16,12 +16,16 @@ def _customer_metrics(orders: DataFrame, items: DataFrame, variants: DataFrame,
     order's total (the fan-out trap)."""
     per_order = orders.groupBy("customer_id").agg(
         F.sum("total").alias("revenue"), F.count(F.lit(1)).alias("frequency"))
-    bought = (orders.select(F.col("id").alias("order_id"), "customer_id")
-              .join(items.select("order_id", "product_variant_id"), "order_id")
-              .join(variants.select(F.col("id").alias("product_variant_id"), "product_id"),
-                    "product_variant_id")
-              .join(products.select(F.col("id").alias("product_id"),
-                                    F.col(category_col).alias("category_id")), "product_id"))
+    # Items meet their (small) product dimensions first and collapse to
+    # distinct (order, category) before the large join with the orders.
+    item_cats = (items.select("order_id", "product_variant_id")
+                 .join(variants.select(F.col("id").alias("product_variant_id"), "product_id"),
+                       "product_variant_id")
+                 .join(products.select(F.col("id").alias("product_id"),
+                                       F.col(category_col).alias("category_id")), "product_id")
+                 .select("order_id", "category_id").distinct())
+    bought = item_cats.join(orders.select(F.col("id").alias("order_id"), "customer_id"),
+                            "order_id")
     diversity = bought.groupBy("customer_id").agg(
         F.count_distinct("category_id").alias("category_diversity"))
     return per_order.join(diversity, "customer_id")
