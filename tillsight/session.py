@@ -61,6 +61,14 @@ def get_session(master: str | None = None, app: str = "tillsight",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for staged tables and lineage cuts.
 
@@ -68,15 +76,20 @@ def shared_dir(spark: SparkSession) -> str:
     Only when neither is set, as in local tests, a fresh local folder is
     created and registered as the checkpoint directory.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tillsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # not settable at run time on every deployment
+            pass
+        if sc is not None:
+            sc.setCheckpointDir(root)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -106,7 +119,10 @@ def spread(df):
     tests, CSV encoding). A small single-file table otherwise runs all that
     work in one task. Inputs at scale have far more splits than cores, so
     there nothing changes and no shuffle is added."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:
+        return df
+    slots = sc.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
