@@ -1,9 +1,12 @@
 """Registered queries: one per operator, bound to the driver's tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose column
-names and types match the DuckDB twin in ``tillsight.plans.oracle``. Final
-casts (DECIMAL(18,2) money, BIGINT counts, DOUBLE ratios) are the only thing
-added on top of the operators.
+names and types match the DuckDB twin in ``tillsight.plans.oracle``. On top of
+the operators come final casts (DECIMAL(18,2) money, BIGINT counts, DOUBLE
+ratios) and two plan choices that do not change results: the forecast
+evaluation builds its monthly series once (checkpoint), and the weekday
+report builds its calendar from the sales alone because it keeps only the
+sales period.
 """
 
 from __future__ import annotations
