@@ -127,3 +127,22 @@ def forecast_summary(evaluation: DataFrame) -> DataFrame:
         pred_total.alias("predicted_total"),
         F.bround(pred_total, 0).alias("predicted_total_rounded"),
         F.col("actual_total").cast("long").alias("actual_total"))
+
+
+def series_summary(series: DataFrame) -> DataFrame:
+    """Per key: first and last month, number of months and total units (the
+    header the reference prints for a series)."""
+    return series.groupBy("name").agg(
+        F.min("month").alias("first_month"), F.max("month").alias("last_month"),
+        F.count(F.lit(1)).alias("months"), F.sum("units").cast("long").alias("units"))
+
+
+def training_window(series: DataFrame, train_end: str, window: int = 3) -> DataFrame:
+    """The last ``window`` training months of every key (the values the
+    moving average is taken over), newest first as ``position`` 1."""
+    end = F.lit(_month(train_end)).cast("date")
+    w = Window.partitionBy("name").orderBy(F.col("month").desc())
+    return (series.filter(F.col("month") <= end)
+            .withColumn("position", F.row_number().over(w))
+            .filter(F.col("position") <= window)
+            .select("name", "month", "units", F.col("position").cast("int").alias("position")))

@@ -228,6 +228,14 @@ def q_moving_average_forecast(spark, d):
     return _forecast(spark, d).select("name", "month", "forecast", "window_units")
 
 
+def q_series_summary(spark, d):
+    return forecast.series_summary(_series(spark, d))
+
+
+def q_training_window(spark, d):
+    return forecast.training_window(_series(spark, d), TRAIN_END, WINDOW)
+
+
 def q_forecast_evaluation(spark, d):
     from tillsight.session import materialize
     # The series feeds the forecast and the actuals: build it once.
