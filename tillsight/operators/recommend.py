@@ -23,14 +23,21 @@ Two ways to get the co-counts:
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.session import materialize
 
+# The tile function runs in Python workers. Pickling this module by value
+# ships it with the task, so executors need neither this package on their
+# path nor a --py-files archive.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class ProductNameError(ValueError):
     pass
