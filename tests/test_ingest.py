@@ -103,6 +103,8 @@ def test_load_round_trip_reconciles_and_publishes(spark, scratch):
     st = {r["table"]: r["status"] for r in rep.collect()}
     assert st == {"a": "ok", "b": "ok", "c": "not_loaded"}
     assert not os.path.exists(os.path.join(dest, "_published"))   # not published
+    with pytest.raises(L.DivergentLoadError):
+        L.load_run(spark, [a, b], dest, expected=["a", "b", "c"], raise_on_divergence=True)
     rep, run = L.load_run(spark, [a, b], dest)
     assert {r["status"] for r in rep.collect()} == {"ok"}
     t = L.published_table(spark, dest, "a")

@@ -8,6 +8,10 @@ mapped back to ''); everything is read as text and typed later, because
 Spark's own inference turns ``007`` into 7 and ``T`` into null.
 ``multiLine`` is off by default so large files split across tasks; turn it on
 for files with line breaks inside quoted fields.
+
+One difference remains: a blank line is an error for Python's csv reader (a
+record with zero fields), while Spark's CSV reader skips blank lines, so they
+are neither counted nor reported here.
 """
 
 from __future__ import annotations

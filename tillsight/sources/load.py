@@ -61,6 +61,10 @@ class MissingTablesError(RuntimeError):
     pass
 
 
+class DivergentLoadError(RuntimeError):
+    pass
+
+
 def missing_tables(files: Sequence[str], declared: Sequence[str]) -> list[str]:
     """Tables of the given files that are not declared, sorted."""
     known = {d.lower() for d in declared}
@@ -70,7 +74,8 @@ def missing_tables(files: Sequence[str], declared: Sequence[str]) -> list[str]:
 def load_run(spark: SparkSession, files: Sequence[str], dest: str,
              expected: Sequence[str] | None = None, catalog: DataFrame | None = None,
              multi_line: bool = False, publish: bool = True,
-             require_declared: bool = False) -> tuple[DataFrame, str]:
+             require_declared: bool = False,
+             raise_on_divergence: bool = False) -> tuple[DataFrame, str]:
     """Load CSV files into a staging run under ``dest``; returns the
     reconciliation report (materialised) and the run folder.
 
@@ -78,7 +83,9 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     ``catalog`` is a U03 catalog (default: inferred from the files in the
     same run). With ``require_declared`` every file must have a declared
     table (in ``expected``), checked before anything is read or written, as
-    the reference's prerequisite check does.
+    the reference's prerequisite check does. With ``raise_on_divergence``
+    any table that is not ``ok`` aborts the load (nothing is published), as
+    the reference's single transaction does.
     """
     if require_declared and expected is not None:
         missing = missing_tables(files, expected)
@@ -111,7 +118,12 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     report = reconcile(expected, src, loaded)
     rows = report.collect()  # one row per table
     report = spark.createDataFrame(rows, report.schema)
-    if publish and rows and all(r["status"] == "ok" for r in rows):
+    bad = [r for r in rows if r["status"] != "ok"]
+    if raise_on_divergence and bad:
+        detail = ", ".join(f"{r['table']}: {r['status']} ({r['source_rows']} -> {r['loaded_rows']})"
+                           for r in bad)
+        raise DivergentLoadError(f"load aborted, nothing published: {detail}")
+    if publish and rows and not bad:
         manifest = spark.createDataFrame(
             [(r["table"], f"{run}/{r['table']}", r["loaded_rows"]) for r in rows],
             "table string, path string, rows long")
