@@ -53,3 +53,33 @@ def test_label_of_falls_back_to_value(spark):
     df = spark.createDataFrame([("PF",), ("XX",), (None,)], "t string")
     got = [r[0] for r in df.select(label_of(F.col("t"), {"PF": "Pessoa física"})).collect()]
     assert got == ["Pessoa física", "XX", None]
+
+
+from decimal import ROUND_HALF_UP  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(1, 10**6)),
+                min_size=20, max_size=100))
+def test_half_up_div_matches_decimal(spark, pairs):
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(half_up_div(F.col("n"), F.col("d"))).collect()]
+    # With d <= 10**6 a remainder is either exactly a half or at least 1/(2d)
+    # away from it, so 28-digit Decimal division decides every case.
+    exp = [int((Decimal(n) / Decimal(d)).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+           for n, d in pairs]
+    assert got == exp
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(1, 5000)),
+                min_size=20, max_size=100))
+def test_mean_half_up_matches_decimal(spark, pairs):
+    rows = [(Decimal(c) / 100, n) for c, n in pairs]
+    df = spark.createDataFrame(rows, "t decimal(18,2), n long")
+    got = [r[0] for r in df.select(mean_half_up(F.col("t"), F.col("n"))).collect()]
+    exp = [float((t / n).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for t, n in rows]
+    assert got == exp
