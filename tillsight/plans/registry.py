@@ -319,7 +319,11 @@ def q_infer_types(spark, d):
 
 def q_key_candidates(spark, d):
     from tillsight.sources.infer import infer_schema, key_candidates
-    return key_candidates(infer_schema(_text_tables(spark, d)))
+    # Each column is inferred on its own, so only the id columns are read.
+    # Ordinals differ from the full catalog but are not part of the output.
+    tables = {name: df.select([c for c in df.columns if c.lower() == "id"])
+              for name, df in _text_tables(spark, d).items()}
+    return key_candidates(infer_schema({k: v for k, v in tables.items() if v.columns}))
 
 
 def _export_csv(spark, d) -> dict[str, str]:
