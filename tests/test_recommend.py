@@ -70,6 +70,16 @@ def test_name_resolution(spark):
     assert st == {"Motor": "unique", "Boia": "ambiguous"}
 
 
+def test_similar_items_by_name(spark):
+    pairs = _pairs(spark, {1: [1, 2, 3, 4], 2: [1], 3: [5]})
+    prods = spark.createDataFrame([(1, "Motor"), (2, "Boia"), (3, "Remo"), (4, "Remo")],
+                                  "id long, name string")
+    top = rc.similar_items_by_name(pairs, prods, "Motor", n=2).collect()
+    assert [(r["product_id"], r["product"]) for r in top] == [(2, "Boia"), (3, "Remo")]
+    with pytest.raises(rc.ProductNameError):
+        rc.similar_items_by_name(pairs, prods, "Remo")
+
+
 def test_matrix_summary(spark):
     pairs = _pairs(spark, {1: [1, 2], 2: [1]})
     r = rc.matrix_summary(pairs).first()

@@ -143,6 +143,13 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return uniq, start, length
 
 
+def similar_items_by_name(pairs: DataFrame, products: DataFrame, name: str,
+                          n: int = 5) -> DataFrame:
+    """U32 + U33 as the reference runs them: resolve ``name`` to its single
+    product id (error if none or several), then rank its neighbours."""
+    return similar_items(pairs, resolve_product(products, name), n, products)
+
+
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     """Co-counts of one (tile i, tile j, customer block) group.
 
