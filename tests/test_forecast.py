@@ -67,3 +67,17 @@ def test_known_product_without_sales_is_empty(spark):
     # No crash, empty series.
     items, orders, variants, products = _frames(spark, [("2025-01-10 10:00:00", 11, 2)])
     assert fc.monthly_demand(items, orders, variants, products, name="Remo").count() == 0
+
+
+def test_forecast_product_by_name(spark):
+    items, orders, variants, products = _frames(spark, [
+        ("2025-10-10 10:00:00", 11, 3), ("2025-11-10 10:00:00", 12, 6),
+        ("2025-12-10 10:00:00", 11, 9), ("2026-01-10 10:00:00", 11, 1)])
+    ev = fc.forecast_product(items, orders, variants, products, "Bússola", "2025-12",
+                             ["2026-01", "2026-02"], window=3).orderBy("month").collect()
+    assert [(r["forecast"], r["actual"]) for r in ev] == [(6.0, 1), (6.0, 0)]
+    with pytest.raises(fc.ForecastError):
+        fc.forecast_product(items, orders, variants, products, "Nada", "2025-12", ["2026-01"])
+    # A known name without sales gives an empty result, not a crash.
+    assert fc.forecast_product(items, orders, variants, products, "Remo", "2025-12",
+                               ["2026-01"]).count() == 0

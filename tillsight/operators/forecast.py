@@ -143,3 +143,17 @@ def training_window(series: DataFrame, train_end: str, window: int = 3) -> DataF
             .withColumn("position", F.row_number().over(w))
             .filter(F.col("position") <= window)
             .select("name", "month", "units", F.col("position").cast("int").alias("position")))
+
+
+def forecast_product(items: DataFrame, orders: DataFrame, variants: DataFrame,
+                     products: DataFrame, name: str, train_end: str,
+                     test_months: Sequence[str], window: int = 3) -> DataFrame:
+    """U27-U29 for one product name, as the reference's script runs them:
+    an unknown name or a training series shorter than ``window`` is an
+    error; the result is the evaluation per test month. Products sharing the
+    name are summed."""
+    if products.filter(F.col("name") == F.lit(name)).limit(1).count() == 0:
+        raise ForecastError(f"product not in the catalogue: {name!r}")
+    series = monthly_demand(items, orders, variants, products, name=name)
+    fc = moving_average_forecast(series, train_end, test_months, window, strict=True)
+    return forecast_evaluation(series, fc)
