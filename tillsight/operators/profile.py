@@ -116,14 +116,15 @@ def share_of_total(df: DataFrame, group_col: str, value_col: str,
                    value_scale: int = 2) -> DataFrame:
     """Count, sum, % of rows and % of value per group.
 
-    The grand totals are scalar subqueries (a one-row aggregate evaluated
-    once and inlined as a constant), not a window over the grouped rows, so
-    no step gathers all groups into one partition and nothing is joined.
+    The grand totals are scalar subqueries over the grouped rows (summed
+    per partition, then once), not a window over them, so no step gathers
+    all groups into one partition, nothing is joined and the source is not
+    scanned again.
     """
     g = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("rows"),
                                   F.sum(value_col).alias("value_sum"))
-    all_rows = df.select(F.count(F.lit(1))).scalar()
-    all_value = df.select(F.sum(value_col)).scalar()
+    all_rows = g.select(F.sum("rows")).scalar()
+    all_value = g.select(F.sum("value_sum")).scalar()
     return g.select(
         group_col, "rows", "value_sum",
         pct_half_up(F.col("rows"), all_rows).alias("pct_rows"),
