@@ -131,6 +131,13 @@ def similar_items(pairs: DataFrame, reference: int, n: int = 5,
                       "common_buyers", "buyers")
 
 
+def similar_items_by_name(pairs: DataFrame, products: DataFrame, name: str,
+                          n: int = 5) -> DataFrame:
+    """U32 + U33 as the reference runs them: resolve ``name`` to its single
+    product id (error if none or several), then rank its neighbours."""
+    return similar_items(pairs, resolve_product(products, name), n, products)
+
+
 # Up to this many tiles every entry is copied to all of them.
 _ALL_TILES_UP_TO = 16
 # Pair slots generated per chunk inside one tile group (bounds task memory).
@@ -143,13 +150,6 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return uniq, start, length
 
 
-def similar_items_by_name(pairs: DataFrame, products: DataFrame, name: str,
-                          n: int = 5) -> DataFrame:
-    """U32 + U33 as the reference runs them: resolve ``name`` to its single
-    product id (error if none or several), then rank its neighbours."""
-    return similar_items(pairs, resolve_product(products, name), n, products)
-
-
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
     """Co-counts of one (tile i, tile j, customer block) group.
 
@@ -226,12 +226,11 @@ def co_counts(pairs: DataFrame, product_tiles: int | None = None,
         "customer_id", "product_id",
         F.pmod(F.xxhash64("product_id"), F.lit(t)).cast("int").alias("tile"),
         F.pmod(F.xxhash64("customer_id"), F.lit(b)).cast("int").alias("block"))
-    # An entry is needed only by tile pairs whose other tile this customer
-    # also bought from: copy it to those tiles (at most T per customer, a
-    # bounded set), not to all T. A customer who bought everywhere still
-    # gets T copies per entry, split over T groups.
-    # With few tiles nearly every customer touches all of them, and copying
-    # to all T tiles saves the join that finds the touched ones.
+    # An entry is needed only by the tile pairs whose other tile its customer
+    # also bought from, so with many tiles it is copied to those (a set of at
+    # most T per customer; a customer who bought everywhere gets T copies,
+    # spread over T groups). With few tiles nearly every customer touches
+    # all of them, and copying to all T saves the join that finds them.
     if t > _ALL_TILES_UP_TO:
         touched = (entries.select("customer_id", "tile").distinct()
                    .groupBy("customer_id").agg(F.collect_set("tile").alias("tiles")))
