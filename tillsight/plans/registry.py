@@ -360,12 +360,12 @@ def q_incremental_load(spark, d):
     per-batch reconciliation."""
     from tillsight.session import new_run_dir
     from tillsight.sources.csv_files import read_text_table
-    from tillsight.sources.infer import infer_schema, struct_from_catalog
+    from tillsight.sources.infer import collect_catalog, infer_schema, struct_from_catalog
     from tillsight.streaming.landing import batch_report, stream_raw_load
     paths = _export_csv(spark, d)
     dest = new_run_dir(spark, "stream-load")
     texts = {name: read_text_table(spark, path) for name, path in paths.items()}
-    catalog = infer_schema(texts)
+    catalog = collect_catalog(infer_schema(texts))
     # The five streams are independent: start them all, then wait.
     running = [stream_raw_load(spark, path, name, struct_from_catalog(catalog, name), dest)
                for name, path in paths.items()]

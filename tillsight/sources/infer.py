@@ -229,6 +229,13 @@ def key_candidates(catalog: DataFrame) -> DataFrame:
         "table", "column", "is_key", "nullable", "n_rows")
 
 
+def collect_catalog(catalog: DataFrame) -> DataFrame:
+    """Run the inference once and keep the catalog (one row per column) as
+    a small local frame, so per-table schema lookups do not re-scan the
+    data."""
+    return catalog.sparkSession.createDataFrame(catalog.collect(), catalog.schema)
+
+
 def struct_from_catalog(catalog: DataFrame, table: str) -> T.StructType:
     """The Spark schema of one table from its catalog rows (one row per
     column is brought to the driver). A header-only table has every column

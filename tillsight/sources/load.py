@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.sources.csv_files import read_text_table, table_name
-from tillsight.sources.infer import infer_schema, struct_from_catalog
+from tillsight.sources.infer import collect_catalog, infer_schema, struct_from_catalog
 
 
 def typed_frame(text: DataFrame, schema: T.StructType) -> DataFrame:
@@ -93,8 +93,8 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
             raise MissingTablesError(f"no declared table for: {', '.join(missing)}")
     run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
     texts = {table_name(p): read_text_table(spark, p, multi_line=multi_line) for p in files}
-    if catalog is None:
-        catalog = infer_schema(texts)
+    # The catalog is read several times below; compute it once.
+    catalog = collect_catalog(infer_schema(texts) if catalog is None else catalog)
     expected = list(expected) if expected is not None else list(texts)
     known = {r["table"] for r in catalog.select("table").distinct().collect()}
     src_rows, loaded_rows = [], []
