@@ -110,3 +110,24 @@ def test_load_round_trip_reconciles_and_publishes(spark, scratch):
     t = L.published_table(spark, dest, "a")
     assert [r["flag"] for r in t.orderBy("id").collect()] == [True, False]
     assert str(t.schema["day"].dataType) == "DateType()"
+
+
+def test_bucketed_load_joins_without_exchange(spark, scratch):
+    a = _write(os.path.join(scratch, "orders.csv"),
+               "id,customer_id\n" + "".join(f"{i},{i % 7}\n" for i in range(1, 201)))
+    b = _write(os.path.join(scratch, "order_items.csv"),
+               "id,order_id,qty\n" + "".join(f"{i},{i % 200 + 1},{i % 5}\n" for i in range(1, 801)))
+    dest = os.path.join(scratch, "dest")
+    rep, run = L.load_run(spark, [a, b], dest,
+                          bucket_by={"orders": ("id", 4), "order_items": ("order_id", 4)})
+    assert {r["status"] for r in rep.collect()} == {"ok"}
+    o = L.published_table(spark, dest, "orders")
+    i = L.published_table(spark, dest, "order_items")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = i.join(o.withColumnRenamed("id", "order_id"), "order_id")
+        plan = spark._jvm.PythonSQLUtils.explainString(j._jdf.queryExecution(), "simple")
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert j.count() == 800
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
