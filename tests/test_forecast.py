@@ -81,3 +81,17 @@ def test_forecast_product_by_name(spark):
     # A known name without sales gives an empty result, not a crash.
     assert fc.forecast_product(items, orders, variants, products, "Remo", "2025-12",
                                ["2026-01"]).count() == 0
+
+
+def test_extend_to_pads_the_series_to_the_training_end(spark):
+    # By default the last k observed months are averaged; extend_to adds
+    # zero months up to the training end first.
+    items, orders, variants, products = _frames(spark, [
+        ("2025-08-10 10:00:00", 11, 3), ("2025-09-10 10:00:00", 11, 6),
+        ("2025-10-10 10:00:00", 11, 9)])
+    plain = fc.monthly_demand(items, orders, variants, products)
+    padded = fc.monthly_demand(items, orders, variants, products, extend_to="2025-12")
+    assert plain.count() == 3 and padded.count() == 5
+    f_plain = fc.moving_average_forecast(plain, "2025-12", ["2026-01"], window=3).first()
+    f_padded = fc.moving_average_forecast(padded, "2025-12", ["2026-01"], window=3).first()
+    assert f_plain["forecast"] == 6.0 and f_padded["forecast"] == 3.0
