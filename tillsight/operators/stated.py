@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.numeric import mean_half_up
+from tillsight.functions.numeric import mean_half_up, pct_half_up
 
 
-def revenue_summary(order_fact: DataFrame) -> DataFrame:
+def revenue_summary(order_fact: DataFrame, money_scale: int = 2) -> DataFrame:
     """Realised orders, revenue, discount and average ticket, beside the
-    totals that ignore the status (the gap the flag exists to expose)."""
+    totals that ignore the status (the gap the flag exists to expose): the
+    share of the summed value that is not realised, and how much an
+    unfiltered sum overstates the realised revenue, both in percent."""
     real = F.col("is_realised")
     has_discount = "discount_amount" in order_fact.columns
     aggs = [
@@ -25,8 +27,13 @@ def revenue_summary(order_fact: DataFrame) -> DataFrame:
     cols = ["orders_all", "total_all", "orders_realised", "revenue_realised"]
     if has_discount:
         cols.append("discount_realised")
+    unrealised = F.col("total_all") - F.col("revenue_realised")
     return g.select(*cols, mean_half_up(F.col("revenue_realised"), F.col("orders_realised"))
-                    .alias("avg_ticket_realised"))
+                    .alias("avg_ticket_realised"),
+                    pct_half_up(unrealised, F.col("total_all"), in_scale=money_scale)
+                    .alias("unrealised_share_pct"),
+                    pct_half_up(unrealised, F.col("revenue_realised"), in_scale=money_scale)
+                    .alias("overstatement_pct"))
 
 
 def category_mix(item_fact: DataFrame, product_dim: DataFrame,
