@@ -115,3 +115,30 @@ def test_rounded_and_unrounded_rankings_differ_on_ties(spark):
     assert rounded == 11
     assert {r["category"] for r in mix_rounded.collect()} == {"A", "B"}
     assert {r["category"] for r in mix_unrounded.collect()} == {"A", "B", "C"}
+
+
+def test_location_dim_keeps_all_types(spark):
+    loc = spark.createDataFrame(
+        [(1, "Loja Centro", "store", "Recife", "PE", "50000", True),
+         (2, "CD Norte", "warehouse", "Natal", "RN", "59000", True),
+         (3, "Quiosque", "kiosk", "Olinda", "PE", "53000", False)],
+        "id int, name string, location_type string, city string, state string, "
+        "postal_code string, is_active boolean")
+    rows = {r["location_id"]: r for r in dims.location_dim(loc).collect()}
+    assert len(rows) == 3                      # nothing filtered
+    assert rows[1]["type_label"] == "Loja" and rows[2]["type_label"] == "Armazém"
+    assert rows[3]["type_label"] == "kiosk"    # unknown type passes through
+
+
+def test_order_fact_labels_and_unknown_employee(spark):
+    import datetime as dt
+    from decimal import Decimal
+    o = spark.createDataFrame(
+        [(1, "A1", "pos", 5, 9, 2, "paid", Decimal("10.00"), dt.datetime(2024, 1, 1, 23, 59)),
+         (2, "A2", "ecommerce", 6, None, 3, "draft", Decimal("5.00"), dt.datetime(2024, 1, 2, 0, 1))],
+        "id long, order_number string, channel string, customer_id long, salesperson_id long, "
+        "location_id int, status string, total decimal(8,2), placed_at timestamp_ntz")
+    rows = {r["order_id"]: r for r in facts.order_fact(o).collect()}
+    assert rows[1]["channel_label"] == "Loja física" and rows[1]["is_realised"] is True
+    assert rows[2]["employee_id"] == -1 and rows[2]["status_label"] == "Rascunho"
+    assert rows[2]["is_realised"] is False and rows[1]["date"] == dt.date(2024, 1, 1)
