@@ -14,6 +14,16 @@ def test_half_up_rounding_is_exact(spark):
     assert got == [3, -3, 4, 0, 1, 5 * 10**16 + 1]
 
 
+def test_percentages_of_huge_money_sums_do_not_overflow(spark):
+    # 4e14 currency units: in minor units times the percentage factor this is
+    # about 4e19, beyond a 64-bit integer.
+    df = spark.createDataFrame([(Decimal("123456789012345.67"), Decimal("400000000000000.00"))],
+                               "p decimal(28,2), w decimal(28,2)")
+    assert df.select(pct_half_up(F.col("p"), F.col("w"), in_scale=2)).first()[0] == 30.9
+    # A mean over 1.5e9 orders of that sum: the cents survive.
+    assert df.select(mean_half_up(F.col("w"), F.lit(1_500_000_000))).first()[0] == 266666.67
+
+
 def test_mean_half_up_matches_sql_round_not_bankers(spark):
     # 0.125 rounds to 0.13 (half away from zero); bround would give 0.12.
     df = spark.createDataFrame([(Decimal("0.25"), 2)], "t decimal(18,2), n long")
