@@ -38,11 +38,20 @@ AS_OF = "2001-06-30"
 
 
 def _money(df: DataFrame, *cols: str, scale: int = 2) -> DataFrame:
+    """Row-level money: DECIMAL(18, scale)."""
     for c in cols:
         df = df.withColumn(c, F.col(c).cast(f"decimal(18,{scale})"))
     return df
 
 
+def _sums(df: DataFrame, *cols: str, scale: int = 2) -> DataFrame:
+    """Aggregated money: DECIMAL(38, scale), wide enough for totals of
+    100 TB of orders (DECIMAL(18,2) stops near 10^16)."""
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast(f"decimal(38,{scale})"))
+    return df
+
+
 def _long(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("long"))
@@ -174,7 +183,7 @@ def q_null_pattern(spark, d):
 
 
 def q_share_of_total(spark, d):
-    return _money(profile.share_of_total(B.orders(spark, d), "status", "total"), "value_sum")
+    return _sums(profile.share_of_total(B.orders(spark, d), "status", "total"), "value_sum")
 
 
 def q_yearly_future(spark, d):
@@ -200,7 +209,7 @@ def q_weekday_mean(spark, d):
     # the calendar) are not read. The oracle uses the full calendar.
     orders = B.orders(spark, d)
     out = weekday_mean(orders, calendar_dim(orders, "placed_at"), channel=B.IN_STORE_CHANNEL)
-    return _money(out, "total_sold")
+    return _sums(out, "total_sold")
 
 
 def q_elite_customers(spark, d):
@@ -208,7 +217,7 @@ def q_elite_customers(spark, d):
                                   B.product_variants(spark, d), B.products(spark, d),
                                   min_categories=MIN_CATEGORIES, n=TOP_N,
                                   category_col="brand_id")
-    return _money(out, "revenue")
+    return _sums(out, "revenue")
 
 
 def q_elite_category_mix(spark, d):
@@ -270,17 +279,17 @@ def q_matrix_density(spark, d):
 def q_revenue_summary(spark, d):
     f = facts.order_fact(B.orders_with_item_totals(spark, d),
                          realised_statuses=B.REALISED_STATUSES)
-    return _money(stated.revenue_summary(f), "total_all", "revenue_realised")\
-        .withColumn("discount_realised", F.col("discount_realised").cast("decimal(18,4)"))
+    return _sums(_sums(stated.revenue_summary(f), "total_all", "revenue_realised"),
+                 "discount_realised", scale=4)
 
 
 def q_category_mix(spark, d):
     out = stated.category_mix(_item_fact(spark, d), _product_dim(spark, d))
-    return _money(out, "revenue")
+    return _sums(out, "revenue")
 
 
 def q_returns_by_reason(spark, d):
-    return _money(stated.returns_by_reason(_return_fact(spark, d)), "refund_value", scale=5)
+    return _sums(stated.returns_by_reason(_return_fact(spark, d)), "refund_value", scale=5)
 
 
 def q_channel_location_crosstab(spark, d):
@@ -290,7 +299,7 @@ def q_channel_location_crosstab(spark, d):
 
 def q_item_order_reconcile(spark, d):
     out = stated.item_order_reconcile(B.order_items(spark, d), B.orders(spark, d), "total")
-    return _money(out, "abs_difference")
+    return _sums(out, "abs_difference")
 
 
 # --- ingestion --------------------------------------------------------------
