@@ -31,3 +31,20 @@ def test_incremental_load_appends_each_file_once(spark, scratch):
     assert [r["flag"] for r in rows] == [True, False, True]
     rep = batch_report(spark, dest, "orders").collect()
     assert sum(r["source_rows"] for r in rep) == 3 and {r["status"] for r in rep} == {"ok"}
+
+
+def test_one_file_per_trigger_gives_one_batch_each(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    for k in range(3):
+        _write(os.path.join(landing, f"part_{k}.csv"),
+               "id,amount\n" + "".join(f"{k * 10 + i},{i}.50\n" for i in range(4)))
+    cat = I.infer_schema({"t": C.read_text_table(spark, landing)})
+    schema = I.struct_from_catalog(cat, "t")
+    dest = os.path.join(scratch, "dest")
+    q = stream_raw_load(spark, landing, "t", schema, dest,
+                        checkpoint=os.path.join(scratch, "ckpt"), max_files_per_trigger=1)
+    q.awaitTermination(120)
+    rep = batch_report(spark, dest, "t").collect()
+    assert len(rep) == 3 and all(r["source_rows"] == 4 and r["status"] == "ok" for r in rep)
+    assert loaded_table(spark, dest, "t").select("id").distinct().count() == 12
