@@ -6,9 +6,11 @@ prices that task does not survive. Here the work stays distributed:
 
 1. values collapse to ``(value, count)`` with a map-side combined aggregate,
    so a value repeated on a third of the rows is one row;
-2. a bounded sketch (``percentile_approx`` over the distinct values) gives
-   ``B`` cut points, and ``Bucketizer`` (JVM binary search) assigns every
-   distinct value to a value-range bucket holding about 1/B of them;
+2. up to a checked 1M distinct values they are ranked as one bucket in one
+   task (running counts in a single window). Beyond that a bounded sketch
+   (``percentile_approx`` over the distinct values) gives ``B`` cut points,
+   and ``Bucketizer`` (JVM binary search) assigns every distinct value to a
+   value-range bucket holding about 1/B of them;
 3. per-bucket totals (at most B rows) get running offsets in one small
    window; the buckets that contain the wanted ranks are found with a join
    of those B rows against the handful of target ranks;
@@ -32,16 +34,51 @@ from pyspark.sql import functions as F
 from tillsight.session import materialize
 
 
+def _targets(n: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Rows ``(k, pos, r, side)``: the two ranks around ``p * (n - 1)`` for
+    every probability (``n`` is a one-row frame with column ``n``)."""
+    t = n.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), (F.lit(float(p)) * (F.col("n") - 1)).alias("pos"))
+        for i, p in enumerate(probs)])).alias("t")).select("t.*").where(F.col("pos") >= 0)
+    return t.select("k", "pos", F.floor("pos").cast("long").alias("r"),
+                    F.lit("lo").alias("side")).unionByName(
+        t.select("k", "pos", F.ceil("pos").cast("long").alias("r"), F.lit("hi").alias("side")))
+
+
+def _interpolate(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
+    per_k = picked.groupBy("k").agg(
+        F.first("pos").alias("pos"),
+        F.max(F.when(F.col("side") == "lo", F.col("x"))).alias("lo"),
+        F.max(F.when(F.col("side") == "hi", F.col("x"))).alias("hi"))
+    val = F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))
+    one = per_k.select(F.col("k"), val.alias("v"))
+    return one.agg(*[F.max(F.when(F.col("k") == i, F.col("v"))).alias(f"q{i}")
+                     for i in range(len(probs))])
+
+
+def _ranked_single(hist: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """All distinct values in one ranked partition (bounded by the caller's
+    size check): running counts, then the values at the wanted ranks."""
+    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("cum", F.sum("c").over(w))
+    ranks = _targets(hist.agg(F.sum("c").alias("n")), probs)
+    picked = F.broadcast(ranks).join(
+        cum, (F.col("r") >= F.col("cum") - F.col("c")) & (F.col("r") < F.col("cum")))
+    return _interpolate(picked, probs)
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     buckets: int | None = None, bucket_values: int = 200_000,
                     single_task_values: int = 1_000_000) -> DataFrame:
     """One row with one DOUBLE column ``q0, q1, ...`` per probability.
 
     When the histogram has at most ``single_task_values`` distinct values
-    (a checked bound), Spark's exact ``percentile`` weighted by the counts
-    finishes it in one small task. Beyond that, the bucketed path runs, with
-    ``buckets`` value ranges of about ``bucket_values`` distinct values each
-    (at most 10,000 cut points). Passing ``buckets`` forces that path.
+    (a checked bound), all of them form one bucket, ranked in one task.
+    Beyond that, ``buckets`` value ranges of about ``bucket_values`` distinct
+    values each (at most 10,000 cut points). The interpolation is always
+    PostgreSQL's ``lo + (pos - floor(pos)) * (hi - lo)``; Spark's built-in
+    ``percentile`` interpolates in another order and can differ in the last
+    bit.
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     # Checkpointed: the histogram feeds the cut points, the bucket totals and
@@ -49,11 +86,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     hist = materialize(x.groupBy("x").agg(F.count(F.lit(1)).alias("c")))
     if buckets is None:
         distinct = hist.count()
-        if distinct <= single_task_values:
-            arr = hist.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs]),
-                                        F.col("c")).alias("a"))
-            return arr.select(*[F.col("a")[i].alias(f"q{i}") for i in range(len(probs))])
-        buckets = min(10_000, max(1, math.ceil(distinct / bucket_values)))
+        # Up to ``single_task_values`` distinct values (a checked bound) one
+        # bucket is ranked in one task; beyond it, value-range buckets.
+        buckets = 1 if distinct <= single_task_values else \
+            min(10_000, max(1, math.ceil(distinct / bucket_values)))
+    if buckets == 1:
+        return _ranked_single(hist, probs)
     cuts: list[float] = []
     if buckets > 1:
         fractions = [i / buckets for i in range(1, buckets)]
@@ -71,15 +109,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_b.withColumn("b_end", F.sum("bc").over(w)).withColumn(
         "b_start", F.col("b_end") - F.col("bc"))
-    n = offsets.agg(F.max("b_end").alias("n"))
-    targets = n.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"),
-                 (F.lit(float(p)) * (F.col("n") - 1)).alias("pos"))
-        for i, p in enumerate(probs)])).alias("t")).select("t.*").where(F.col("pos") >= 0)
-    ranks = targets.select("k", "pos", F.floor("pos").cast("long").alias("r"),
-                           F.lit("lo").alias("side")).unionByName(
-        targets.select("k", "pos", F.ceil("pos").cast("long").alias("r"),
-                       F.lit("hi").alias("side")))
+    ranks = _targets(offsets.agg(F.max("b_end").alias("n")), probs)
     # At most 2 * len(probs) ranks against at most B bucket rows.
     located = ranks.join(offsets, (F.col("r") >= F.col("b_start")) & (F.col("r") < F.col("b_end")))
     wanted = located.select("b", "b_start").distinct()
@@ -90,11 +120,4 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     picked = located.select("k", "pos", "r", "side", "b").join(
         cand.select("b", "x", "c", "cum"), "b").where(
         (F.col("r") >= F.col("cum") - F.col("c")) & (F.col("r") < F.col("cum")))
-    per_k = picked.groupBy("k").agg(
-        F.first("pos").alias("pos"),
-        F.max(F.when(F.col("side") == "lo", F.col("x"))).alias("lo"),
-        F.max(F.when(F.col("side") == "hi", F.col("x"))).alias("hi"))
-    val = F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))
-    one = per_k.select(F.col("k"), val.alias("v"))
-    return one.agg(*[F.max(F.when(F.col("k") == i, F.col("v"))).alias(f"q{i}")
-                     for i in range(len(probs))])
+    return _interpolate(picked, probs)
