@@ -34,15 +34,32 @@ from pyspark.sql import functions as F
 from tillsight.session import materialize
 
 
-def _targets(n: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Rows ``(k, pos, r, side)``: the two ranks around ``p * (n - 1)`` for
-    every probability (``n`` is a one-row frame with column ``n``)."""
-    t = n.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), (F.lit(float(p)) * (F.col("n") - 1)).alias("pos"))
-        for i, p in enumerate(probs)])).alias("t")).select("t.*").where(F.col("pos") >= 0)
-    return t.select("k", "pos", F.floor("pos").cast("long").alias("r"),
-                    F.lit("lo").alias("side")).unionByName(
-        t.select("k", "pos", F.ceil("pos").cast("long").alias("r"), F.lit("hi").alias("side")))
+def _rank_array(n, probs: Sequence[float]):
+    """Array of structs ``(k, pos, r, side)``: the two ranks around
+    ``p * (n - 1)`` for every probability; ``n`` is a Column (a scalar)."""
+    items = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (n - 1)
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            items.append(F.struct(F.lit(i).alias("k"), pos.alias("pos"),
+                                  rank.cast("long").alias("r"), F.lit(side).alias("side")))
+    return F.array(*items)
+
+
+def _hits(frame: DataFrame, ranks, lo: str, hi: str) -> DataFrame:
+    """Rows of ``frame`` whose ``[lo, hi)`` range holds some wanted rank,
+    one row per rank hit. Each row tests the handful of ranks itself: no
+    join."""
+    # The ranks (they hold a scalar subquery) are a column first: Spark does
+    # not allow subqueries inside the lambda of a higher-order function.
+    hits = F.filter(F.col("_ranks"), lambda t: (t["pos"] >= 0) & (t["r"] >= F.col(lo))
+                    & (t["r"] < F.col(hi)))
+    return (frame.withColumn("_ranks", ranks).withColumn("_hits", hits)
+            .drop("_ranks").where(F.size("_hits") > 0)
+            .withColumn("_t", F.explode("_hits"))
+            .select("*", F.col("_t.k").alias("k"), F.col("_t.pos").alias("pos"),
+                    F.col("_t.r").alias("r"), F.col("_t.side").alias("side"))
+            .drop("_hits", "_t"))
 
 
 def _interpolate(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
@@ -60,11 +77,10 @@ def _ranked_single(hist: DataFrame, probs: Sequence[float]) -> DataFrame:
     """All distinct values in one ranked partition (bounded by the caller's
     size check): running counts, then the values at the wanted ranks."""
     w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("cum", F.sum("c").over(w))
-    ranks = _targets(hist.agg(F.sum("c").alias("n")), probs)
-    picked = F.broadcast(ranks).join(
-        cum, (F.col("r") >= F.col("cum") - F.col("c")) & (F.col("r") < F.col("cum")))
-    return _interpolate(picked, probs)
+    cum = hist.withColumn("cum", F.sum("c").over(w)).withColumn(
+        "start", F.col("cum") - F.col("c"))
+    n = hist.select(F.sum("c")).scalar()
+    return _interpolate(_hits(cum, _rank_array(n, probs), "start", "cum"), probs)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
@@ -109,15 +125,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_b.withColumn("b_end", F.sum("bc").over(w)).withColumn(
         "b_start", F.col("b_end") - F.col("bc"))
-    ranks = _targets(offsets.agg(F.max("b_end").alias("n")), probs)
-    # At most 2 * len(probs) ranks against at most B bucket rows.
-    located = ranks.join(offsets, (F.col("r") >= F.col("b_start")) & (F.col("r") < F.col("b_end")))
+    n = offsets.select(F.max("b_end")).scalar()
+    ranks = _rank_array(n, probs)
+    # The buckets holding a wanted rank (at most 2 * len(probs) of them).
+    located = _hits(offsets, ranks, "b_start", "b_end")
     wanted = located.select("b", "b_start").distinct()
     cand = hb.join(F.broadcast(wanted), "b")
     wb = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding,
                                                           Window.currentRow)
-    cand = cand.withColumn("cum", F.col("b_start") + F.sum("c").over(wb))
-    picked = located.select("k", "pos", "r", "side", "b").join(
-        cand.select("b", "x", "c", "cum"), "b").where(
-        (F.col("r") >= F.col("cum") - F.col("c")) & (F.col("r") < F.col("cum")))
-    return _interpolate(picked, probs)
+    cand = cand.withColumn("cum", F.col("b_start") + F.sum("c").over(wb)).withColumn(
+        "start", F.col("cum") - F.col("c"))
+    return _interpolate(_hits(cand.select("b", "x", "c", "cum", "start"), ranks,
+                              "start", "cum"), probs)

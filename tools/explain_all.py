@@ -22,6 +22,7 @@ from tillsight.plans.registry import queries  # noqa: E402
 from tillsight.session import get_session  # noqa: E402
 
 SKIP = {"csv_validation", "load_reconcile", "incremental_load"}
+INCLUDE_SUBQUERIES = {"BroadcastNestedLoopJoin", "CartesianProduct"}
 NODES = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
          "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
          "FlatMapGroupsInPandas", "Window", "TakeOrderedAndProject")
@@ -40,7 +41,10 @@ def main() -> None:
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-        counts = [len(re.findall(rf"\b{n}\b", plan)) for n in NODES]
+        # Nested-loop and cartesian joins are counted in the formatted plan,
+        # which also lists the plans of scalar subqueries.
+        counts = [len(re.findall(rf"\b{n}\b", text if n in INCLUDE_SUBQUERIES else plan))
+                  for n in NODES]
         pushed = len(re.findall(r"PushedFilters: \[[^\]]+\]", text))
         print(f"{name:28s} " + " ".join(f"{c:>10d}" for c in counts) + f"  {pushed:>6d}")
         if out:
