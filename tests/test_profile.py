@@ -92,3 +92,10 @@ def test_exact_quantiles_with_a_hot_value(spark):
     got = exact_quantiles(df, "v", [0.25, 0.5, 0.75], buckets=16).first()
     import numpy as np
     assert list(got) == [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]
+
+
+def test_multi_column_duplicates_count_rows_with_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, 3)], "a long, b long")
+    r = profile.integrity_panel(df, {"dup_ab": ["a", "b"], "dup_b": ["b"]}, {}).first()
+    assert r["dup_ab"] == 1      # (1, null) twice: one duplicate, as in SQL
+    assert r["dup_b"] == 2       # single column: nulls are not values

@@ -163,7 +163,10 @@ def integrity_panel(df: DataFrame, unique_keys: Mapping[str, Sequence[str]],
     ``checks`` maps an output name to a predicate counted where it is true."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for name, cols in unique_keys.items():
-        aggs.append((F.count(F.lit(1)) - F.count_distinct(*[F.col(x) for x in cols])).alias(name))
+        # Several columns are counted as one row value (a struct), as SQL's
+        # COUNT(DISTINCT (a, b)) does: a row with a null field still counts.
+        key = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(x) for x in cols])
+        aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias(name))
     for name, pred in checks.items():
         aggs.append(F.count_if(pred).alias(name))
     return df.agg(*aggs)
