@@ -142,3 +142,16 @@ def test_order_fact_labels_and_unknown_employee(spark):
     assert rows[1]["channel_label"] == "Loja física" and rows[1]["is_realised"] is True
     assert rows[2]["employee_id"] == -1 and rows[2]["status_label"] == "Rascunho"
     assert rows[2]["is_realised"] is False and rows[1]["date"] == dt.date(2024, 1, 1)
+
+
+def test_null_ticket_ranks_first_as_in_postgresql(spark):
+    # A customer whose totals are all null has a null ticket; PostgreSQL
+    # puts it first in a descending order.
+    o = spark.createDataFrame([(1, 10, Decimal("5.00")), (2, 11, None), (3, 12, Decimal("9.00"))],
+                              "id long, customer_id long, total decimal(8,2)")
+    i = spark.createDataFrame([(1, 1, 1), (2, 1, 1), (3, 1, 1)],
+                              "order_id long, product_variant_id long, quantity int")
+    v = spark.createDataFrame([(1, 1)], "id long, product_id long")
+    p = spark.createDataFrame([(1, 100)], "id long, category_id long")
+    top = segment.elite_customers(o, i, v, p, min_categories=1, n=3).collect()
+    assert [r["customer_id"] for r in top] == [11, 12, 10]

@@ -129,7 +129,7 @@ def share_of_total(df: DataFrame, group_col: str, value_col: str,
         group_col, "rows", "value_sum",
         pct_half_up(F.col("rows"), all_rows).alias("pct_rows"),
         pct_half_up(F.col("value_sum"), all_value, in_scale=value_scale).alias("pct_value"),
-    ).orderBy(F.col("value_sum").desc_nulls_last())
+    ).orderBy(F.col("value_sum").desc_nulls_first())
 
 
 def yearly_future(df: DataFrame, ts_col: str, as_of: date | str | None = None) -> DataFrame:

@@ -44,7 +44,8 @@ def elite_customers(orders: DataFrame, items: DataFrame, variants: DataFrame,
               .select("customer_id", "revenue", "frequency",
                       mean_half_up(F.col("revenue"), F.col("frequency")).alias("ticket"),
                       "category_diversity"))
-    return ranked.orderBy(F.col("ticket").desc_nulls_last(),
+    # PostgreSQL order: NULLs last ascending, first descending (trap T1).
+    return ranked.orderBy(F.col("ticket").desc_nulls_first(),
                           F.col("customer_id").asc_nulls_last()).limit(n)
 
 
@@ -68,7 +69,7 @@ def elite_category_mix(orders: DataFrame, items: DataFrame, variants: DataFrame,
         key = mean_half_up(F.col("revenue"), F.col("frequency"))
     else:
         key = F.col("revenue") / F.col("frequency")
-    elite = (qual.orderBy(key.desc_nulls_last(), F.col("customer_id").asc_nulls_last())
+    elite = (qual.orderBy(key.desc_nulls_first(), F.col("customer_id").asc_nulls_last())
              .limit(n).select("customer_id"))
     lines = (orders.select(F.col("id").alias("order_id"), "customer_id")
              .join(F.broadcast(elite), "customer_id")
@@ -82,4 +83,4 @@ def elite_category_mix(orders: DataFrame, items: DataFrame, variants: DataFrame,
     return (lines.groupBy("category_id", "category")
             .agg(F.sum("quantity").alias("items_bought"),
                  F.count_distinct("order_id").alias("orders_involved"))
-            .orderBy(F.col("items_bought").desc_nulls_last(), F.col("category_id")))
+            .orderBy(F.col("items_bought").desc_nulls_first(), F.col("category_id")))
