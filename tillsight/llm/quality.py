@@ -1,17 +1,18 @@
 """Operator 1, a compression classifier of text quality.
 
-Two zstandard dictionaries, one trained on good text and one on bad. A text is
-cut into pieces of ``piece`` bytes, each compressed with both; the difference
-of the two sizes over the text's length says which dictionary knows it better.
-A logistic curve fitted on labelled texts that the dictionaries have not seen
-turns the difference into a probability.
+Two zstandard dictionaries, one trained on good text and one on bad, for the
+text as it is and for its shape. A text is cut into pieces of ``piece`` bytes,
+each compressed with both; the difference of the two sizes over the text's
+length says which dictionary knows it better. A logistic curve over the
+differences (and how far the text compresses at all), fitted on labelled texts
+that the dictionaries have not seen, turns them into a probability.
 
 Bounds: at most ``sample`` labelled rows of each class train the model, taken
 in the order of a hash of their text, each with at most ``train_bytes`` bytes
-spread over the whole text. Scoring reads every whole text. The model (two
-dictionaries of ``dictionary`` bytes, two numbers) goes out by broadcast.
+spread over the whole text. Scoring reads every whole text. The model (four
+dictionaries of ``dictionary`` bytes, four numbers) goes out by broadcast.
 
-Defined cases: null and empty texts score as a difference of zero; without
+Defined cases: null and empty texts score as texts without any difference; without
 labels of both classes every score is the share of good labels (0.5 if there
 are none); labels other than 0 and 1 and rows without a label train nothing;
 every document row gets its own score, repeated rows the same one.
@@ -31,8 +32,16 @@ from .common import fresh, mapped, quoted, texts_of
 SAMPLE = 3000
 TRAIN_BYTES = 6000
 DICTIONARY = 64 * 1024
-PIECE = 2048
+PIECE = 1024
 LEVEL = 3
+FOLDS = 4
+SHORT = 100  # bytes added to a length, so that short texts tend to no difference
+
+# A text is looked at twice: as it is, and by its shape (letters, capitals,
+# digits and bytes beyond ASCII each as one character).
+_SHAPE = bytes(48 if 48 <= c <= 57 else 65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else c
+               for c in range(256))
+VIEWS = (None, _SHAPE)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int) -> list[tuple[bytes, int]]:
@@ -71,42 +80,52 @@ class Model:
         self.piece, self.level, self.dicts = piece, level, None
         ys = np.array([y for _, y in texts])
         self.prior = float(ys.mean()) if len(ys) else 0.5
-        self.slope, self.offset = 0.0, _logit(self.prior)
+        self.slopes, self.offset = np.zeros(3), _logit(self.prior)
         by = {y: [spread(t, train_bytes, piece) for t, z in texts if z == y] for y in (0, 1)}
         if min(len(by[0]), len(by[1])) < 2:
             return
-        # Two folds: the dictionaries of each half give the differences of the
-        # other half for the calibration; the final ones are made of both.
+        # Each fold's texts get their differences from the dictionaries of
+        # the other folds, for the calibration; the final ones use them all.
         diffs, marks = [], []
-        for fold in (0, 1):
-            self.dicts = [_dictionary(by[y][1 - fold::2], dictionary, piece) for y in (0, 1)]
-            size = self.sizer()
+        folds = min(FOLDS, len(by[0]), len(by[1]))
+        for fold in range(folds):
+            self.dicts = _dictionaries({y: [t for i, t in enumerate(by[y]) if i % folds != fold] for y in (0, 1)},
+                                       dictionary, piece)
+            measure = self.measure()
             for y in (0, 1):
-                for t in by[y][fold::2]:
-                    diffs.append(size(t))
+                for t in by[y][fold::folds]:
+                    diffs.append(measure(t))
                     marks.append(y)
-        self.dicts = [_dictionary(by[y], dictionary, piece) for y in (0, 1)]
-        self.slope, self.offset = _logistic(np.array(diffs), np.array(marks, float), self.prior)
+        self.dicts = _dictionaries(by, dictionary, piece)
+        self.slopes, self.offset = _logistic(np.array(diffs), np.array(marks, float), self.prior)
 
-    def sizer(self):
-        """A function from a text to its normalised size difference."""
+    def measure(self):
+        """A function from a text to its size differences, one for each view,
+        and the logarithm of how far it compresses at all."""
         if not self.dicts:
-            return lambda text: 0.0
-        made = [zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT) for d in self.dicts]
-        for d in made:
-            d.precompute_compress(level=self.level)
-        bad, good = (zstd.ZstdCompressor(dict_data=d, level=self.level, write_checksum=False,
-                                         write_content_size=False, write_dict_id=False) for d in made)
-
-        def size(text: bytes) -> float:
-            if not text:
-                return 0.0
-            return sum(len(bad.compress(p)) - len(good.compress(p)) for p in cut(text, self.piece)) / len(text)
-
-        return size
+            return lambda text: (0.0, 0.0, 0.0)
+        pairs = []
+        for view in self.dicts:
+            made = [zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT) for d in view]
+            for d in made:
+                d.precompute_compress(level=self.level)
+            pairs.append([zstd.ZstdCompressor(dict_data=d, level=self.level, write_checksum=False,
+                                              write_content_size=False, write_dict_id=False) for d in made])
+
+        def measure(text: bytes) -> tuple[float, ...]:
+            out, total = [], 0
+            for view, (bad, good) in zip(VIEWS, pairs):
+                parts = cut(text.translate(view) if view else text, self.piece)
+                sizes = [len(c.compress(p)) for c in (bad, good) for p in parts]
+                half = len(parts)
+                total = total or sum(sizes)
+                out.append((sum(sizes[:half]) - sum(sizes[half:])) / (len(text) + SHORT))
+            return (*out, float(np.log((total + SHORT) / (2 * len(text) + SHORT))))
+
+        return measure
 
     def score(self, diffs: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * diffs + self.offset, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(diffs @ self.slopes + self.offset, -500, 500)))
 
 
 def _logit(p: float) -> float:
@@ -114,6 +133,11 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
+def _dictionaries(by: dict[int, list[bytes]], size: int, piece: int) -> list[list[bytes]]:
+    return [[_dictionary([t.translate(view) if view else t for t in by[y]], size, piece) for y in (0, 1)]
+            for view in VIEWS]
+
+
 def _dictionary(texts: list[bytes], size: int, piece: int) -> bytes:
     """A dictionary of ``size`` bytes: zstandard's own training picks the
     segments that recur; pieces of the texts fill what it leaves."""
@@ -131,21 +155,21 @@ def _dictionary(texts: list[bytes], size: int, piece: int) -> bytes:
     return b"".join(fill) + trained
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
-    """Slope and offset of the calibration curve, by Newton steps with a weak
+def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Slopes and offset of the calibration, by Newton steps with a weak
     penalty; the classes weigh as they occur."""
-    scale = x.std() or 1.0
-    a = np.stack([x / scale, np.ones_like(x)], 1)
-    w = np.array([0.0, _logit(prior)])
+    scale = x.std(0)
+    scale[scale == 0] = 1.0
+    a = np.column_stack([x / scale, np.ones(len(x))])
+    keep = np.diag([0.1] * x.shape[1] + [1e-9])
+    w = np.array([0.0] * x.shape[1] + [_logit(prior)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) + 1e-2 * w * [1, 0]
-        hess = (a * (p * (1 - p))[:, None]).T @ a + np.diag([1e-2, 1e-9])
-        step = np.linalg.solve(hess, grad)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + keep, a.T @ (p - y) + keep @ w)
         w = w - step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return w[:-1] / scale, float(w[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
@@ -159,8 +183,13 @@ def quality_scores(docs: DataFrame, model: Model, text_col: str = "text") -> tup
 
     def work():
         model = held.value
-        size = model.sizer()
-        return lambda columns: [pa.array(model.score(np.array([size(t) for t in texts_of(columns[0])])), pa.float64())]
+        measure = model.measure()
+
+        def score(columns: list[pa.Array]) -> list[pa.Array]:
+            diffs = np.array([measure(t) for t in texts_of(columns[0])]).reshape(-1, 3)
+            return [pa.array(model.score(diffs), pa.float64())]
+
+        return score
 
     return mapped(docs, [text_col], [T.StructField(name, T.DoubleType())], work), name
 
