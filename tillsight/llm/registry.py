@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, line_dedup, quality
+from . import decontaminate, exact_dedup, line_dedup, line_hash, mixing, quality, toxicity
 from .common import table
 
 
@@ -18,18 +18,31 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.report(table(spark, d, "pages"))
 
 
+def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.report(table(spark, d, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, d, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op9_line_hash(spark: SparkSession, d: str) -> DataFrame:
+    return line_hash.report(table(spark, d, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_line_dedup, op4_exact_dedup, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_exact_dedup, op7_toxicity,
+                                       op9_line_hash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_line_dedup": line_dedup.SQL, "op4_exact_dedup": exact_dedup.SQL,
-            "op10_decontaminate": decontaminate.SQL}
+            "op9_line_hash": line_hash.SQL, "op10_decontaminate": decontaminate.SQL}
