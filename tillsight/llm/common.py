@@ -34,16 +34,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where.getParent())
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_in = where.getParent()
+    return out
 
 
 def discard(*frames: DataFrame) -> None:
     """Delete the folders of staged tables that nothing reads any more."""
     for df in frames:
-        spark = df.sparkSession
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where.getParent(), True)
+        df.staged_in.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df.staged_in, True)
 
 
 def fresh(name: str, taken: Iterable[str]) -> str:
