@@ -34,6 +34,7 @@ BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "br", "dd", "
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _BREAK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
+_GAP = r"[ \t\n\x0b\f\r]*[\t\n\x0b\f\r][ \t\n\x0b\f\r]*| {2,}"  # any white space but one blank
 _TAG = r"<[!/a-zA-Z][^>]*>"
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -46,7 +47,7 @@ def host_of(url: Column) -> Column:
 
 def text_of_html(html: Column) -> Column:
     """Visible text, one block a line."""
-    text = F.regexp_replace(F.regexp_replace(html, _HIDDEN, ""), r"\s+", " ")
+    text = F.regexp_replace(F.regexp_replace(html, _HIDDEN, ""), _GAP, " ")
     text = F.regexp_replace(F.regexp_replace(text, _BREAK, "\n"), _TAG, "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -98,7 +99,8 @@ def line_dedup(pages: DataFrame, host_col: str, text_col: str, ratio: float = RA
 
 def report(pages: DataFrame) -> DataFrame:
     """Per page of raw HTML: host, lines, dropped lines and the text left."""
-    text = pages.select("page_id", host_of(F.col("url")).alias("host"), text_of_html(F.col("html")).alias("text"))
+    text = staged(pages.select("page_id", host_of(F.col("url")).alias("host"),
+                               text_of_html(F.col("html")).alias("text")), "line-texts")
     out, n_lines, n_dropped = line_dedup(text, "host", "text")
     return out.select("page_id", "host", n_lines, n_dropped, "text")
 
@@ -107,7 +109,7 @@ SQL = rf"""
 WITH t AS (
   SELECT page_id, nullif(lower(regexp_extract(url, '{_HOST}', 1)), '') AS host,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-           regexp_replace(html, '{_HIDDEN}', '', 'g'), '\s+', ' ', 'g'),
+           regexp_replace(html, '{_HIDDEN}', '', 'g'), '{_GAP}', ' ', 'g'),
            '{_BREAK}', chr(10), 'g'), '{_TAG}', '', 'g'), 'x^', '') AS raw
   FROM pages
 ), p AS (
