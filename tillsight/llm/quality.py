@@ -7,8 +7,8 @@ length says which dictionary knows it better. A logistic curve over the
 differences (and how far the text compresses at all), fitted on labelled texts
 that the dictionaries have not seen, turns them into a probability.
 
-Bounds: at most ``sample`` labelled rows of each class train the model, taken
-in the order of a hash of their text, each with at most ``train_bytes`` bytes
+Bounds: at most ``SAMPLE`` labelled rows of each class train the model, taken
+in the order of a hash of their id, each with at most ``TRAIN_BYTES`` bytes
 spread over the whole text. Scoring reads every whole text. The model (four
 dictionaries of ``dictionary`` bytes, four numbers) goes out by broadcast.
 
@@ -44,19 +44,33 @@ _SHAPE = bytes(48 if 48 <= c <= 57 else 65 if 65 <= c <= 90 else 97 if 97 <= c <
 VIEWS = (None, _SHAPE)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int) -> list[tuple[bytes, int]]:
-    """At most ``sample`` texts of each class for training, in a repeatable
-    order. ``learn`` selects the label rows that may be learned from."""
-    rows = labels.filter(learn & quoted(label).isin(0, 1)).select("doc_id", quoted(label).cast("int").alias("_label")) \
-        .dropDuplicates(["doc_id"])
-    texts = docs.select("doc_id", "text").filter(F.length("text") > 0).join(rows, "doc_id")
-    key = F.xxhash64("text", "doc_id")
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int,
+                    train_bytes: int, piece: int = PIECE) -> list[tuple[bytes, int]]:
+    """Texts of at most ``sample`` label rows of each class for training, in
+    a repeatable order, at most ``train_bytes`` bytes of each. ``learn``
+    selects the label rows that may be learned from.
+
+    The label rows are chosen first, so only a table of 2 * ``sample`` ids is
+    broadcast, and no document is shuffled.
+    """
+    rows = labels.filter(learn & quoted(label).isin(0, 1) & F.col("doc_id").isNotNull()) \
+        .groupBy("doc_id").agg(F.min(quoted(label)).cast("int").alias("label"))
+    key = F.xxhash64("doc_id")
     chosen = None
     for y in (0, 1):
-        own = texts.filter(F.col("_label") == y).select(F.col("text"), F.col("_label"), key.alias("_key")) \
-            .orderBy("_key").limit(sample)
+        own = rows.filter(F.col("label") == y).orderBy(key, "doc_id").limit(sample)
         chosen = own if chosen is None else chosen.unionAll(own)
-    return [(r.text.encode(), r._label) for r in chosen.orderBy("_key").toLocalIterator()]
+    texts = docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(chosen), "doc_id") \
+        .select("text", "label", key.alias("key"))
+
+    def shorten(batches):
+        for batch in batches:
+            parts = [spread(t, train_bytes, piece) for t in texts_of(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), batch.column(1), batch.column(2)],
+                                             names=["text", "label", "key"])
+
+    got = texts.mapInArrow(shorten, "text binary, label int, key long").toLocalIterator()
+    return [(text, y) for _, text, y in sorted((r["key"], bytes(r["text"]), r["label"]) for r in got)]
 
 
 def cut(text: bytes, size: int) -> list[bytes]:
@@ -76,12 +90,12 @@ class Model:
     """Dictionaries and calibration; plain data, so that it can be pickled."""
 
     def __init__(self, texts: list[tuple[bytes, int]], dictionary: int = DICTIONARY, piece: int = PIECE,
-                 level: int = LEVEL, train_bytes: int = TRAIN_BYTES):
+                 level: int = LEVEL):
         self.piece, self.level, self.dicts = piece, level, None
         ys = np.array([y for _, y in texts])
         self.prior = float(ys.mean()) if len(ys) else 0.5
         self.slopes, self.offset = np.zeros(3), _logit(self.prior)
-        by = {y: [spread(t, train_bytes, piece) for t, z in texts if z == y] for y in (0, 1)}
+        by = {y: [t for t, z in texts if z == y] for y in (0, 1)}
         if min(len(by[0]), len(by[1])) < 2:
             return
         # Each fold's texts get their differences from the dictionaries of
@@ -173,7 +187,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, f
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    return Model(labelled_sample(docs, labels, "quality", learn, sample))
+    return Model(labelled_sample(docs, labels, "quality", learn, sample, TRAIN_BYTES))
 
 
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh, mapped, pieces, quoted, texts_of
-from .quality import labelled_sample, remainder, spread
+from .quality import labelled_sample, remainder
 
 WINDOW, STRIDE = 24, 12
 HIDDEN, CHAR_HIDDEN = 8, 6
@@ -159,7 +159,7 @@ class Model:
 
     def __init__(self, texts: list[tuple[bytes, int]], shares: tuple[int, int], seed: int = 7):
         self.shares, self.weights = shares, None
-        docs = [(tokens(spread(t, TRAIN_BYTES, 1024)), y) for t, y in texts]
+        docs = [(tokens(t), y) for t, y in texts]
         docs = [(w, y) for w, y in docs if w]
         n = [sum(y == k for _, y in docs) for k in (0, 1)]
         if min(n) < 2:
@@ -350,7 +350,7 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     counts = {r[0]: r[1] for r in labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
-    return Model(labelled_sample(docs, labels, "toxic", learn, sample), (counts.get(0, 0), counts.get(1, 0)))
+    return Model(labelled_sample(docs, labels, "toxic", learn, sample, TRAIN_BYTES), (counts.get(0, 0), counts.get(1, 0)))
 
 
 def toxicity_scores(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
