@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, quality, toxicity
+from . import decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, quality, suffix_dedup, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, d, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, d, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.report(table(spark, d, "documents"))
 
@@ -43,8 +47,8 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_exact_dedup, op6_near_dedup,
-                                       op7_toxicity, op9_line_hash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_exact_dedup, op5_suffix_dedup,
+                                       op6_near_dedup, op7_toxicity, op9_line_hash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
