@@ -131,7 +131,8 @@ def round_fractions(units: DataFrame, group: int = GROUP, seed: int = SEED) -> D
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         seed: int = SEED, **options) -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``source``, ``size``,
-    ``source_size``, ``target`` and ``taken``, the words that the mix takes."""
+    ``nth`` (1, 2, ... among rows with these three the same), ``source_size``,
+    ``target`` and ``taken``, the words that the mix takes."""
     rows = staged(docs.select(quoted(source_col).alias("source"), quoted(id_col).alias("id"),
                               words(quoted(text_col)).alias("size")), "mixing-sizes")
     goal = staged(targets(rows, **options), "mixing-targets")
@@ -145,7 +146,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     rounded = round_fractions(staged(parted, "mixing-units"), seed=seed)
     whole = goal.select(F.col("source").alias("_source"), "source_size", "target", F.floor(copies).alias("whole"))
     return rounded.join(whole, F.col("source").eqNullSafe(F.col("_source"))).select(
-        F.col("id").alias(id_col), "source", "size", "source_size", "target",
+        F.col("id").alias(id_col), "source", "size", "nth", "source_size", "target",
         (F.col("whole") * F.col("size") + F.round(F.col("part") * F.col("size")).cast("long")).alias("taken"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, quality, suffix_dedup, toxicity
+from . import chat, decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, quality, suffix_dedup, toxicity
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op8_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    return chat.report(table(spark, d, "conversations"))
+
+
 def op9_line_hash(spark: SparkSession, d: str) -> DataFrame:
     return line_hash.report(table(spark, d, "documents"))
 
@@ -48,7 +52,7 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_exact_dedup, op5_suffix_dedup,
-                                       op6_near_dedup, op7_toxicity, op9_line_hash, op10_decontaminate)}
+                                       op6_near_dedup, op7_toxicity, op8_chat_format, op9_line_hash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
