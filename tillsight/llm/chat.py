@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, mapped, quoted, staged
+from .common import fresh, mapped, quoted, small, staged
 from .quality import remainder
 
 # Roles, and the markers of each style of transcript.
@@ -108,7 +108,7 @@ def count_features(known: DataFrame) -> DataFrame:
     schema = "kind string, state int, value string, seen long"
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 0):
             counts: dict[tuple[str, int, str], int] = {}
             for text, roles, begins in zip(*(c.to_pylist() for c in batch.columns)):
                 before, started = "start", -1

@@ -90,6 +90,14 @@ def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def small(batches: Iterable[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of the given text
+    column, one row at least, so that a task holds little at a time."""
+    for batch in batches:
+        for a, b in pieces(batch.column(column), limit):
+            yield batch.slice(a, b - a)
+
+
 def mapped(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
            work: Callable[[], Callable[[list[pa.Array]], list[pa.Array]]]) -> DataFrame:
     """Append ``outputs`` to every row of ``df`` from its ``inputs`` columns.
@@ -98,15 +106,14 @@ def mapped(df: DataFrame, inputs: list[str], outputs: list[T.StructField],
     from the input arrays to the output arrays of a batch. All columns of
     ``df`` pass through untouched. The names of ``outputs`` must be new.
     """
-    names = df.columns
-    at = [names.index(c) for c in inputs]
-    schema = T.StructType([*df.schema.fields, *outputs])
-    new = [f.name for f in outputs]
+    # By position inside, so that names with dots in them pass as well.
+    at = [df.columns.index(c) for c in inputs]
+    names = [f"c{i}" for i in range(len(df.columns) + len(outputs))]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, [*df.schema.fields, *outputs])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         do = work()
-        for batch in batches:
-            got = do([batch.column(i) for i in at])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *got], names=[*names, *new])
+        for batch in small(batches, at[0]):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *do([batch.column(i) for i in at])], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*names[:len(df.columns)]).mapInArrow(run, schema).toDF(*df.columns, *(f.name for f in outputs))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, fresh, mapped, quoted, staged
+from .common import LOWER, UPPER, fresh, mapped, quoted, small, staged
 
 MIN_WORDS = 5
 _SPACE = " \t\n\x0b\x0c\r"
@@ -58,7 +58,7 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, separator: str = "\
                            T.StructField("digest", T.BinaryType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 2):
             at, starts, ends, digests = [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 for start, end, norm in units_of(text.as_py() or "", separator, min_words):
@@ -73,8 +73,10 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, separator: str = "\
 
     units = staged(rows.mapInArrow(run, schema), "line-units")
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "start")
-    first = (units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("uses"))
-             .filter("uses > 1").select("digest", "first"))
+    # Written, so that both sides of the join are dealt anew and a hot digest's
+    # rows can be split.
+    first = staged(units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("uses"))
+                   .filter("uses > 1").select("digest", "first"), "line-first")
     return (units.join(first, "digest").filter(rank != F.col("first"))
             .groupBy("id", "hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone")))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, mapped, quoted, texts_of
+from .common import fresh, mapped, quoted, small, texts_of
 
 SAMPLE = 3000
 TRAIN_BYTES = 6000
@@ -64,7 +64,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         .select("text", "label", key.alias("key"))
 
     def shorten(batches):
-        for batch in batches:
+        for batch in small(batches, 0):
             parts = [spread(t, train_bytes, piece) for t in texts_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), batch.column(1), batch.column(2)],
                                              names=["text", "label", "key"])

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, mapped, pieces, quoted, staged, texts_of
+from .common import fresh, mapped, pieces, quoted, small, staged, texts_of
 from .near_dedup import _mixed
 
 LENGTH, GRAM, CORE = 100, 20, 80
@@ -480,7 +480,7 @@ def report(docs: DataFrame) -> DataFrame:
                            T.StructField("kept_sha256", T.StringType())])
 
     def summed(batches):
-        for batch in batches:
+        for batch in small(batches, 1):
             got = []
             for text, spans in zip(texts_of(batch.column(1)), batch.column(2)):
                 edges = [0, *spans.as_py(), len(text)]

@@ -349,7 +349,7 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    counts = {r[0]: r[1] for r in labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
+    counts = {r[0]: r[1] for r in labels.filter(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("toxic").count().collect()}
     return Model(labelled_sample(docs, labels, "toxic", learn, sample, TRAIN_BYTES), (counts.get(0, 0), counts.get(1, 0)))
 
 
