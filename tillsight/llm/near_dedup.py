@@ -5,17 +5,17 @@ case, words between ASCII white space; a shorter text is one shingle). Under
 each of ``PERMUTATIONS`` hash orders both the smallest and the largest shingle
 are signature values, twice as many as hash evaluations. ``BANDS`` bands of
 ``ROWS`` values put documents into buckets; a pair at similarity 0.8 misses all
-buckets with a chance of 5e-8. Links are confirmed on the full sets.
+of them with a chance of 3e-6. Links are confirmed on the full sets.
 
 1. Documents with the same set form a class; only classes go on.
 2. In each bucket one leader, the class whose buckets are the fullest, is
-   compared with all others. A group of copies of one document is settled by
-   that: its original leads, and classes already connected need no further test.
-3. What a bucket then still holds unconnected is compared in pairs if it is at
-   most ``SMALL`` classes. A fuller bucket is split by each other band: classes
-   that share a second band share a smaller bucket, in which steps 2 and 3
-   repeat. A pair of similar documents shares many bands, so none is lost, and
-   no bucket emits more pairs than ``SMALL`` for each member.
+   compared with all others. That settles a group of copies of one document:
+   its original leads, and what is connected needs no further test.
+3. Of a bucket that isn't connected then, the members outside its largest
+   component are compared with all members, in blocks of at most ``HELD``
+   against ``PASSED``: the first are held in a task, the others stream past.
+   Every pair of a bucket that could add a link is compared, no pair is a row,
+   and a group yields fewer links than it has members.
 4. Components are the fixed point of large-star and small-star steps over the
    links, as joins and aggregates on written tables.
 
@@ -36,10 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, quoted, staged
+from .common import discard, quoted, small, staged
 
-PERMUTATIONS, BANDS, ROWS = 64, 32, 4
-SMALL = 24
+PERMUTATIONS, BANDS, ROWS = 48, 24, 4
+HELD, PASSED = 1024, 4096
 WIDTH, PERCENT = 2, 80
 SEED = 5
 KNOWN_WORDS = 300_000
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
 
     def run(batches):
         shingles, sign = Shingles(width), _signer()
-        for batch in batches:
+        for batch in small(batches, 2):
             sizes, nodes, bands = [], [], []
             for text in batch.column(2):
                 s = shingles((text.as_py() or "").encode())
@@ -126,27 +126,56 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The ``pairs`` (``a``, ``b``) whose full sets are similar enough;
-    ``texts`` has ``node`` and ``text``."""
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "text_a", "b", "text_b"))
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+_LINK = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+
+
+def compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) within groups: of each ``key``, rows of ``side`` 0
+    are held and those of side 1 compared with all of them. ``root`` tells what
+    is connected already; a link that connects nothing new is left out."""
 
     def run(batches):
         shingles = Shingles(width)
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(1), batch.column(3)):
-                s, t = shingles(x.as_py().encode()), shingles(y.as_py().encode())
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * both >= percent * (len(s) + len(t) - both))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(2).filter(keep)],
-                                             names=["a", "b"])
-
-    return both.mapInArrow(run, schema)
+        key, nodes, roots, sets, joined = None, [], [], [], {}
+        flat = owner = sizes = None
+
+        def find(x):
+            while x in joined:
+                x = joined[x]
+            return x
+
+        for batch in small(batches, 4):
+            links = []
+            for k, side, node, root, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != key:
+                    key, nodes, roots, sets, joined, flat = k, [], [], [], {}, None
+                s = shingles((text or "").encode())
+                if side == 0:
+                    nodes.append(node)
+                    roots.append(root)
+                    sets.append(s)
+                    continue
+                if not nodes:
+                    continue
+                if flat is None:
+                    sizes = np.array([len(x) for x in sets])
+                    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+                    order = np.argsort(flat, kind="stable")
+                    flat, owner = flat[order], owner[order]
+                low, high = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+                n = high - low
+                at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(sizes))
+                for i in np.flatnonzero(100 * both >= percent * (sizes + len(s) - both)).tolist():
+                    x, y = find(roots[i]), find(root)
+                    if x != y:
+                        joined[x] = y
+                        links.append((nodes[i], node))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], names=["a", "b"])
+
+    dealt = rows.select("key", "side", "node", "root", "text").repartition("key").sortWithinPartitions("key", "side")
+    return dealt.mapInArrow(run, _LINK)
 
 
 def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
@@ -174,68 +203,61 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                percent: int = PERCENT, small: int = SMALL) -> DataFrame:
+                percent: int = PERCENT, held: int = HELD, passed: int = PASSED) -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``n_shingles``,
     ``component_id`` and ``kept``."""
     signed = staged(signatures(docs, id_col, text_col, width), "near-signatures")
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    entries = classes.select("node", "n", "bands", F.posexplode("bands").alias("band", "key"))
-    entries = entries.select("node", "n", F.xxhash64("band", "key").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    # Members of the buckets that hold anything to compare, with a rank: the
-    # class whose buckets are the fullest.
-    buckets = staged(entries.join(shared, "bucket"), "near-buckets")
-    rank = buckets.groupBy("node").agg(F.sum("members").alias("rank"))
-    candidates = staged(rank, "near-candidates")
-    texts = staged(_texts(docs, signed, candidates, id_col, text_col), "near-texts")
-    buckets = buckets.drop("members").join(candidates, "node")
-    roots = links = None
-    depth = 0
-    while True:
-        work = buckets if roots is None else buckets.join(roots, "node", "left")
-        work = work.select("bucket", "node", "n", "rank", (
-            F.col("node") if roots is None else F.coalesce("root", "node")).alias("root"))
-        work = staged(work, "near-work")
-        lead = work.groupBy("bucket").agg(
-            F.max(F.struct("rank", "node", "n", "root")).alias("lead"), F.min("root").alias("low"),
-            F.max("root").alias("high")).filter("low != high")
-        met = _pairs(work.join(lead, "bucket").filter("root != lead.root"), F.col("lead.node"), F.col("lead.n"), percent)
-        links, roots = _linked(met, texts, links, width, percent)
-        # What is left: the members other than the leader that are not
-        # connected with it, if there are two components of them or more.
-        left = work.join(lead, "bucket").filter("node != lead.node").drop("root")
-        left = (left if roots is None else left.join(roots, "node", "left").withColumnRenamed("root", "_root"))
-        left = left.select("bucket", "node", "n", "rank", (
-            F.col("node") if roots is None else F.coalesce("_root", "node")).alias("root"))
-        open_ = left.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"),
-                                           F.max("root").alias("high")).filter("low != high")
-        left = staged(left.join(open_.select("bucket", "members"), "bucket"), "near-left")
-        few = left.filter(F.col("members") <= small).groupBy("bucket").agg(
-            F.collect_list(F.struct("node", "n", "root")).alias("all"))
-        close = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")) \
-            .filter("x.node < y.node AND x.root != y.root") \
-            .select(F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("y.node").alias("other"), F.col("y.n").alias("other_n"))
-        links, roots = _linked(_pairs(close, F.col("other"), F.col("other_n"), percent), texts, links, width, percent)
-        many = left.filter(F.col("members") > small)
-        depth += 1
-        if depth == BANDS or many.isEmpty():
-            break
-        split = many.select("bucket", "node", "n", "rank").join(
-            classes.select("node", "bands"), "node").select(
-            "bucket", "node", "n", "rank", F.posexplode("bands").alias("band", "key")) \
-            .select("node", "n", "rank", F.xxhash64("bucket", "band", "key").alias("bucket"))
-        # A split that leaves a bucket whole says nothing new: all bands that
-        # made the bucket do so.
-        size = split.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-        buckets = staged(split.join(size, "bucket").drop("members"), "near-split")
-    named = signed.select("id", "n", "node")
+        F.first("n").alias("n"), F.first("bands").alias("bands"))
+    entries = classes.select("node", "n", F.posexplode("bands").alias("band", "key")) \
+        .select("node", "n", F.xxhash64("band", "key").alias("bucket"))
+    shared = staged(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "near-shared")
+    members = staged(entries.join(shared, "bucket"), "near-members")
+    rank = members.groupBy("node").agg(F.sum("members").alias("rank"))
+    members = staged(members.join(rank, "node"), "near-ranked")
+    texts = staged(_texts(docs, signed, members.select("node").distinct(), id_col, text_col), "near-texts")
+    leaders = staged(members.groupBy("bucket").agg(F.max(F.struct("rank", "node", "n")).alias("lead"))
+                     .select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "near-leaders")
+    followers = members.select("bucket", "node", "n").join(leaders, "bucket").filter("node != lead")
+
+    # The leader of a bucket against the others, each pair once.
+    pairs = staged(followers.filter(100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n"))
+                   .select("lead", "node").distinct(), "near-pairs")
+    blocks = pairs.groupBy("lead").agg(F.ceil(F.count("*") / passed).cast("int").alias("blocks"))
+    led = pairs.join(staged(blocks, "near-blocks"), "lead").select(
+        F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).alias("key"), F.lit(1).alias("side"), "node")
+    lead = blocks.select("lead", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")).select(
+        F.xxhash64("lead", "block").alias("key"), F.lit(0).alias("side"), F.col("lead").alias("node"))
+    own = led.unionAll(lead).join(texts, "node").withColumn("root", F.col("node"))
+    links = staged(compare(own, width, percent), "near-links")
+    roots = components(links)
+
+    # What is left of a bucket: members outside its largest component against all.
+    left = staged(followers.select("bucket", "node").join(roots, "node", "left")
+                  .select("bucket", "node", F.coalesce("root", "node").alias("root")), "near-left")
+    parts = left.groupBy("bucket", "root").agg(F.count("*").alias("members"))
+    split = staged(parts.groupBy("bucket").agg(F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("all"))
+                   .filter("main.members < all")
+                   .select("bucket", F.col("main.root").alias("main"),
+                           F.ceil((F.col("all") - F.col("main.members")) / held).cast("int").alias("rows"),
+                           F.ceil(F.col("all") / passed).cast("int").alias("columns")), "near-split")
+    todo = left.join(split, "bucket")
+    row, column = F.pmod(F.xxhash64("node"), F.col("rows")).cast("int"), F.pmod(F.xxhash64("node"), F.col("columns")).cast("int")
+    outside = todo.filter("root != main").select("bucket", "node", "root", row.alias("row"), F.explode(
+        F.expr("sequence(0, columns - 1)")).alias("column"), F.lit(0).alias("side"))
+    everyone = todo.select("bucket", "node", "root", F.explode(F.expr("sequence(0, rows - 1)")).alias("row"),
+                           column.alias("column"), F.lit(1).alias("side"))
+    blocks = outside.unionAll(everyone).select(F.xxhash64("bucket", "row", "column").alias("key"), "side", "node", "root")
+    more = staged(compare(blocks.join(texts, "node"), width, percent), "near-links")
+    roots = components(links.unionAll(more))
+
     own = F.coalesce("root", "node")
-    least = classes.join(roots, "node", "left").groupBy(own.alias("_root")).agg(F.min("id").alias("least"))
-    final = staged(classes.select("node").join(roots, "node", "left").select(F.col("node").alias("_node"), own.alias("_root"))
-                   .join(least, "_root").select("_node", "least"), "near-final")
+    named = signed.groupBy("node").agg(F.min("id").alias("id")).filter("node IS NOT NULL").join(roots, "node", "left") \
+        .select(F.col("node").alias("_node"), "id", own.alias("_root"))
+    least = staged(named.groupBy("_root").agg(F.min("id").alias("least")), "near-least")
+    final = staged(named.join(least, "_root").select("_node", "least"), "near-final")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
-    return (named.join(final, F.col("node") == F.col("_node"), "left")
+    return (signed.select("id", "n", "node").join(final, F.col("node") == F.col("_node"), "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                     F.col("id").eqNullSafe(component).alias("kept")))
 
@@ -253,20 +275,6 @@ def _texts(docs, signed, candidates, id_col, text_col):
         .select("node", "text")
 
 
-def _pairs(rows, other, other_n, percent):
-    """Distinct pairs of classes whose sizes allow the similarity."""
-    n = F.col("n")
-    return rows.filter(100 * F.least(n, other_n) >= percent * F.greatest(n, other_n)) \
-        .select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
-
-
-def _linked(pairs, texts, links, width, percent):
-    """All links found so far, and the components they make."""
-    found = staged(similar(pairs, texts, width, percent), "near-links")
-    links = found if links is None else staged(links.unionAll(found), "near-links")
-    return links, components(links)
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group; a row that repeats
     id and text counts once."""
