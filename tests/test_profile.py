@@ -41,9 +41,11 @@ def test_overview_and_column_profile(spark):
     assert (r["total_rows"], r["total_columns"]) == (4, 11)
     cp = {x["column"]: x for x in profile.column_profile(o).collect()}
     assert cp["salesperson_id"]["null_count"] == 2
-    assert cp["id"]["distinct_count"] == 3 and cp["id"]["ordinal"] == 1
-    ap = {x["column"]: x for x in profile.column_profile(o, approx=True).collect()}
-    assert ap["id"]["distinct_count"] == 3
+    assert cp["salesperson_id"]["nullable"] and not cp["id"]["nullable"]
+    assert cp["id"]["distinct_count"] is None and cp["id"]["ordinal"] == 1
+    assert cp["id"]["data_type"] == "BIGINT" and cp["channel"]["data_type"] == "VARCHAR"
+    dp = {x["column"]: x for x in profile.column_profile(o, distinct=["id"]).collect()}
+    assert dp["id"]["distinct_count"] == 3 and dp["channel"]["distinct_count"] is None
 
 
 def test_null_pattern_and_share(spark):
@@ -89,9 +91,23 @@ def test_exact_quantiles_with_a_hot_value(spark):
     from tillsight.operators.quantiles import exact_quantiles
     vals = [float(v) for v in range(1, 301)] + [7.0] * 150
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = exact_quantiles(df, "v", [0.25, 0.5, 0.75], buckets=16).first()
     import numpy as np
-    assert list(got) == [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]
+    want = [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]
+    for size in (7, 20, 200_000):  # many ranges or one: the same steps and answers
+        assert list(exact_quantiles(df, "v", [0.25, 0.5, 0.75], bucket_values=size).first()) == want
+
+
+def test_exact_quantiles_order_nan_last(spark):
+    import math
+
+    from tillsight.operators.quantiles import exact_quantiles
+    nan = float("nan")
+    df = spark.createDataFrame([(v,) for v in (1.0, nan, 3.0, 2.0, nan, 4.0, None)], "v double")
+    for size in (1, 2, 200_000):
+        q = list(exact_quantiles(df, "v", [0.0, 0.4, 0.5, 0.9], bucket_values=size).first())
+        assert q[:3] == [1.0, 3.0, 3.5] and math.isnan(q[3])
+    none = df.filter("v IS NULL")
+    assert list(exact_quantiles(none, "v", [0.5]).first()) == [None]
 
 
 def test_multi_column_duplicates_count_rows_with_nulls(spark):

@@ -72,33 +72,28 @@ def numeric_distribution(df: DataFrame, col: str, method: str = "exact",
     )
 
 
-def column_profile(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Ordinal, name, declared type, null count and exact distinct count
-    of every column, in one scan. ``approx=True`` counts distinct values with
-    HyperLogLog++ (relative error ``rsd``), which moves no values at all.
-
-    Columns are unpivoted to (column, value-as-text) so one aggregate serves
-    all of them; the distinct count is planned as a two-phase aggregate on
-    (column, value) and then on column, so a column dominated by one value
-    collapses map-side.
-    """
+# SQL names of the Spark types whose names differ (fixed values).
+SQL_TYPES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+def column_profile(df: DataFrame, distinct: Sequence[str] = ()) -> DataFrame:
+    """Ordinal, name, SQL type, row count, null count and observed
+    nullability of every column, in one aggregate that moves one row a
+    partition. Exact distinct counts move values, so they are taken only for
+    the columns named in ``distinct`` (NULL for the others)."""
     fields = df.schema.fields
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column"),
-                 F.col(f"`{f.name}`").cast("string").alias("v"))
-        for i, f in enumerate(fields)])).alias("s")).select("s.*")
-    types = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString(), f.nullable) for f in fields],
-        "column string, data_type string, declared_nullable boolean")
-    prof = stacked.groupBy("ordinal", "column").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("v").isNull()).alias("null_count"),
-        (F.approx_count_distinct("v", rsd) if approx else F.count_distinct("v"))
-        .alias("distinct_count"),
-    )
-    return prof.join(F.broadcast(types), "column").select(
-        "ordinal", "column", "data_type", "declared_nullable",
-        "row_count", "null_count", "distinct_count").orderBy("ordinal")
+    col = lambda f: F.col("`" + f.name.replace("`", "``") + "`")
+    one = df.agg(F.count(F.lit(1)).alias("rows"),
+                 *[F.count(col(f)).alias(f"n{i}") for i, f in enumerate(fields)],
+                 *[F.count_distinct(col(f)).alias(f"d{i}") for i, f in enumerate(fields) if f.name in distinct])
+    rows = F.array(*[F.struct(
+        F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column"),
+        F.lit(SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())).alias("data_type"),
+        F.col("rows").alias("row_count"), (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
+        (F.col("rows") > F.col(f"n{i}")).alias("nullable"),
+        (F.col(f"d{i}") if f.name in distinct else F.lit(None).cast("long")).alias("distinct_count"))
+        for i, f in enumerate(fields)])
+    return one.select(F.explode(rows).alias("c")).select("c.*")
 
 
 def null_pattern(df: DataFrame, group_col: str, col: str) -> DataFrame:

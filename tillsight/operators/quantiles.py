@@ -2,24 +2,24 @@
 
 Spark's built-in exact ``percentile`` keeps every distinct value in one
 aggregation buffer and merges them in one final task; at a billion distinct
-prices that task does not survive. Here the work stays distributed:
+prices that task does not survive. Here the work stays distributed, by the
+same steps at every size:
 
 1. values collapse to ``(value, count)`` with a map-side combined aggregate,
    so a value repeated on a third of the rows is one row;
-2. up to a checked 1M distinct values they are ranked as one bucket in one
-   task (running counts in a single window). Beyond that a bounded sketch
-   (``percentile_approx`` over the distinct values) gives ``B`` cut points,
-   and ``Bucketizer`` (JVM binary search) assigns every distinct value to a
-   value-range bucket holding about 1/B of them;
-3. per-bucket totals (at most B rows) get running offsets in one small
-   window; the buckets that contain the wanted ranks are found with a join
-   of those B rows against the handful of target ranks;
-4. only the values of those buckets are ranked, by a window partitioned by
-   bucket, and the values at ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``
-   are interpolated as PostgreSQL does: ``lo + (pos - floor(pos)) * (hi - lo)``.
-
-The only driver traffic is the B cut points. The histogram is checkpointed
-in the shared folder because three branches read it.
+2. the distinct values are dealt into value ranges of about ``bucket_values``
+   each (``repartitionByRange``); a range is a bucket;
+3. per-bucket totals (one row for ``bucket_values`` distinct values) get
+   running offsets in one small window, and each row of them tests the handful
+   of wanted ranks;
+4. only the values of the buckets that hold one are ranked, by a window
+   partitioned by bucket, and the values at ranks ``floor(p(n-1))`` and
+   ``ceil(p(n-1))`` are interpolated as PostgreSQL does:
+   ``lo + (pos - floor(pos)) * (hi - lo)``.
+
+NaN is greater than every number and equal to itself, as PostgreSQL orders it,
+so it takes part like any value; an interpolation that touches it is NaN. The
+histogram is checkpointed in the shared folder because three branches read it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,63 +72,29 @@ def _interpolate(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
                      for i in range(len(probs))])
 
 
-def _ranked_single(hist: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """All distinct values in one ranked partition (bounded by the caller's
-    size check): running counts, then the values at the wanted ranks."""
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("cum", F.sum("c").over(w)).withColumn(
-        "start", F.col("cum") - F.col("c"))
-    n = hist.select(F.sum("c")).scalar()
-    return _interpolate(_hits(cum, _rank_array(n, probs), "start", "cum"), probs)
-
-
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    buckets: int | None = None, bucket_values: int = 200_000,
-                    single_task_values: int = 1_000_000) -> DataFrame:
+                    bucket_values: int = 200_000) -> DataFrame:
     """One row with one DOUBLE column ``q0, q1, ...`` per probability.
 
-    When the histogram has at most ``single_task_values`` distinct values
-    (a checked bound), all of them form one bucket, ranked in one task.
-    Beyond that, ``buckets`` value ranges of about ``bucket_values`` distinct
-    values each (at most 10,000 cut points). The interpolation is always
-    PostgreSQL's ``lo + (pos - floor(pos)) * (hi - lo)``; Spark's built-in
-    ``percentile`` interpolates in another order and can differ in the last
-    bit.
+    The interpolation is PostgreSQL's ``lo + (pos - floor(pos)) * (hi - lo)``;
+    Spark's built-in ``percentile`` interpolates in another order and can
+    differ in the last bit.
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    # Checkpointed: the histogram feeds the cut points, the bucket totals and
-    # the candidate ranking; the source is scanned once.
+    # The source is scanned once: the histogram feeds the ranges, the bucket
+    # totals and the ranking.
     hist = materialize(x.groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    if buckets is None:
-        distinct = hist.count()
-        # Up to ``single_task_values`` distinct values (a checked bound) one
-        # bucket is ranked in one task; beyond it, value-range buckets.
-        buckets = 1 if distinct <= single_task_values else \
-            min(10_000, max(1, math.ceil(distinct / bucket_values)))
-    if buckets == 1:
-        return _ranked_single(hist, probs)
-    cuts: list[float] = []
-    if buckets > 1:
-        fractions = [i / buckets for i in range(1, buckets)]
-        row = hist.agg(F.percentile_approx("x", fractions, 10 * buckets).alias("cuts")).first()
-        cuts = sorted({float(v) for v in (row["cuts"] or [])
-                       if v is not None and not math.isnan(v)})
-    if cuts:
-        hb = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="x",
-                        outputCol="b").transform(hist)
-    else:
-        hb = hist.withColumn("b", F.lit(0.0))
-
+    buckets = max(1, math.ceil(hist.count() / bucket_values))
+    hb = materialize(hist.repartitionByRange(buckets, "x").withColumn("b", F.spark_partition_id()))
+    # Partition ids follow the ranges, so their order is that of the values.
     per_b = hb.groupBy("b").agg(F.sum("c").alias("bc"))
-    # One row per bucket (at most 10,000): a single-partition window is fine.
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_b.withColumn("b_end", F.sum("bc").over(w)).withColumn(
         "b_start", F.col("b_end") - F.col("bc"))
     n = offsets.select(F.max("b_end")).scalar()
     ranks = _rank_array(n, probs)
     # The buckets holding a wanted rank (at most 2 * len(probs) of them).
-    located = _hits(offsets, ranks, "b_start", "b_end")
-    wanted = located.select("b", "b_start").distinct()
+    wanted = _hits(offsets, ranks, "b_start", "b_end").select("b", "b_start").distinct()
     cand = hb.join(F.broadcast(wanted), "b")
     wb = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding,
                                                           Window.currentRow)
