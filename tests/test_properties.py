@@ -30,10 +30,14 @@ def test_series_is_dense(spark):
 
 def test_cosine_symmetric_bounded(spark):
     pairs = R._pairs(spark, SF)
-    cos = recommend.item_cosine(pairs, checkpoint=False, product_tiles=3, customer_blocks=2)
+    every = pairs.select("product_id").distinct()
+    cos = recommend.item_cosine(pairs, every, checkpoint=False)
     r = cos.agg(F.min("similarity"), F.max("similarity"),
-                F.count_if(F.col("product_a") >= F.col("product_b"))).first()
+                F.count_if(F.col("product_a") == F.col("product_b"))).first()
     assert r[0] > 0 and r[1] <= 1.0 + 1e-12 and r[2] == 0
+    turned = cos.selectExpr("product_b AS product_a", "product_a AS product_b", "common_buyers",
+                            "buyers_b AS buyers_a", "buyers_a AS buyers_b", "similarity")
+    assert cos.exceptAll(turned).count() == 0
 
 
 def test_order_filter_restricts(spark):

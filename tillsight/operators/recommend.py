@@ -2,43 +2,20 @@
 
 The customer x product matrix is never materialised densely: it is the sparse
 set of distinct (customer, product) pairs. Cosine similarity of two products
-is ``common buyers / sqrt(buyers a * buyers b)``.
-
-Two ways to get the co-counts:
-
-* one reference product (``similar_items``): join its buyers back to the
-  pairs and count per product. Linear in the data, no pairs within a basket.
-* all product pairs (``item_cosine``): a tiled sparse matrix product.
-  Products are hashed into ``T`` tiles and customers into ``B`` blocks; every
-  pair entry is copied to the tile pairs formed by its tile and each tile
-  its customer bought from (at most ``T``), and
-  each (tile, tile, block) group accumulates its block of ``A^T B`` (A the
-  0/1 customer x product matrix) into a tile x tile count array with numpy
-  inside ``applyInPandas``. Partial counts are summed by Spark across
-  blocks. A group holds at most two product tiles of one customer block, so
-  neither a huge basket nor a best-selling product makes one task unbounded,
-  and no pair list ever leaves a task.
+is ``common buyers / sqrt(buyers a * buyers b)``. Co-counts are taken for stated
+reference products only, one (``similar_items``) or a table of them
+(``item_cosine``): the buyers of the references join back to the pairs and are
+counted per product, so the work is linear in the pairs of those buyers and no
+list of all product pairs ever exists.
 """
 
 from __future__ import annotations
 
-import math
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.session import materialize
 
-# The tile function runs in Python workers. Pickling this module by value
-# ships it with the task, so executors need neither this package on their
-# path nor a --py-files archive.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 class ProductNameError(ValueError):
     pass
 
@@ -83,13 +60,13 @@ def name_resolution(products: DataFrame) -> DataFrame:
 def resolve_product(products: DataFrame, name: str) -> int:
     """The single id carrying ``name``; error if none or several.
 
-    Reads at most three ids of that name to the driver."""
-    ids = [r["id"] for r in products.filter(F.col("name") == F.lit(name))
-           .select("id").distinct().orderBy("id").limit(3).collect()]
+    The error tells how many ids there are and the first twenty."""
+    named = products.filter(F.col("name") == F.lit(name)).select("id").distinct()
+    ids = [r["id"] for r in named.orderBy("id").limit(20).collect()]
     if not ids:
         raise ProductNameError(f"product not found: {name!r}")
     if len(ids) > 1:
-        raise ProductNameError(f"ambiguous name {name!r}: ids {ids}...; give the id")
+        raise ProductNameError(f"ambiguous name {name!r}: {named.count()} ids, from {ids}; give the id")
     return ids[0]
 
 
@@ -138,129 +115,23 @@ def similar_items_by_name(pairs: DataFrame, products: DataFrame, name: str,
     return similar_items(pairs, resolve_product(products, name), n, products)
 
 
-# Up to this many tiles every entry is copied to all of them.
-_ALL_TILES_UP_TO = 16
-# Pair slots generated per chunk inside one tile group (bounds task memory).
-_CHUNK_PAIRS = 4_000_000
-
-
-def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct sorted keys with the start and length of each run."""
-    uniq, start, length = np.unique(keys, return_index=True, return_counts=True)
-    return uniq, start, length
-
-
-def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Co-counts of one (tile i, tile j, customer block) group.
-
-    For every customer of the block, the products it bought in tile i and in
-    tile j form a small outer product; all of them are accumulated at once
-    into a dense ``|tile i| x |tile j|`` count array with ``bincount``,
-    customer chunk by customer chunk. Work is the number of co-occurrences,
-    memory the tile size squared plus one chunk; nothing per pair leaves the
-    task, only the summed counts.
-    """
-    ti, tj = int(pdf["ti"].iat[0]), int(pdf["tj"].iat[0])
-    pdf = pdf.sort_values(["customer_id", "product_id"], kind="stable")
-    cust = pdf["customer_id"].to_numpy()
-    prod = pdf["product_id"].to_numpy()
-    tile = pdf["tile"].to_numpy()
-    mi = tile == ti
-    mj = tile == tj
-    pid_i, li = np.unique(prod[mi], return_inverse=True)
-    pid_j, lj = np.unique(prod[mj], return_inverse=True)
-    ci, cj = cust[mi], cust[mj]
-    ui, si, ni = _runs(ci)
-    uj, sj, nj = _runs(cj)
-    both, ki, kj = np.intersect1d(ui, uj, assume_unique=True, return_indices=True)
-    si, ni, sj, nj = si[ki], ni[ki], sj[kj], nj[kj]
-    width = len(pid_j)
-    counts = np.zeros(len(pid_i) * width, dtype=np.int64)
-    per_customer = ni.astype(np.int64) * nj.astype(np.int64)
-    ends = np.cumsum(per_customer)
-    k0 = 0
-    while k0 < len(both):
-        base = ends[k0 - 1] if k0 else 0
-        k1 = int(np.searchsorted(ends, base + _CHUNK_PAIRS, side="right"))
-        k1 = max(k1, k0 + 1)
-        sizes = per_customer[k0:k1]
-        owner = np.repeat(np.arange(k0, k1), sizes)
-        first = np.repeat(ends[k0:k1] - sizes, sizes)
-        off = np.arange(base, ends[k1 - 1], dtype=np.int64) - first
-        a = li[si[owner] + off // nj[owner]]
-        b = lj[sj[owner] + off % nj[owner]]
-        if ti == tj:
-            keep = a < b
-            a, b = a[keep], b[keep]
-        counts += np.bincount(a * width + b, minlength=counts.size)
-        k0 = k1
-    nz = np.nonzero(counts)[0]
-    x, y = pid_i[nz // width], pid_j[nz % width]
-    return pd.DataFrame({"product_a": np.minimum(x, y).astype(np.int64),
-                         "product_b": np.maximum(x, y).astype(np.int64),
-                         "common": counts[nz]})
-
-
-def co_counts(pairs: DataFrame, product_tiles: int | None = None,
-              customer_blocks: int | None = None, tile_products: int = 2000,
-              group_rows: int = 2_000_000) -> DataFrame:
-    """Common-buyer counts for every product pair ``a < b`` with at least one
-    common buyer, via the tiled product described in the module docstring.
-
-    ``product_tiles`` defaults to about ``tile_products`` products per tile
-    (a group's count array is tile x tile). ``customer_blocks`` defaults to
-    enough blocks that a group receives about ``group_rows`` copied entries
-    even if every entry were copied to all tiles (one small count job).
-    """
-    if product_tiles is None or customer_blocks is None:
-        n = pairs.agg(F.count_distinct("product_id").alias("p"),
-                      F.count(F.lit(1)).alias("cells")).first()
-        t_guess = product_tiles or max(1, math.ceil((n["p"] or 0) / tile_products))
-        product_tiles = t_guess
-        if customer_blocks is None:
-            tile_pairs = t_guess * (t_guess + 1) / 2
-            copies = (n["cells"] or 0) * t_guess
-            customer_blocks = max(1, math.ceil(copies / (tile_pairs * group_rows)))
-    t, b = int(product_tiles), int(customer_blocks)
-    entries = pairs.select(
-        "customer_id", "product_id",
-        F.pmod(F.xxhash64("product_id"), F.lit(t)).cast("int").alias("tile"),
-        F.pmod(F.xxhash64("customer_id"), F.lit(b)).cast("int").alias("block"))
-    # An entry is needed only by the tile pairs whose other tile its customer
-    # also bought from, so with many tiles it is copied to those (a set of at
-    # most T per customer; a customer who bought everywhere gets T copies,
-    # spread over T groups). With few tiles nearly every customer touches
-    # all of them, and copying to all T saves the join that finds them.
-    if t > _ALL_TILES_UP_TO:
-        touched = (entries.select("customer_id", "tile").distinct()
-                   .groupBy("customer_id").agg(F.collect_set("tile").alias("tiles")))
-        copies = entries.join(touched, "customer_id").withColumn("other", F.explode("tiles"))
-    else:
-        copies = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(t - 1))))
-    copies = copies.select(
-        "customer_id", "product_id", "tile", "block",
-        F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"))
-    partial = copies.groupBy("ti", "tj", "block").applyInPandas(
-        _tile_product, "product_a long, product_b long, common long")
-    if b == 1:
-        # One customer block: every pair comes out of exactly one group.
-        return partial.withColumnRenamed("common", "common_buyers")
-    return partial.groupBy("product_a", "product_b").agg(F.sum("common").alias("common_buyers"))
-
-
-def item_cosine(pairs: DataFrame, checkpoint: bool = True, **tiling) -> DataFrame:
-    """Cosine similarity of every product pair (a < b) sharing at
-    least one buyer; pairs with no common buyer have similarity 0 and are
-    not listed. The pairs feed the tiled product and both buyer counts, so
-    they are checkpointed once (``checkpoint=False`` keeps them lazy)."""
+def item_cosine(pairs: DataFrame, references: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """The cosine rows of a stated set of products: every other product
+    that shares a buyer with a reference (``references`` has one column of
+    product ids, of any type). Pairs without a common buyer have similarity 0
+    and are not listed. The pairs feed four branches, so they are checkpointed
+    once (``checkpoint=False`` keeps them lazy)."""
     if checkpoint:
         pairs = materialize(pairs)
-    co = co_counts(pairs, **tiling)
+    wanted = references.select(F.col(references.columns[0]).alias("product_a")).distinct()
     buyers = product_buyers(pairs)
+    held = pairs.select(F.col("product_id").alias("product_a"), "customer_id").join(wanted, "product_a")
+    co = (held.join(pairs.select("customer_id", F.col("product_id").alias("product_b")), "customer_id")
+          .filter("product_a != product_b")
+          .groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("common_buyers")))
     ba = buyers.select(F.col("product_id").alias("product_a"), F.col("buyers").alias("buyers_a"))
     bb = buyers.select(F.col("product_id").alias("product_b"), F.col("buyers").alias("buyers_b"))
-    j = co.join(ba, "product_a").join(bb, "product_b")
-    return j.select(
+    return co.join(ba, "product_a").join(bb, "product_b").select(
         "product_a", "product_b", "common_buyers", "buyers_a", "buyers_b",
         (F.col("common_buyers").cast("double") /
          F.sqrt((F.col("buyers_a") * F.col("buyers_b")).cast("double"))).alias("similarity"))
