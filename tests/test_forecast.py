@@ -50,7 +50,9 @@ def test_short_training_series(spark):
         ("2025-01-10 10:00:00", 11, 2), ("2025-04-02 10:00:00", 11, 4)])
     s = fc.monthly_demand(items, orders, variants, products)
     f = fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=5)
-    assert f.count() == 0
+    assert [(r["forecast"], r["status"]) for r in f.collect()] == [(None, "short")]
+    ev = fc.forecast_evaluation(s, f).first()
+    assert ev["abs_error"] is None and ev["actual"] == 0
     with pytest.raises(fc.ForecastError):
         fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=5, strict=True)
 
@@ -58,7 +60,7 @@ def test_short_training_series(spark):
 def test_series_starting_after_training_end_is_short(spark):
     items, orders, variants, products = _frames(spark, [("2026-02-10 10:00:00", 11, 2)])
     s = fc.monthly_demand(items, orders, variants, products)
-    assert fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=1).count() == 0
+    assert [r["status"] for r in fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=1).collect()] == ["short"]
     with pytest.raises(fc.ForecastError):
         fc.moving_average_forecast(s, "2025-12", ["2026-01"], window=1, strict=True)
 
@@ -95,3 +97,14 @@ def test_extend_to_pads_the_series_to_the_training_end(spark):
     f_plain = fc.moving_average_forecast(plain, "2025-12", ["2026-01"], window=3).first()
     f_padded = fc.moving_average_forecast(padded, "2025-12", ["2026-01"], window=3).first()
     assert f_plain["forecast"] == 6.0 and f_padded["forecast"] == 3.0
+
+
+def test_sales_are_read_once(spark):
+    """The executed plans scan lineitem once."""
+    from tillsight.plans import registry as R
+    for name in ("monthly_demand", "series_summary", "training_window", "moving_average_forecast"):
+        df = R.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("l_partkey") and sum(
+            "FileScan" in line and "lineitem" in line for line in plan.splitlines()) == 1, name

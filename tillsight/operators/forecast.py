@@ -30,9 +30,8 @@ def monthly_demand(items: DataFrame, orders: DataFrame, variants: DataFrame,
     ``order_filter`` (a Column over the orders) is given.
 
     Products are filtered first and semi-joined down to items, so a
-    one-name series reads only that name's items; the month grid is built
-    per key from its own bounds (``sequence`` over a row per name), so its
-    size is names x months, independent of the item count.
+    one-name series reads only that name's items; the gaps are filled from
+    the monthly rows themselves, so the sales are read once.
     """
     if order_filter is not None:
         orders = orders.filter(order_filter)
@@ -46,14 +45,17 @@ def monthly_demand(items: DataFrame, orders: DataFrame, variants: DataFrame,
             .join(orders.select(F.col("id").alias("order_id"), "placed_at"), "order_id"))
     monthly = sold.groupBy("name", F.trunc(F.to_date("placed_at"), "month").alias("month")).agg(
         F.sum("quantity").cast("long").alias("units"))
-    bounds = monthly.groupBy("name").agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    if extend_to is not None:
-        bounds = bounds.withColumn(
-            "hi", F.greatest("hi", F.lit(_month(extend_to)).cast("date")))
-    grid = bounds.select("name", F.explode(
-        F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    return (grid.join(monthly, ["name", "month"], "left")
-            .select("name", "month", F.coalesce("units", F.lit(0)).cast("long").alias("units")))
+    # Each month with sales stands for itself and the empty months up to the
+    # name's next one, so the series needs no second pass over the sales.
+    w = Window.partitionBy("name").orderBy("month")
+    last = F.col("month") if extend_to is None else F.greatest(
+        "month", F.lit(_month(extend_to)).cast("date"))
+    until = F.coalesce(F.add_months(F.lead("month").over(w), -1), last)
+    return (monthly.withColumn("until", until)
+            .select("name", "units", F.posexplode(F.sequence("month", "until", F.expr("INTERVAL 1 MONTH")))
+                    .alias("gap", "month"))
+            .select("name", "month", F.when(F.col("gap") == 0, F.coalesce("units", F.lit(0)))
+                    .otherwise(0).cast("long").alias("units")))
 
 
 def moving_average_forecast(series: DataFrame, train_end: str, test_months: Sequence[str],
@@ -61,40 +63,35 @@ def moving_average_forecast(series: DataFrame, train_end: str, test_months: Sequ
     """Mean of the last ``window`` training months (months up to
     ``train_end``, cut before anything is computed), repeated flat for every
     test month; predictions never feed back. Keys with fewer than ``window``
-    training months get no forecast (``strict=True`` raises instead, which
-    needs one small count on the driver).
+    training months come out with a NULL forecast and the status ``short``
+    (``strict=True`` raises instead, as the reference does).
 
-    The last-k selection is a window partitioned by key; each partition holds
-    one key's months, a few hundred rows at most.
+    One window partitioned by key, a few hundred rows each; no join.
     """
     end = F.lit(_month(train_end)).cast("date")
-    train = series.filter(F.col("month") <= end)
-    w = Window.partitionBy("name").orderBy(F.col("month").desc())
-    last = train.withColumn("_rn", F.row_number().over(w))
-    per_key = last.groupBy("name").agg(
-        F.count(F.lit(1)).alias("train_months"),
-        F.sum(F.when(F.col("_rn") <= window, F.col("units"))).alias("window_units"))
-    # Keys whose first sale comes after the training end have no training
-    # month at all; they are short too.
-    per_key = (series.select("name").distinct().join(per_key, "name", "left")
-               .withColumn("train_months", F.coalesce("train_months", F.lit(0))))
-    short = per_key.filter(F.col("train_months") < window)
-    if strict and short.limit(1).count() > 0:
-        bad = [r["name"] for r in short.limit(5).collect()]
-        raise ForecastError(f"training series shorter than the window of {window}: {bad}")
-    ok = per_key.filter(F.col("train_months") >= window)
-    fc = ok.select("name", "window_units", F.explode(F.array(
-        *[F.lit(_month(m)).cast("date") for m in test_months])).alias("month"))
-    return fc.select(
-        "name", "month",
-        (F.col("window_units").cast("double") / F.lit(float(window))).alias("forecast"),
-        F.col("window_units").alias("window_units"),
-        F.lit(window).alias("window"))
+    train = F.col("month") <= end
+    w = Window.partitionBy("name").orderBy(train.desc(), F.col("month").desc())
+    per_key = series.withColumn("_rn", F.row_number().over(w)).groupBy("name").agg(
+        F.count_if(train).alias("train_months"),
+        F.sum(F.when(train & (F.col("_rn") <= window), F.col("units"))).alias("window_units"))
+    enough = F.col("train_months") >= window
+    if strict:
+        bad = per_key.filter(~enough)
+        few = [r["name"] for r in bad.orderBy("name").limit(20).collect()]
+        if few:
+            raise ForecastError(f"training series shorter than the window of {window}: "
+                                f"{bad.count()} names, from {few}")
+    units = F.when(enough, F.col("window_units"))
+    return per_key.select(
+        "name", F.explode(F.array(*[F.lit(_month(m)).cast("date") for m in test_months])).alias("month"),
+        (units.cast("double") / F.lit(float(window))).alias("forecast"),
+        units.alias("window_units"), F.lit(window).alias("window"),
+        F.when(enough, "ok").otherwise("short").alias("status"))
 
 
 def forecast_evaluation(series: DataFrame, forecast: DataFrame) -> DataFrame:
     """U29 detail: forecast, actual (missing month -> 0) and absolute error
-    per key and test month."""
+    (NULL without a forecast) per key and test month."""
     j = forecast.join(series, ["name", "month"], "left")
     actual = F.coalesce(F.col("units"), F.lit(0)).cast("long")
     k = F.col("window").cast("long")

@@ -21,12 +21,12 @@ def weekday_mean(orders: DataFrame, calendar: DataFrame, channel: str | None = "
     """
     src = orders if channel is None else orders.filter(F.col(channel_col) == F.lit(channel))
     daily = src.groupBy(F.to_date(F.col(date_col)).alias("date")).agg(
-        F.sum(value_col).alias("value"))
+        F.sum(value_col).alias("value"), F.lit(1).alias("sold"))
     cal = calendar.filter(F.col("in_sales_period")) if sales_period_only else calendar
     joined = cal.select("date", "iso_weekday", "weekday_name").join(daily, "date", "left")
     agg = joined.groupBy("iso_weekday", "weekday_name").agg(
         F.count(F.lit(1)).alias("days_in_period"),
-        F.count("value").alias("days_with_sales"),
+        F.count("sold").alias("days_with_sales"),
         F.sum(F.coalesce(F.col("value"), F.lit(0))).alias("total_sold"),
         F.sum("value").alias("sales_sum"),
     )

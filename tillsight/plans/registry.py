@@ -1,12 +1,11 @@
 """Registered queries: one per operator, bound to the driver's tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose column
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose column
 names and types match the DuckDB twin in ``tillsight.plans.oracle``. On top of
 the operators come final casts (DECIMAL(18,2) money, BIGINT counts, DOUBLE
-ratios) and two plan choices that do not change results: the forecast
-evaluation builds its monthly series once (checkpoint), and the weekday
-report builds its calendar from the sales alone because it keeps only the
-sales period.
+ratios). Some operators start jobs while they are built: quantiles, the top-N
+and cosine reports, the category mix, the forecast evaluation and everything
+that reads CSV write an intermediate table first.
 """
 
 from __future__ import annotations
@@ -30,8 +29,10 @@ WINDOW = 3
 # Segmentation: categories are the 25 brands.
 MIN_CATEGORIES = 23
 TOP_N = 10
-# Recommendation: reference product id and list length.
+# Recommendation: reference product id and list length; the cosine report has a
+# stated set of references, every product whose id is divisible by this.
 REFERENCE_PRODUCT = 7
+REFERENCE_STEP = 100
 SIMILAR_N = 5
 # Reference date for the future-dated count (never current_date in a test).
 AS_OF = "2001-06-30"
@@ -175,7 +176,7 @@ def q_numeric_distribution(spark, d):
 
 def q_column_profile(spark, d):
     out = profile.column_profile(B.orders(spark, d))
-    return out.select("ordinal", "column", "row_count", "null_count", "distinct_count")
+    return out.drop("distinct_count")
 
 
 def q_null_pattern(spark, d):
@@ -204,11 +205,7 @@ def q_iqr_outliers(spark, d):
 
 # --- business analyses ------------------------------------------------------
 def q_weekday_mean(spark, d):
-    # The report keeps only the sales period, and a calendar built from the
-    # sales alone has exactly those days, so the returns (which only widen
-    # the calendar) are not read. The oracle uses the full calendar.
-    orders = B.orders(spark, d)
-    out = weekday_mean(orders, calendar_dim(orders, "placed_at"), channel=B.IN_STORE_CHANNEL)
+    out = weekday_mean(B.orders(spark, d), _calendar(spark, d), channel=B.IN_STORE_CHANNEL)
     return _sums(out, "total_sold")
 
 
@@ -234,7 +231,7 @@ def q_monthly_demand(spark, d):
 
 
 def q_moving_average_forecast(spark, d):
-    return _forecast(spark, d).select("name", "month", "forecast", "window_units")
+    return _forecast(spark, d).select("name", "month", "forecast", "window_units", "status")
 
 
 def q_series_summary(spark, d):
@@ -245,12 +242,20 @@ def q_training_window(spark, d):
     return forecast.training_window(_series(spark, d), TRAIN_END, WINDOW)
 
 
-def q_forecast_evaluation(spark, d):
+def _evaluation(spark, d):
     from tillsight.session import materialize
     # The series feeds the forecast and the actuals: build it once.
     series = materialize(_series(spark, d))
     fc = forecast.moving_average_forecast(series, TRAIN_END, TEST_MONTHS, WINDOW)
-    return forecast.forecast_summary(forecast.forecast_evaluation(series, fc))
+    return forecast.forecast_evaluation(series, fc)
+
+
+def q_forecast_evaluation(spark, d):
+    return forecast.forecast_summary(_evaluation(spark, d))
+
+
+def q_forecast_by_month(spark, d):
+    return _evaluation(spark, d).select("name", "month", "forecast", "actual", "abs_error")
 
 
 # --- recommendation ---------------------------------------------------------
@@ -259,7 +264,8 @@ def q_purchase_pairs(spark, d):
 
 
 def q_item_cosine(spark, d):
-    return recommend.item_cosine(_pairs(spark, d))
+    references = B.products(spark, d).filter(F.col("id") % REFERENCE_STEP == 0).select("id")
+    return recommend.item_cosine(_pairs(spark, d), references)
 
 
 def q_similar_items_topn(spark, d):
@@ -328,11 +334,7 @@ def q_infer_types(spark, d):
 
 def q_key_candidates(spark, d):
     from tillsight.sources.infer import infer_schema, key_candidates
-    # Each column is inferred on its own, so only the id columns are read.
-    # Ordinals differ from the full catalog but are not part of the output.
-    tables = {name: df.select([c for c in df.columns if c.lower() == "id"])
-              for name, df in _text_tables(spark, d).items()}
-    return key_candidates(infer_schema({k: v for k, v in tables.items() if v.columns}))
+    return key_candidates(infer_schema(_text_tables(spark, d)))
 
 
 def _export_csv(spark, d) -> dict[str, str]:
