@@ -337,31 +337,46 @@ def q_key_candidates(spark, d):
     return key_candidates(infer_schema(_text_tables(spark, d)))
 
 
-def _export_csv(spark, d) -> dict[str, str]:
+def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
     """Write the role tables as CSV datasets under a fresh folder of the
-    shared directory; returns table -> path."""
-    from tillsight.session import new_run_dir, spread
+    shared directory; returns table -> path. With ``damaged``: each 97th return
+    has a reason with an unquoted comma, each 101st variant a line break in its
+    SKU, and one file more of the customers holds a blank line."""
+    from tillsight.session import new_run_dir
     from tillsight.sources.csv_files import write_csv
     root = new_run_dir(spark, "csv-export")
     paths = {}
     for name, fn in INFER_TABLES.items():
-        path = f"{root}/{name}.csv"
-        write_csv(spread(fn(spark, d)), path)
+        path, df = f"{root}/{name}.csv", fn(spark, d)
+        quote = True
+        if damaged and name == "returns":
+            quote = False
+            df = df.withColumn("reason", F.when(F.col("id") % 97 == 0, F.concat(
+                F.coalesce("reason", F.lit("")), F.lit(",x"))).otherwise(F.col("reason")))
+        if damaged and name == "product_variants":
+            df = df.withColumn("sku", F.when(F.col("id") % 101 == 0, F.concat("sku", F.lit("\n2nd")))
+                               .otherwise(F.col("sku")))
+        write_csv(df, path, quote)
+        if damaged and name == "customers":
+            spark.createDataFrame([(",".join(df.columns) + "\n",)], "value string").coalesce(1) \
+                .write.mode("append").text(path)
         paths[name] = path
     return paths
 
 
 def q_csv_validation(spark, d):
     from tillsight.sources.csv_files import validate_csv
-    return validate_csv(spark, list(_export_csv(spark, d).values())).drop("path", "content_hash")
+    return validate_csv(spark, list(_export_csv(spark, d, damaged=True).values())) \
+        .drop("path", "content_hash", "example")
 
 
 def q_load_reconcile(spark, d):
     from tillsight.session import new_run_dir
     from tillsight.sources.load import load_run
-    paths = _export_csv(spark, d)
-    report, _ = load_run(spark, list(paths.values()), new_run_dir(spark, "raw-load"),
-                         expected=list(paths))
+    paths = _export_csv(spark, d, damaged=True)
+    # The orders aren't declared, and a declared table has no file.
+    expected = [t for t in paths if t != "orders"] + ["warehouses"]
+    report, _ = load_run(spark, list(paths.values()), new_run_dir(spark, "raw-load"), expected=expected)
     return report
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -73,15 +76,21 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for staged tables and lineage cuts.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint directory).
-    Only when neither is set, as in local tests, a fresh local folder is
-    created and registered as the checkpoint directory.
+    Without either, a fresh local folder is used where the whole session is
+    one machine (a ``local`` master, as in tests) and removed at its end;
+    elsewhere other executors could not see it, so that is an error.
     """
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share "
+                             f"(master {master or 'unknown'})")
         root = tempfile.mkdtemp(prefix="tillsight-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # not settable at run time on every deployment
@@ -94,10 +103,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never reused sub-folder of the shared folder."""
+    """A fresh, never reused sub-folder of the shared folder. It is removed
+    when the session's file systems close."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    if _context(spark) is not None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
     return path
 
 
@@ -111,18 +124,3 @@ def materialize(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df):
-    """Round-robin ``df`` when its scan yields fewer partitions than the
-    session can run at once, before CPU-heavy per-row work (regex type
-    tests, CSV encoding). A small single-file table otherwise runs all that
-    work in one task. Inputs at scale have far more splits than cores, so
-    there nothing changes and no shuffle is added."""
-    sc = _context(df.sparkSession)
-    if sc is None:
-        return df
-    slots = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

@@ -6,17 +6,20 @@ Spark's default backslash would corrupt such values); a quoted empty field
 reads both as NULL unless ``emptyValue`` is set to a sentinel, which is then
 mapped back to ''); everything is read as text and typed later, because
 Spark's own inference turns ``007`` into 7 and ``T`` into null.
-``multiLine`` is off by default so large files split across tasks; turn it on
-for files with line breaks inside quoted fields.
-
-One difference remains: a blank line is an error for Python's csv reader (a
-record with zero fields), while Spark's CSV reader skips blank lines, so they
-are neither counted nor reported here.
+Spark's splittable reader cuts records at every line break, quoted or not.
+``scan_lines`` therefore looks at each file as plain text first, in parallel and
+apart from the CSV parser: whether the quotes before a line are balanced says
+whether a record begins there. That gives an independent record count, the
+blank lines, and the files with line breaks inside quotes, which are then read
+with ``multiLine`` (one task a file) and all others split.
+
+A blank line is an error for Python's csv reader (a record with zero fields);
+Spark skips it, so it is counted from the text and makes a file invalid.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,12 +55,43 @@ def header(spark: SparkSession, path: str) -> list[str]:
     return cols
 
 
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``source_records`` (without the headers), ``blank_lines`` and
+    ``line_breaks`` (inside quotes) of a CSV file or a folder of them.
+
+    Lines are numbered within the block that a task reads. The quotes of the
+    blocks before (one row a block) and of the lines before in the same block
+    say whether a line begins inside a quoted field.
+    """
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+        (F.trim("value") == "").alias("blank"))
+    blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("file").alias("_file"), F.col("block").alias("_block"),
+                           F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("before"),
+                           F.max("odd").over(Window.partitionBy("file")).alias("odd"))
+    joined = lines.join(blocks, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    # Only files with an unbalanced line need the running count.
+    own = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    even = joined.filter("odd = 0").select("file", F.lit(False).alias("inside"), "blank")
+    odd = joined.filter("odd = 1").select("file", (
+        (F.col("before") + F.coalesce(F.sum("quotes").over(own), F.lit(0))) % 2 == 1).alias("inside"), "blank")
+    return even.unionAll(odd).agg(
+        (F.count_if(~F.col("inside") & ~F.col("blank")) - F.count_distinct("file")).alias("source_records"),
+        F.count_if(~F.col("inside") & F.col("blank")).alias("blank_lines"),
+        F.count_if("inside").alias("line_breaks"))
+
+
 def read_text_table(spark: SparkSession, path: str, columns: list[str] | None = None,
                     multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """All-text frame of one CSV file; columns are matched to the header by
     name (``enforceSchema=False``). Ragged records fail any action that
     parses every field (a load does); a bare ``count()`` parses none, so use
-    ``validate_csv`` to count offenders."""
+    ``validate_csv`` to count offenders. ``multi_line`` is needed for files with
+    line breaks inside quotes (``scan_lines`` tells)."""
     cols = columns or header(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
     df = (_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
@@ -67,21 +101,23 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
 
 
 def validate_csv(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
-    """Per file, header width, record count and records whose field
-    count differs from the header (with one example), in one scan per file.
-
-    The reference stops at the first bad record and names its line; a
-    distributed scan has no line numbers, so every offender is counted and
-    one is shown instead. The report (one row per file) is computed eagerly:
-    a later projection could otherwise prune the data columns and leave the
-    scan parsing too few fields to notice ragged records.
+    """Per file, header width, records by the text and by the parser,
+    records whose field count differs from the header (with one example), line
+    breaks inside quotes and blank lines.
+
+    The reference stops at the first bad record and names its line; here every
+    offender is counted and one is shown. Status: ``ragged``, ``blank_lines``,
+    ``divergent`` (text and parser disagree) or ``ok``. The report (one row per
+    file) is computed eagerly: a later projection could otherwise prune the data
+    columns and leave the scan parsing too few fields to notice ragged records.
     """
-    out = None
+    rows = []
     for path in sorted(paths):
         cols = header(spark, path)
+        seen = scan_lines(spark, path).first()
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols]
                               + [T.StructField("_corrupt", T.StringType())])
-        df = (_reader(spark, multi_line).schema(schema).option("mode", "PERMISSIVE")
+        df = (_reader(spark, multi_line or seen["line_breaks"] > 0).schema(schema).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
         bad = F.col("_corrupt").isNotNull()
         rep = df.agg(F.count(F.lit(1)).alias("records"),
@@ -92,20 +128,22 @@ def validate_csv(spark: SparkSession, paths: list[str], multi_line: bool = False
                      # column pruning from parsing only some fields (that
                      # would hide ragged rows).
                      F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in cols]))
-                     .alias("content_hash"))
-        rep = rep.select(F.lit(table_name(path)).alias("table"), F.lit(path).alias("path"),
-                         F.lit(len(cols)).alias("header_fields"), "records", "ragged", "example",
-                         "content_hash",
-                         F.when(F.col("ragged") == 0, "ok").otherwise("ragged").alias("status"))
-        out = rep if out is None else out.unionByName(rep)
-    if out is None:
+                     .alias("content_hash")).first()
+        status = ("ragged" if rep["ragged"] else "blank_lines" if seen["blank_lines"] else
+                  "divergent" if rep["records"] != seen["source_records"] else "ok")
+        rows.append((table_name(path), path, len(cols), seen["source_records"], rep["records"], rep["ragged"],
+                     rep["example"], seen["line_breaks"], seen["blank_lines"], rep["content_hash"], status))
+    if not rows:
         raise ValueError("no CSV files")
-    return spark.createDataFrame(out.collect(), out.schema)
+    return spark.createDataFrame(rows, "table string, path string, header_fields int, source_records long, "
+                                 "records long, ragged long, example string, line_breaks long, blank_lines long, "
+                                 "content_hash long, status string")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, quote: bool = True) -> None:
     """Write a frame as a headed CSV dataset in the same dialect (quoted
-    empties, doubled quotes)."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"')
-     .option("escape", '"').option("emptyValue", '""').option("nullValue", "")
+    empties, doubled quotes). Without ``quote`` nothing is quoted, as careless
+    exports are."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"' if quote else "\u0000")
+     .option("escape", '"').option("emptyValue", '""' if quote else "").option("nullValue", "")
      .csv(path))

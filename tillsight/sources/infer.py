@@ -9,7 +9,8 @@ Every non-empty value of every column is tested (no sampling). The rules:
   beyond 64 bits (the latter is a deliberate fix: a 20-digit integer does not
   fit a BIGINT);
 * NUMERIC(p, s) takes p = widest integer part + widest fraction, s = widest
-  fraction;
+  fraction; beyond 38 digits the column is TEXT and the catalog says why;
+* a date or time stamp in year 0 is none;
 * names matching the identifier pattern stay TEXT; a column with no value at
   all is TEXT;
 * a column named ``id`` (any case) is a key candidate when it has no empty
@@ -31,14 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.labels import IDENTIFIER_PATTERN
-from tillsight.session import spread
 
 # --- fixed values: accepted spellings and formats ---------------------------
 BOOLEAN_WORDS = ("TRUE", "FALSE", "T", "F")
 INTEGER_LIMIT = 2_147_483_647
 BIGINT_LIMIT = 9_223_372_036_854_775_807
 # Parts accepted by Python's strptime for %Y-%m-%d and %H:%M:%S.
-_Y = r"[0-9]{4}"
+_Y = r"(?!0000)[0-9]{4}"
 _M = r"(1[0-2]|0[1-9]|[1-9])"
 _D = r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
 _H = r"(2[0-3]|[01][0-9]|[0-9])"
@@ -112,51 +112,53 @@ def is_timestamp(v: Column) -> Column:
 
 
 def _stack(df: DataFrame) -> DataFrame:
+    """One row per value: the column's ordinal and the value."""
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column"),
-                 F.col(f"`{c}`").cast("string").alias("v"))
+        F.struct(F.lit(i + 1).alias("ordinal"), F.col(f"`{c}`").cast("string").alias("v"))
         for i, c in enumerate(df.columns)])).alias("s")).select("s.*")
 
 
+def value_class(v: Column) -> Column:
+    """What a filled value looks like: integer ``i``, decimal ``d``, date ``t``,
+    time stamp ``s``, boolean ``b``, else ``x``. The shapes exclude each other,
+    so the tests stop at the first that fits."""
+    return (F.when(is_integer(v), "i").when(is_decimal(v), "d").when(is_date(v), "t")
+            .when(is_timestamp(v), "s").when(is_boolean(v), "b").otherwise("x"))
+
+
 def infer_table(df: DataFrame, table: str,
                 identifier_pattern: str = IDENTIFIER_PATTERN) -> DataFrame:
     """Catalog rows ``(table, ordinal, column, sql_type, spark_type, nullable,
-    is_key, n_rows)`` for one all-text table (null and '' both mean empty)."""
-    s = _stack(spread(df))
+    is_key, n_rows, reason)`` for one all-text table (null and '' both mean
+    empty). ``reason`` says why values that fit a narrower type are TEXT."""
+    ids = [i + 1 for i, name in enumerate(df.columns) if name.lower() == "id"]
     v = F.col("v")
     filled = v.isNotNull() & (v != "")
-    body = _unsigned(v)
-    # Every predicate is evaluated once per value in this projection; the
-    # aggregate below only counts booleans and takes maxima.
-    flags = s.select(
-        "ordinal", "column", filled.alias("f"),
-        (filled & is_boolean(v)).alias("b"),
-        (filled & is_integer(v)).alias("i"),
-        (filled & is_decimal(v)).alias("d"),
-        (filled & is_timestamp(v)).alias("t"),
-        (filled & is_date(v)).alias("dt"),
-        body.alias("body"),
-        F.when(F.lower(F.col("column")) == "id", F.when(filled, v)).alias("id_v"))
+    # Every value gets one class in this projection; the aggregate below only
+    # counts classes and takes maxima.
+    flags = _stack(df).select(
+        "ordinal", F.when(filled, value_class(v)).alias("k"), _unsigned(v).alias("body"),
+        F.when(F.col("ordinal").isin(ids), F.when(filled, v)).alias("id_v"))
     c = F.col
-    num = c("i") | c("d")
+    num = c("k").isin("i", "d")
     int_part = F.substring_index(c("body"), ".", 1)
-    frac = F.when(c("d"), F.substring_index(c("body"), ".", -1)).otherwise(F.lit(""))
+    frac = F.when(c("k") == "d", F.substring_index(c("body"), ".", -1)).otherwise(F.lit(""))
 
-    def misses(pred: Column) -> Column:
-        return F.count_if(c("f") & ~pred)
+    def misses(*classes: str) -> Column:
+        return F.count_if(~c("k").isin(*classes))
 
-    agg = flags.groupBy("ordinal", "column").agg(
+    agg = flags.groupBy("ordinal").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~c("f")).alias("n_empty"),
-        F.count_if(c("f")).alias("n_filled"),
-        misses(c("b")).alias("x_bool"),
-        misses(c("i")).alias("x_int"),
-        misses(num).alias("x_num"),
-        misses(c("t")).alias("x_ts"),
-        misses(c("dt")).alias("x_date"),
+        F.count_if(c("k").isNull()).alias("n_empty"),
+        F.count("k").alias("n_filled"),
+        misses("b").alias("x_bool"),
+        misses("i").alias("x_int"),
+        misses("i", "d").alias("x_num"),
+        misses("s").alias("x_ts"),
+        misses("t").alias("x_date"),
         F.max(F.when(num, F.length(int_part))).alias("int_digits"),
         F.max(F.when(num, F.length(frac))).alias("frac_digits"),
-        F.max(F.when(c("i"), c("body").try_cast("decimal(38,0)"))).alias("magnitude"),
+        F.max(F.when(c("k") == "i", c("body").try_cast("decimal(38,0)"))).alias("magnitude"),
         # Exact distinct count, only non-null for columns named id.
         F.count_distinct("id_v").alias("id_distinct"),
     )
@@ -166,12 +168,13 @@ def infer_table(df: DataFrame, table: str,
         [(i + 1, col) for i, col in enumerate(df.columns)], "ordinal int, column string")
     counts = ("n_rows", "n_empty", "n_filled", "x_bool", "x_int", "x_num", "x_ts", "x_date",
               "id_distinct")
-    # The name list has one row per column (a bounded broadcast).
-    agg = F.broadcast(names).join(agg.withColumn("ordinal", F.col("ordinal").cast("int")),
-                                  ["ordinal", "column"], "left")
+    agg = names.join(agg.withColumn("ordinal", F.col("ordinal").cast("int")),
+                                  "ordinal", "left")
     for k in counts:
         agg = agg.withColumn(k, F.coalesce(F.col(k), F.lit(0)))
     precision = c("int_digits") + c("frac_digits")
+    # No type of SQL or Spark holds more than 38 digits.
+    too_wide = (c("n_filled") > 0) & (c("x_num") == 0) & (precision > 38)
     numeric_name = F.concat(F.lit("NUMERIC("), precision.cast("string"), F.lit(", "),
                             c("frac_digits").cast("string"), F.lit(")"))
     wide = (c("int_digits") > 19) | (c("magnitude") > F.lit(BIGINT_LIMIT))
@@ -182,6 +185,7 @@ def infer_table(df: DataFrame, table: str,
     sql_type = (F.when(F.lower(c("column")).rlike(identifier_pattern), F.lit("TEXT"))
                 .when(c("n_filled") == 0, F.lit("TEXT"))
                 .when(c("x_bool") == 0, F.lit("BOOLEAN"))
+                .when(too_wide, F.lit("TEXT"))
                 .when(c("x_int") == 0, int_name)
                 .when(c("x_num") == 0, numeric_name)
                 .when(c("x_ts") == 0, F.lit("TIMESTAMP"))
@@ -195,19 +199,20 @@ def infer_table(df: DataFrame, table: str,
                   .when(t == "TIMESTAMP", F.lit("timestamp_ntz"))
                   .when(t == "DATE", F.lit("date"))
                   .when(t == "TEXT", F.lit("string"))
-                  .when(t.startswith("NUMERIC") & (precision <= 38),
+                  .when(t.startswith("NUMERIC"),
                         F.concat(F.lit("decimal("), precision.cast("string"), F.lit(","),
                                  c("frac_digits").cast("string"), F.lit(")")))
-                  .when(t.startswith("DECIMAL") & (c("int_digits") <= 38),
-                        F.concat(F.lit("decimal("), c("int_digits").cast("string"), F.lit(",0)")))
-                  .otherwise(F.lit("string")))
+                  .when(t.startswith("DECIMAL"),
+                        F.concat(F.lit("decimal("), c("int_digits").cast("string"), F.lit(",0)"))))
     is_key = ((F.lower(c("column")) == "id") & (c("n_empty") == 0) & (c("n_filled") > 0)
               & (c("id_distinct") == c("n_filled")))
     return typed.select(
         F.lit(table.lower()).alias("table"), c("ordinal").cast("int").alias("ordinal"),
         "column", "sql_type", spark_type.alias("spark_type"),
         (c("n_empty") > 0).alias("nullable"), is_key.alias("is_key"),
-        c("n_rows").cast("long").alias("n_rows"))
+        c("n_rows").cast("long").alias("n_rows"),
+        F.when((t == "TEXT") & too_wide & ~F.lower(c("column")).rlike(identifier_pattern),
+               F.lit("numbers of more than 38 digits")).alias("reason"))
 
 
 def infer_schema(tables: Mapping[str, DataFrame],

@@ -1,14 +1,16 @@
 """Repeatable raw load with reconciliation and stage-then-publish.
 
-Flow per run: every CSV is read as text with its header matched by name,
-typed with the inferred catalog (casts fail loudly under ANSI mode, as COPY
-would), and written as Parquet to a fresh staging folder of the run. Source
-records and staged rows are counted per table and reconciled against the
-expected tables (a full outer join of three small frames). Only when every
-table is ``ok`` is the run published, by writing a manifest that maps each
-table to its staged folder; readers resolve tables through the latest
-manifest, so a failed or partial run is never visible. Plain Parquet has no
-multi-table transaction; the manifest write is the single commit point.
+Flow per run: every file is validated first (``validate_csv``: its records are
+counted in the plain text, apart from the CSV parser). A file with ragged
+records or blank lines is ``invalid`` and not loaded. The others are read as
+text with the header matched by name, typed with the inferred catalog (casts
+fail loudly under ANSI mode, as COPY would), and written as Parquet to a fresh
+staging folder of the run. The text's record count and the staged rows are
+reconciled against the expected tables (a full outer join of three small
+frames). Only when every table is ``ok`` is the run published: a manifest that
+maps each table to its staged folder, and then one more pointer file among
+those of earlier runs. Pointers are only ever added; readers take the newest,
+so a failed or partial run is never visible and a reader never finds none.
 
 Re-running loads into a new run folder, so repeating a load never duplicates
 rows (the reference truncates and reloads).
@@ -16,14 +18,15 @@ rows (the reference truncates and reloads).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.sources.csv_files import read_text_table, table_name
+from tillsight.sources.csv_files import read_text_table, table_name, validate_csv
 from tillsight.sources.infer import collect_catalog, infer_schema, struct_from_catalog
 
 
@@ -45,13 +48,15 @@ def reconcile(expected: Sequence[str], source_counts: DataFrame,
               loaded_counts: DataFrame) -> DataFrame:
     """U06 + U07: one row per table with source and loaded counts and a
     status: ``ok``, ``divergent``, ``missing`` (a file without an expected
-    table) or ``not_loaded`` (an expected table without a file)."""
+    table), ``not_loaded`` (an expected table without a file) or ``invalid``
+    (a file that failed validation)."""
     spark = source_counts.sparkSession
     exp = spark.createDataFrame([(t.lower(),) for t in expected], "table string").withColumn(
         "_expected", F.lit(True))
     j = (source_counts.join(loaded_counts, "table", "full").join(exp, "table", "full"))
     status = (F.when(F.col("_expected").isNull(), "missing")
               .when(F.col("source_rows").isNull(), "not_loaded")
+              .when(F.col("loaded_rows").isNull(), "invalid")
               .when(F.col("source_rows") == F.col("loaded_rows"), "ok")
               .otherwise("divergent"))
     return j.select("table", "source_rows", "loaded_rows", status.alias("status"))
@@ -82,6 +87,8 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     reconciliation report (materialised) and the run folder.
 
     ``expected`` lists the tables that must exist (default: one per file);
+    files with line breaks inside quotes are read whole (``multi_line`` forces
+    that for all);
     ``catalog`` is a U03 catalog (default: inferred from the files in the
     same run). With ``require_declared`` every file must have a declared
     table (in ``expected``), checked before anything is read or written, as
@@ -102,24 +109,23 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
         if missing:
             raise MissingTablesError(f"no declared table for: {', '.join(missing)}")
     run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
-    texts = {table_name(p): read_text_table(spark, p, multi_line=multi_line) for p in files}
+    checked = {r["table"]: r for r in validate_csv(spark, list(files), multi_line).collect()}
+    valid = {t for t, r in checked.items() if r["status"] in ("ok", "divergent")}
+    texts = {t: read_text_table(spark, r["path"], multi_line=multi_line or r["line_breaks"] > 0)
+             for t, r in checked.items() if t in valid}
     # The catalog is read several times below; compute it once.
-    catalog = collect_catalog(infer_schema(texts) if catalog is None else catalog)
-    expected = list(expected) if expected is not None else list(texts)
-    known = {r["table"] for r in catalog.select("table").distinct().collect()}
-    src_rows, loaded_rows = [], []
+    if catalog is None and texts:
+        catalog = infer_schema(texts)
+    catalog = collect_catalog(catalog) if catalog is not None else None
+    expected = list(expected) if expected is not None else list(checked)
+    known = set() if catalog is None else {
+        r["table"] for r in catalog.select("table").distinct().collect()}
+    src_rows = [(t, r["source_records"]) for t, r in checked.items()]
+    loaded_rows = []
     bucketed: dict[str, str] = {}
     wanted = {e.lower() for e in expected}
-    for name in sorted(texts):
-        text = texts[name]
-        if name not in known or name not in wanted:
-            src_rows.append((name, text.count()))
-            continue
-        # Source records are counted on the same pass that writes the typed
-        # rows; the loaded count comes from the Parquet footers.
-        seen = Observation(f"source_{name}")
-        typed = typed_frame(text.observe(seen, F.count(F.lit(1)).alias("n")),
-                            struct_from_catalog(catalog, name))
+    for name in sorted(valid & known & wanted):
+        typed = typed_frame(texts[name], struct_from_catalog(catalog, name))
         path = f"{run}/{name}"
         if bucket_by and name in bucket_by:
             key, buckets = bucket_by[name]
@@ -133,7 +139,6 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
         else:
             typed.write.mode("errorifexists").parquet(path)
             loaded = spark.read.parquet(path).count()
-        src_rows.append((name, int(seen.get["n"])))
         loaded_rows.append((name, loaded))
     src = spark.createDataFrame(src_rows, "table string, source_rows long")
     loaded = spark.createDataFrame(loaded_rows, "table string, loaded_rows long")
@@ -151,29 +156,17 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
              for r in rows],
             "table string, path string, rows long, catalog_table string")
         manifest.coalesce(1).write.mode("errorifexists").json(f"{run}/_manifest")
-        spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(
-            f"{dest.rstrip('/')}/_published")
+        spark.createDataFrame([(time.time_ns(), run)], "published long, run string").coalesce(1) \
+            .write.mode("append").json(f"{dest.rstrip('/')}/_published")
     return report, run
 
 
 def published_table(spark: SparkSession, dest: str, table: str) -> DataFrame:
     """Read a table of the last published run (through the catalog when it
     was written bucketed, so the bucketing is visible to the planner)."""
-    run = spark.read.json(f"{dest.rstrip('/')}/_published").first()["run"]
+    run = spark.read.json(f"{dest.rstrip('/')}/_published").agg(F.max_by("run", "published")).first()[0]
     entry = (spark.read.json(f"{run}/_manifest").filter(F.col("table") == table.lower())
              .first())
     if entry is not None and "catalog_table" in entry and entry["catalog_table"]:
         return spark.table(entry["catalog_table"])
     return spark.read.parquet(f"{run}/{table.lower()}")
-
-
-def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], dest: str) -> DataFrame:
-    """Convenience for frames already in memory: stage, count and reconcile."""
-    src = spark.createDataFrame([(k.lower(), v.count()) for k, v in tables.items()],
-                                "table string, source_rows long")
-    run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
-    loaded = []
-    for k, v in tables.items():
-        v.write.mode("errorifexists").parquet(f"{run}/{k.lower()}")
-        loaded.append((k.lower(), spark.read.parquet(f"{run}/{k.lower()}").count()))
-    return reconcile(list(tables), src, spark.createDataFrame(loaded, "table string, loaded_rows long"))

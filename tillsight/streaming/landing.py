@@ -5,8 +5,10 @@ file source records them in the query checkpoint). Each micro-batch is typed
 with the catalog schema and written by ``foreachBatch`` to
 ``dest/<table>/batch=<id>``, overwriting that folder, so a batch retried after
 a failure replaces its own output instead of duplicating it. The batch's
-source and loaded row counts are appended to ``dest/_batches/<table>``, the
-per-batch form of the load reconciliation.
+source and loaded row counts go to ``dest/_batches/<table>/batch=<id>`` in the
+same way, the per-batch form of the load reconciliation. Columns are bound by
+the names in each file's header; a header that differs from the schema fails
+the batch before anything of it is published.
 
 ``trigger(availableNow=True)`` processes everything present and stops, which
 suits scheduled loads; a processing-time trigger keeps it running.
@@ -36,7 +38,8 @@ def stream_raw_load(spark: SparkSession, landing_dir: str, table: str,
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     reader = (spark.readStream.schema(text_schema).option("header", True)
               .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
-              .option("emptyValue", EMPTY_SENTINEL).option("pathGlobFilter", "*.csv"))
+              .option("emptyValue", EMPTY_SENTINEL).option("pathGlobFilter", "*.csv")
+              .option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir)
@@ -58,7 +61,7 @@ def stream_raw_load(spark: SparkSession, landing_dir: str, table: str,
         (batch.sparkSession.createDataFrame(
             [(name, batch_id, source, loaded, status)],
             "table string, batch_id long, source_rows long, loaded_rows long, status string")
-         .write.mode("append").parquet(f"{base}/_batches/{name}"))
+         .write.mode("overwrite").parquet(f"{base}/_batches/{name}/batch={batch_id}"))
 
     ckpt = checkpoint or new_run_dir(spark, f"stream-{name}")
     writer = text.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
@@ -73,4 +76,4 @@ def loaded_table(spark: SparkSession, dest: str, table: str) -> DataFrame:
 
 
 def batch_report(spark: SparkSession, dest: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{dest.rstrip('/')}/_batches/{table.lower()}")
+    return spark.read.parquet(f"{dest.rstrip('/')}/_batches/{table.lower()}").drop("batch")
