@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,9 +78,7 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
 def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` bytes of text (one row at
     least), so that the arrays made of a batch stay small."""
-    sizes = np.diff(np.frombuffer(column.cast(pa.large_binary()).buffers()[1], np.int64,
-                                  count=len(column) + 1, offset=8 * column.offset)) \
-        if len(column) else np.zeros(0, np.int64)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = filled = 0
     for i, n in enumerate(sizes):
         if i > start and filled + n > limit:
