@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -46,6 +47,19 @@ def discard(*frames: DataFrame) -> None:
         df.staged_in.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df.staged_in, True)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, jobs hand their Python workers at most ``rows`` rows at a
+    time (fewer bytes off the heap, where rows are long texts)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name``, prefixed until no column of ``taken`` has it."""
     lowered = {c.lower() for c in taken}

@@ -36,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, quoted, small, staged
+from .common import arrow_rows, discard, quoted, small, staged
 
 PERMUTATIONS, BANDS, ROWS = 48, 24, 4
 HELD, PASSED = 1024, 4096
 WIDTH, PERCENT = 2, 80
 SEED = 5
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
+BATCH_ROWS = 1000  # of texts handed to Python at a time
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -130,13 +131,13 @@ _LINK = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.B
 
 
 def compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) within groups: of each ``key``, rows of ``side`` 0
+    """Links (``a``, ``b``) between roots: of each ``key``, rows of ``side`` 0
     are held and those of side 1 compared with all of them. ``root`` tells what
     is connected already; a link that connects nothing new is left out."""
 
     def run(batches):
         shingles = Shingles(width)
-        key, nodes, roots, sets, joined = None, [], [], [], {}
+        key, roots, sets, joined = None, [], [], {}
         flat = owner = sizes = None
 
         def find(x):
@@ -144,18 +145,17 @@ def compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 x = joined[x]
             return x
 
-        for batch in small(batches, 4):
+        for batch in small(batches, 3):
             links = []
-            for k, side, node, root, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for k, side, root, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != key:
-                    key, nodes, roots, sets, joined, flat = k, [], [], [], {}, None
+                    key, roots, sets, joined, flat = k, [], [], {}, None
                 s = shingles((text or "").encode())
                 if side == 0:
-                    nodes.append(node)
                     roots.append(root)
                     sets.append(s)
                     continue
-                if not nodes:
+                if not sets:
                     continue
                 if flat is None:
                     sizes = np.array([len(x) for x in sets])
@@ -170,11 +170,11 @@ def compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     x, y = find(roots[i]), find(root)
                     if x != y:
                         joined[x] = y
-                        links.append((nodes[i], node))
+                        links.append((roots[i], root))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], names=["a", "b"])
 
-    dealt = rows.select("key", "side", "node", "root", "text").repartition("key").sortWithinPartitions("key", "side")
+    dealt = rows.select("key", "side", "root", "text").repartition("key").sortWithinPartitions("key", "side")
     return dealt.mapInArrow(run, _LINK)
 
 
@@ -206,7 +206,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = PERCENT, held: int = HELD, passed: int = PASSED) -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, ``n_shingles``,
     ``component_id`` and ``kept``."""
-    signed = staged(signatures(docs, id_col, text_col, width), "near-signatures")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        signed = staged(signatures(docs, id_col, text_col, width), "near-signatures")
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"))
     entries = classes.select("node", "n", F.posexplode("bands").alias("band", "key")) \
@@ -229,7 +230,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lead = blocks.select("lead", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")).select(
         F.xxhash64("lead", "block").alias("key"), F.lit(0).alias("side"), F.col("lead").alias("node"))
     own = led.unionAll(lead).join(texts, "node").withColumn("root", F.col("node"))
-    links = staged(compare(own, width, percent), "near-links")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        links = staged(compare(own, width, percent), "near-links")
     roots = components(links)
 
     # What is left of a bucket: members outside its largest component against all.
@@ -248,12 +250,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     everyone = todo.select("bucket", "node", "root", F.explode(F.expr("sequence(0, rows - 1)")).alias("row"),
                            column.alias("column"), F.lit(1).alias("side"))
     blocks = outside.unionAll(everyone).select(F.xxhash64("bucket", "row", "column").alias("key"), "side", "node", "root")
-    more = staged(compare(blocks.join(texts, "node"), width, percent), "near-links")
-    roots = components(links.unionAll(more))
-
-    own = F.coalesce("root", "node")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        more = staged(compare(blocks.join(texts, "node"), width, percent), "near-links")
+    # These links are between roots, so the components of the few roots that
+    # they join are enough.
+    above = components(more).select(F.col("node").alias("root"), F.col("root").alias("above"))
     named = signed.groupBy("node").agg(F.min("id").alias("id")).filter("node IS NOT NULL").join(roots, "node", "left") \
-        .select(F.col("node").alias("_node"), "id", own.alias("_root"))
+        .select("node", "id", F.coalesce("root", "node").alias("root")).join(above, "root", "left") \
+        .select(F.col("node").alias("_node"), "id", F.coalesce("above", "root").alias("_root"))
     least = staged(named.groupBy("_root").agg(F.min("id").alias("least")), "near-least")
     final = staged(named.join(least, "_root").select("_node", "least"), "near-final")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
