@@ -65,3 +65,31 @@ def test_hot_customer_segmentation(spark, duck):
     assert got[HOT] == exp[HOT]
     for c, v in got.items():
         assert v == exp[c]
+
+
+def test_hot_customer_and_hot_variant_are_split(spark):
+    """The executed plans cut the hot key's partition into several reads."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # A third of all rows on one key, against one row a key; both sides in many files.
+        rows = spark.range(0, 60_000, numPartitions=8).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 5000 END AS k", "id AS order_id",
+            "CASE WHEN id % 3 = 1 THEN 11 ELSE id % 5000 END AS product_variant_id")
+        names = spark.range(5000).selectExpr("id AS customer_id", "uuid() AS name")
+        variants = spark.range(5000).selectExpr("id", "id % 40 AS product_id")
+        for df in (rows.join(names, rows.k == names.customer_id),
+                   rows.join(variants, rows.product_variant_id == variants.id)):
+            df.write.format("noop").mode("overwrite").save()
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "skewed" in plan.split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -32,6 +32,10 @@ def main(argv: list[str] | None = None) -> int:
     rp.add_argument("--forecast-product")
     rp.add_argument("--recommend-product")
     rp.add_argument("--as-of")
+    rp.add_argument("--window", type=int, help="months of the moving average")
+    rp.add_argument("--train-end", help="last training month, yyyy-mm")
+    rp.add_argument("--test-months", nargs="+", help="months to forecast, yyyy-mm")
+    rp.add_argument("--top", type=int, help="length of the similar-products list")
     args = ap.parse_args(argv)
 
     spark = get_session()
@@ -47,6 +51,9 @@ def main(argv: list[str] | None = None) -> int:
         kwargs["forecast_product"] = args.forecast_product
     if args.recommend_product:
         kwargs["recommend_product"] = args.recommend_product
+    for key in ("window", "train_end", "test_months", "top"):
+        if getattr(args, key) is not None:
+            kwargs[key] = getattr(args, key)
     for name, df in reports(raw, **kwargs).items():
         df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
         print(f"wrote {name}")

@@ -9,7 +9,7 @@ uses the distributed exact algorithm of ``tillsight.operators.quantiles``;
 ``"single"`` is Spark's built-in ``percentile`` (exact, but every distinct
 value meets in one task: fine for small domains); ``"approx"`` is
 ``percentile_approx`` (bounded sketch, relative rank error 1/accuracy).
-Quantiles enter the result as scalar subqueries of one row.
+Exact quantiles enter the result as literals, the others as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ from tillsight.operators.quantiles import exact_quantiles
 
 def quantile_columns(df: DataFrame, col: str, probs: Sequence[float], method: str = "exact",
                      accuracy: int = 10000) -> list[Column]:
-    """Scalar-subquery columns holding the continuous quantiles of ``col``."""
+    """Columns holding the continuous quantiles of ``col`` (one value each)."""
     if method == "exact":
-        q = exact_quantiles(df, col, probs)
-        # One subquery for all probabilities, indexed afterwards.
-        arr = q.select(F.array(*[F.col(f"q{i}") for i in range(len(probs))])).scalar()
-        return [arr[i] for i in range(len(probs))]
+        # A handful of numbers, computed once; as literals they keep the plans
+        # that use them small.
+        row = exact_quantiles(df, col, probs).first()
+        return [F.lit(row[f"q{i}"]).cast("double") for i in range(len(probs))]
     x = F.col(col).cast("double")
     if method == "approx":
         arr = df.select(F.percentile_approx(x, list(probs), accuracy).alias("a"))
@@ -171,8 +171,8 @@ def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
     """Quartiles, IQR, Tukey fences and the number of rows outside.
 
-    The quartiles are scalar subqueries (one row, computed once); the
-    outlier count is a second, purely map-side aggregate over the column.
+    The quartiles are computed first; the outlier count is a second, purely
+    map-side aggregate over the column.
     """
     q1, q3 = quantile_columns(df, col, (0.25, 0.75), method, accuracy)
     iqr = q3 - q1

@@ -194,8 +194,7 @@ def q_yearly_future(spark, d):
 def q_integrity_panel(spark, d):
     return profile.integrity_panel(
         B.orders_with_item_totals(spark, d),
-        {"duplicate_ids": ["id"], "duplicate_numbers": ["order_number"],
-         "duplicate_customer_days": ["customer_id", "created_at"]},
+        {"duplicate_ids": ["id"], "duplicate_numbers": ["order_number"]},
         profile.order_checks())
 
 

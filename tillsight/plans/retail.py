@@ -54,7 +54,7 @@ def star_schema(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def reports(raw: Mapping[str, DataFrame], forecast_product: str | None = FORECAST_PRODUCT,
             recommend_product: str | None = RECOMMEND_PRODUCT, train_end: str = TRAIN_END,
             test_months: Sequence[str] = TEST_MONTHS, window: int = WINDOW,
-            as_of: str | None = None) -> dict[str, DataFrame]:
+            as_of: str | None = None, top: int = TOP_SIMILAR) -> dict[str, DataFrame]:
     """Every analysis the reference runs, with its parameters as defaults.
 
     ``forecast_product`` / ``recommend_product`` set to None skip the two
@@ -95,5 +95,5 @@ def reports(raw: Mapping[str, DataFrame], forecast_product: str | None = FORECAS
     out["matrix_summary"] = recommend.matrix_summary(pairs)
     if recommend_product is not None:
         out["similar_products"] = recommend.similar_items_by_name(pairs, p, recommend_product,
-                                                                  TOP_SIMILAR)
+                                                                  top)
     return out
