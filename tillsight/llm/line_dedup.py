@@ -32,9 +32,9 @@ BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "br", "dd", "
               "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "nav",
               "ol", "option", "p", "pre", "section", "table", "td", "th", "title", "tr", "ul")
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*)>"
 _BREAK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
-_GAP = r"[ \t\n\x0b\f\r]*[\t\n\x0b\f\r][ \t\n\x0b\f\r]*| {2,}"  # any white space but one blank
+_GAP = r"[ \t\n\x0b\f\r]{2,}|[\t\n\x0b\f\r]"  # any white space but one blank
 _TAG = r"<[!/a-zA-Z][^>]*>"
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -51,7 +51,7 @@ def text_of_html(html: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(text, _BREAK, "\n"), _TAG, "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.regexp_replace(F.regexp_replace(text, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(F.regexp_replace(text, r" *\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def line_keys(lines: Column) -> Column:
@@ -113,10 +113,10 @@ WITH t AS (
            '{_BREAK}', chr(10), 'g'), '{_TAG}', '', 'g'), 'x^', '') AS raw
   FROM pages
 ), p AS (
-  SELECT page_id, host, regexp_replace(regexp_replace(
+  SELECT page_id, host, trim(regexp_replace(
     replace(replace(replace(replace(replace(replace(raw, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
       '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
-    ' *\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS text
+    ' *\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text
   FROM t
 ), l AS (
   SELECT page_id, host, generate_subscripts(lines, 1) AS k, unnest(lines) AS line
