@@ -274,8 +274,9 @@ def _rows(docs, id_col, text_col):
 
 def _texts(docs, signed, candidates, id_col, text_col):
     """One text of each class that has anything to compare with."""
-    chosen = (signed.filter("node IS NOT NULL").join(candidates.select("node"), "node")
-              .groupBy("node").agg(F.min("row").alias("row")))
+    # Aggregated before the join: a class of very many copies costs a row a task.
+    chosen = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")) \
+        .join(candidates.select("node"), "node")
     return _rows(docs, id_col, text_col).select("row", "text").join(chosen, "row").dropDuplicates(["row"]) \
         .select("node", "text")
 
