@@ -188,14 +188,15 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
     while True:
         # Large star: every node's larger neighbours hang on its smallest one.
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the rows of a node with very many links can be split.
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: every node and its smaller neighbours hang on the smallest.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = staged(small.unionAll(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "components")
         before, mark = mark, tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        discard(edges)
+        discard(edges, low)
         edges = new
         if mark == before or not mark[0]:
             break
