@@ -139,6 +139,23 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(empty(spark), "source", "text")[0].count() == 0
 
 
+def test_line_dedup_of_small_hosts(spark):
+    """The registered defaults drop by share alone, once a line repeats."""
+    page = "<p>{0}</p><p>own line {1}</p>"
+    pages = [(i, f"http://few.org/{i}", page.format("menu" if i < 3 else "x", i)) for i in range(4)]
+    pages += [(10 + i, f"http://more.org/{i}", page.format("news" if i < 3 else "tag" if i < 5 else f"y{i}", i)) for i in range(24)]
+    pages.append((40, "http://one.org/", page.format("alone", 40)))
+    got = {r.page_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.report(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = {}
+    for i, url, _ in pages:
+        # 3 of 4 and 3 of 24 pages are above a tenth, 2 of 24 are not.
+        first = "menu" if i < 3 else "x" if i < 4 else "alone" if i == 40 else "news" if i < 13 else "tag" if i < 15 else f"y{i - 10}"
+        own = f"own line {i - 10 if 10 <= i < 40 else i}"
+        want[i] = (2, 1, own) if first in ("menu", "news") else (2, 0, f"{first}\n{own}")
+    assert got == want
+
+
 def test_host_and_html(spark):
     from pyspark.sql import functions as F
     data = spark.createDataFrame([("HTTPS://u:p@WWW.Ex.org:80/a?b", "<p>A &amp;  b<br>c</p><!-- x --><script>y<p></script>\n<i>d</i>"),

@@ -1,8 +1,9 @@
 """Operator 2, site-relative line dedup.
 
 Native: DataFrame functions only. For each host, the share of its pages that
-contain a line; lines of a share above ``ratio`` (and on ``min_pages`` pages at
-least) are boilerplate of that host and leave all its pages.
+contain a line; lines of a share above ``ratio`` are boilerplate of that host
+and leave all its pages, on hosts of any size. A line must be on ``min_pages``
+pages at least: two by default, as a line on one page repeats nothing.
 
 A page counts once for a line however often it repeats it. Lines are compared
 trimmed, by their MD5. Counts are combined inside each task before the shuffle,
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from .common import fresh, quoted, staged
 
 RATIO = 0.1
-MIN_PAGES = 10
+REPEATED = 2
+MIN_PAGES = 10  # of the SQL alone, which still has the floor that the operator had
 
 # Tags that end a line of text (fixed values of HTML).
 BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "footer",
@@ -60,7 +62,7 @@ def line_keys(lines: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = REPEATED) -> DataFrame:
     """For each ``host`` that has any: ``keys`` of its boilerplate lines."""
     rows = pages.select(quoted(host_col).alias("host"), quoted(text_col).alias("text")) \
         .filter(F.col("host").isNotNull())
@@ -75,7 +77,7 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: float = R
 
 
 def line_dedup(pages: DataFrame, host_col: str, text_col: str, ratio: float = RATIO,
-               min_pages: int = MIN_PAGES) -> tuple[DataFrame, str, str]:
+               min_pages: int = REPEATED) -> tuple[DataFrame, str, str]:
     """``pages`` with ``text_col`` rewritten, and the names of two columns
     more: how many non-empty lines a page had and how many of them went."""
     drop = staged(boilerplate(pages, host_col, text_col, ratio, min_pages), "line-boilerplate")
