@@ -4,9 +4,9 @@ Units are the pieces of a text between separators: lines ("\\n", the default)
 or paragraphs ("\\n\\n"). A unit is normalised (A-Z in lower case, runs of ASCII
 white space as one space, trimmed) and hashed to 128 bits; over all documents
 the earliest ranked occurrence (smallest document id, then the earliest unit)
-keeps its text and every later one goes. Units of fewer than ``min_words``
-words are no evidence of a copy and stay. The offsets [start, end) of what goes
-are kept, in characters of the original.
+keeps its text and every later one goes. The registered query compares every
+unit that isn't empty; with the option ``min_words`` units of fewer words stay.
+The offsets [start, end) of what goes are kept, in characters of the original.
 
 The earliest occurrence is an aggregate that combines inside each task, so a
 line on a third of all documents costs a row a task; the look-up of a hot key
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .common import LOWER, UPPER, fresh, mapped, quoted, small, staged
 
-MIN_WORDS = 5
+MIN_WORDS = 5  # default of the option, and of the SQL, which the registered query goes beyond
 _SPACE = " \t\n\x0b\x0c\r"
 _FOLD = str.maketrans(UPPER + _SPACE, LOWER + " " * len(_SPACE))
 
@@ -117,7 +117,7 @@ def line_hash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def report(docs: DataFrame) -> DataFrame:
     """Per document: lines compared, lines removed, their offsets and the
     digest of the text that stays."""
-    out, names = line_hash_dedup(docs.select("doc_id", "text"))
+    out, names = line_hash_dedup(docs.select("doc_id", "text"), min_words=1)
     spans = quoted(names["spans"])
     return out.select(
         "doc_id", quoted(names["units"]).alias("n_units"), F.size(spans).cast("long").alias("n_removed"),
