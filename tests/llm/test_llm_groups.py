@@ -74,6 +74,17 @@ def test_rounding_keeps_expectations(spark):
     assert sum(r.part * r.size for r in got) == pytest.approx(0.3 * sum(x[3] for x in data))
 
 
+def test_rounding_keeps_expectations_of_all_sizes(spark):
+    """Also a small fraction where sizes spread over three orders of magnitude."""
+    rng = np.random.default_rng(6)
+    data = [("s", i, 1, int(10 ** x), 0.1) for i, x in enumerate(rng.uniform(0.5, 3.5, 6000))]
+    units = spark.createDataFrame(data, "source string, id long, nth long, size long, part double")
+    got = sorted((r["size"], r["id"], r.part) for r in mixing.round_fractions(units).collect())
+    for fifth in np.array_split([p for _, _, p in got], 5):
+        assert abs(fifth.mean() - 0.1) < 0.03
+    assert sum(n * p for n, _, p in got) == pytest.approx(0.1 * sum(x[3] for x in data))
+
+
 def brute_suffix(data):
     """Bytes that go, with rows of one id in the order of their hash left out."""
     seen, out = set(), []

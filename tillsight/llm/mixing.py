@@ -20,7 +20,8 @@ else meets in one task.
 Defined cases: null and empty texts have size 0 and take 0; a source without
 words has target 0; null is a source of its own, ranked last; repeated rows
 (same id, source and size) are documents of their own; an empty table gives no
-rows. Draws are hashes of id, size and ``seed``, so reruns agree.
+rows. A group's order and the draws of its meetings are two hashes of id, size
+and ``seed``, independent of each other, so reruns agree.
 """
 
 from __future__ import annotations
@@ -108,9 +109,11 @@ def round_fractions(units: DataFrame, group: int = GROUP, seed: int = SEED) -> D
             return (done if settled is None else done.unionByName(settled)).unionByName(open_units)
         counts = open_units.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("units"))
         dealt = open_units.join(counts, F.col("source").eqNullSafe(F.col("_source"))).select(
-            "source", F.pmod(F.xxhash64("id", "nth", "size", F.lit(seed), F.lit(2 * level)),
+            "source", F.pmod(F.xxhash64("id", "nth", "size", F.lit(seed), F.lit(3 * level)),
                                          F.ceil(F.col("units") / group)).alias("deal"),
-            F.struct((F.pmod(F.xxhash64("id", "nth", "size", F.lit(seed), F.lit(2 * level + 1)), F.lit(1 << 53))
+            # Groups are sorted by the first field, so it must not be the draw.
+            F.struct(F.xxhash64("id", "nth", "size", F.lit(seed), F.lit(3 * level + 1)).alias("place"),
+                     (F.pmod(F.xxhash64("id", "nth", "size", F.lit(seed), F.lit(3 * level + 2)), F.lit(1 << 53))
                       / float(1 << 53)).alias("draw"), "id", "nth", "size", "part").alias("unit"))
         kind = dealt.schema["unit"].dataType.simpleString()
         folded = (dealt.groupBy("source", "deal").agg(F.array_sort(F.collect_list("unit")).alias("units"))
