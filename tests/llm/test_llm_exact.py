@@ -73,11 +73,11 @@ def test_paragraphs(spark):
 
 def test_line_hash_registered_compares_every_line(spark):
     data = [(1, "Yes\n\nnur hier\n日本語の文章です"), (2, "yes\n\nown\n \n日本語の文章です"), (3, "own"), (4, "\n\n"), (5, None)]
-    got = {r.doc_id: (r.n_units, r.n_removed, r.removed_spans, r.kept_sha256)
+    got = {r.doc_id: (r.n_units, r.n_units_removed, r.n_removed, r.removed_spans, r.kept_sha256)
            for r in line_hash.report(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
-    assert got == {1: (3, 0, "", sha(data[0][1])), 2: (3, 2, "0-4,11-19", sha("\nown\n \n")),
-                   3: (1, 1, "0-3", sha("")), 4: (0, 0, "", sha("\n\n")), 5: (0, 0, "", sha(""))}
+    assert got == {1: (3, 0, 0, "", sha(data[0][1])), 2: (3, 2, 12, "0-4,11-19", sha("\nown\n \n")),
+                   3: (1, 1, 3, "0-3", sha("")), 4: (0, 0, 0, "", sha("\n\n")), 5: (0, 0, 0, "", sha(""))}
 
 
 def brute_hits(text, items):

@@ -86,6 +86,41 @@ def test_windows_cover_every_token_and_overlap():
         assert (seen > 0).all() and (np.diff(s) <= toxicity.STRIDE).all() and s[-1] == max(n - toxicity.WINDOW, 0)
 
 
+def test_toxicity_score_does_not_depend_on_the_batch(toxicity_model):
+    rng = np.random.default_rng(5)
+    known = sorted(toxicity_model.ids)
+    texts = [b" ".join(known[i] if rng.random() < 0.8 else b"w%d" % i + b"x" * (i % 30)
+                       for i in rng.integers(0, len(known), rng.integers(1, 90))) for _ in range(3000)]
+    among = toxicity.Scorer(toxicity_model).texts(texts)
+    backwards = toxicity.Scorer(toxicity_model).texts(texts[::-1])[::-1]
+    assert (among == backwards).all()
+    for i in (*range(60), 1499, 2998, 2999):
+        scorer = toxicity.Scorer(toxicity_model)
+        other = texts[(i + 1) % 3000:][:5]
+        assert scorer.texts([texts[i]])[0] == toxicity.Scorer(toxicity_model).texts([*other, texts[i]])[-1] \
+            == toxicity.Scorer(toxicity_model).texts([texts[i], *other])[0] == among[i]
+
+
+def test_toxicity_scorer_agrees_with_the_training_code(toxicity_model):
+    """The highest window of whole texts, each window by ``encode``."""
+    w, model = toxicity_model.weights, toxicity_model
+    rng = np.random.default_rng(6)
+    known = sorted(model.ids)
+    for n in (1, 7, 23, 24, 25, 60, 151):
+        words = [known[i] if i % 5 else b"unseen%d" % i for i in rng.integers(0, len(known), n)]
+        values = []
+        for s in toxicity.window_starts(n):
+            part = words[s:s + toxicity.WINDOW]
+            ids = [model.ids.get(x, 0) for x in part]
+            chars, real = toxicity.letters(part)
+            spelled = toxicity.encode(w, "char", w["chars"][chars], real)
+            x = np.concatenate([w["words"][ids], spelled, 0.3 * model.odds[ids][:, None]], 1)[:, None]
+            pooled = toxicity.encode(w, "word", x, np.ones((len(part), 1), bool))
+            values.append(float((pooled @ w["out"] + w["out_bias"])[0]))
+        got = toxicity.Scorer(model).texts([b" ".join(words)])[0]
+        assert abs(got - 1 / (1 + np.exp(-max(values)))) < 1e-4
+
+
 def test_gradient_of_the_network():
     """The written gradients against differences of the loss."""
     words = [f"w{i}".encode() for i in range(9)]

@@ -27,7 +27,6 @@ from .common import fresh, quoted, staged
 
 RATIO = 0.1
 REPEATED = 2
-MIN_PAGES = 10  # of the SQL alone, which still has the floor that the operator had
 
 # Tags that end a line of text (fixed values of HTML).
 BLOCK_TAGS = ("address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "footer",
@@ -128,7 +127,7 @@ WITH t AS (
     SELECT host, trim(line) AS line, count(DISTINCT page_id) AS n FROM l
     WHERE host IS NOT NULL AND trim(line) <> '' GROUP BY ALL)
   JOIN (SELECT host, count(*) AS pages FROM p GROUP BY host) USING (host)
-  WHERE n >= {MIN_PAGES} AND n > CAST({RATIO} AS DOUBLE) * pages
+  WHERE n >= {REPEATED} AND n > CAST({RATIO} AS DOUBLE) * pages
 ), m AS (
   SELECT l.*, b.line IS NOT NULL AS goes FROM l LEFT JOIN b ON l.host = b.host AND trim(l.line) = b.line
 ), s AS (

@@ -4,9 +4,9 @@ Units are the pieces of a text between separators: lines ("\\n", the default)
 or paragraphs ("\\n\\n"). A unit is normalised (A-Z in lower case, runs of ASCII
 white space as one space, trimmed) and hashed to 128 bits; over all documents
 the earliest ranked occurrence (smallest document id, then the earliest unit)
-keeps its text and every later one goes. The registered query compares every
-unit that isn't empty; with the option ``min_words`` units of fewer words stay.
-The offsets [start, end) of what goes are kept, in characters of the original.
+keeps its text and every later one goes. Every unit that isn't empty is
+compared; with the option ``min_words`` units of fewer words stay. The offsets
+[start, end) of what goes are kept, in characters of the original.
 
 The earliest occurrence is an aggregate that combines inside each task, so a
 line on a third of all documents costs a row a task; the look-up of a hot key
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .common import LOWER, UPPER, fresh, mapped, quoted, small, staged
 
-MIN_WORDS = 5  # default of the option, and of the SQL, which the registered query goes beyond
+MIN_WORDS = 1  # every unit that isn't empty
 _SPACE = " \t\n\x0b\x0c\r"
 _FOLD = str.maketrans(UPPER + _SPACE, LOWER + " " * len(_SPACE))
 
@@ -115,12 +115,14 @@ def line_hash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: lines compared, lines removed, their offsets and the
+    """Per document: lines compared, lines removed, how many characters went
+    with them (``n_removed``, line breaks included), the lines' offsets and the
     digest of the text that stays."""
-    out, names = line_hash_dedup(docs.select("doc_id", "text"), min_words=1)
+    out, names = line_hash_dedup(docs.select("doc_id", "text"))
     spans = quoted(names["spans"])
     return out.select(
-        "doc_id", quoted(names["units"]).alias("n_units"), F.size(spans).cast("long").alias("n_removed"),
+        "doc_id", quoted(names["units"]).alias("n_units"), F.size(spans).cast("long").alias("n_units_removed"),
+        F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
         F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))),
                      ",").alias("removed_spans"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -138,14 +140,15 @@ WITH t AS (
               '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
   FROM u
 ), r AS (
-  SELECT *, len(string_split(norm, ' ')) >= {MIN_WORDS} AS long,
+  SELECT *, norm <> '' AS long, least(start + length(unit) + 1, total) AS stop,
          row_number() OVER (PARTITION BY norm ORDER BY doc_id, n) AS rank
   FROM o
 )
 SELECT doc_id, CAST(count(*) FILTER (WHERE long) AS BIGINT) AS n_units,
-       CAST(count(*) FILTER (WHERE long AND rank > 1) AS BIGINT) AS n_removed,
-       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(least(start + length(unit) + 1, total) AS BIGINT), ','
-                           ORDER BY n) FILTER (WHERE long AND rank > 1), '') AS removed_spans,
+       CAST(count(*) FILTER (WHERE long AND rank > 1) AS BIGINT) AS n_units_removed,
+       CAST(coalesce(sum(stop - start) FILTER (WHERE long AND rank > 1), 0) AS BIGINT) AS n_removed,
+       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY n)
+                FILTER (WHERE long AND rank > 1), '') AS removed_spans,
        sha256(coalesce(string_agg(unit || CASE WHEN start + length(unit) < total THEN chr(10) ELSE '' END, ''
                                   ORDER BY n) FILTER (WHERE NOT (long AND rank > 1)), '')) AS kept_sha256
 FROM r GROUP BY doc_id

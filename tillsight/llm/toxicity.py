@@ -14,6 +14,9 @@ each with at most ``TRAIN_BYTES`` bytes spread over the text, weighted back to
 the classes' true shares; the vocabulary has at most ``VOCABULARY`` words.
 Scoring reads every whole text in pieces of bounded size, with a bounded table
 of known words in each worker. The model (under 2 MB) goes out by broadcast.
+A score doesn't depend on the rows that share its batch: in scoring, states and
+weights are multiples of 2**-20, whose products add up without rounding in any
+order, and blocks have one fixed shape, the last one filled up.
 
 Defined cases: null, empty and wordless texts score what the network says of
 nothing at all; without labels of both classes every score is the share of
@@ -41,6 +44,8 @@ SAMPLE = 1500
 TRAIN_BYTES = 8000
 EPOCHS, STEPS, BATCH, RATE = 12, 800, 64, 0.01  # at least so many epochs, and about so many steps
 KNOWN_WORDS = 200_000
+WORD_BLOCK, SHORT_WORD = 512, 8  # words are spelled in blocks of short ones and of long ones
+WINDOW_BLOCK = 1024
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))
 
@@ -56,6 +61,17 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def on_grid(x: np.ndarray) -> np.ndarray:
+    """Rounded to multiples of 2**-20 (exact in 32 bits up to 16)."""
+    return np.rint(x * np.float32(1 << 20)) * np.float32(2.0 ** -20)
+
+
+def exact_product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Matrix product of numbers on the grid: 64 bits hold every partial sum,
+    so the order that a library adds them in makes no difference."""
+    return (x.astype(np.float64) @ w.astype(np.float64)).astype(np.float32)
+
+
 def gru(project, steps: int, rows: int, state: np.ndarray, mask=None, back=False, keep=None):
     """States (steps, rows, hidden) of one direction. ``project(t)`` gives the
     inputs' part of the gates at a step; ``keep`` collects what the gradient
@@ -77,6 +93,30 @@ def gru(project, steps: int, rows: int, state: np.ndarray, mask=None, back=False
     return out
 
 
+def by_gate(x: np.ndarray) -> np.ndarray:
+    """(rows, three gates side by side) as (gate, rows, hidden)."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, -1).transpose(1, 0, 2))
+
+
+def gru_on_grid(project, steps: int, rows: int, state: np.ndarray, mask=None, back=False):
+    """As ``gru``, with the gates apart and states that stay on the grid."""
+    state = by_gate(state).astype(np.float64)
+    out = np.zeros((steps, rows, state.shape[2]), np.float32)
+    now = out[0].copy()
+    half = np.float32(0.5)
+    for t in (range(steps - 1, -1, -1) if back else range(steps)):
+        x, g = project(t), (now.astype(np.float64) @ state).astype(np.float32)
+        zr = x[:2] + g[:2]
+        zr *= half
+        np.tanh(zr, out=zr)
+        zr *= half
+        zr += half
+        c = np.tanh(x[2] + zr[1] * g[2])
+        new = on_grid(c + zr[0] * (now - c))
+        out[t] = now = new if mask is None else np.where(mask[t][:, None], new, now)
+    return out
+
+
 def gru_gradient(d_out, keep, state, mask):
     """Gradients of the gate inputs and of the recurrent weights."""
     steps, rows, h = d_out.shape
@@ -96,9 +136,9 @@ def gru_gradient(d_out, keep, state, mask):
     return d_in, d_state
 
 
-def attention(states, score, mask=None):
+def attention(states, score, mask=None, exact=False):
     """Attention-pooled states and their weights."""
-    e = states @ score
+    e = exact_product(states, score) if exact else states @ score
     if mask is not None:
         e = np.where(mask, e, np.float32(-1e9))
     e = np.exp(e - e.max(0))
@@ -141,10 +181,10 @@ def encode_gradient(weights, grads, name, d_pooled, keep):
     return dx
 
 
-def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def letters(words: list[bytes], steps: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of words, one column a word, and which of them are real."""
     size = np.array([len(w) for w in words])
-    steps = int(size.max())
+    steps = steps or int(size.max())
     flat = np.frombuffer(b"".join(w.ljust(steps, b"\0") for w in words), np.uint8).reshape(len(words), steps)
     return flat.T, np.arange(steps)[:, None] < size
 
@@ -272,36 +312,44 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         if model.weights is not None:
+            self.weights = {k: on_grid(v) for k, v in model.weights.items()}
+            self.odds = on_grid(np.float32(0.3) * model.odds)
             self._forget()
 
     def _forget(self) -> None:
         self.at, self.new = {}, []
-        self.gates = np.zeros((KNOWN_WORDS // 8, 6 * HIDDEN), np.float32)
+        self.gates = [np.zeros((3, KNOWN_WORDS // 8, HIDDEN), np.float32) for _ in "fb"]
 
     def _learn(self) -> None:
         """Gate inputs of the words met since the last call."""
-        w, model, h = self.model.weights, self.model, 3 * HIDDEN
-        done = len(self.at) - len(self.new)
-        if len(self.at) > len(self.gates):
-            self.gates = np.concatenate([self.gates, np.zeros((max(len(self.gates), len(self.at) - len(self.gates)), 2 * h), np.float32)])
-        order = np.argsort([len(x) for x in self.new], kind="stable")
-        for k in range(0, len(order), 4096):
-            part = order[k:k + 4096]
-            words = [self.new[i] for i in part]
-            chars, real = letters(words)
-            parts = []
-            for way in "fb":
-                p = (w["chars"] @ w[f"char_in_{way}"] + w[f"char_bias_{way}"])
-                parts.append(gru(lambda t, p=p: p[chars[t]], len(chars), len(words), w[f"char_state_{way}"], real, way == "b"))
-            spelled, _ = attention(np.concatenate(parts, 2), w["char_look"], real)
-            known = np.array([model.ids.get(x, 0) for x in words])
-            x = np.concatenate([w["words"][known], spelled, 0.3 * model.odds[known][:, None]], 1)
-            self.gates[done + part] = np.concatenate([x @ w[f"word_in_{way}"] + w[f"word_bias_{way}"] for way in "fb"], 1)
+        done, room = len(self.at) - len(self.new), self.gates[0].shape[1]
+        if len(self.at) > room:
+            more = np.zeros((3, max(room, len(self.at) - room), HIDDEN), np.float32)
+            self.gates = [np.concatenate([g, more], 1) for g in self.gates]
+        size = np.array([len(x) for x in self.new])
+        for steps, group in ((SHORT_WORD, np.flatnonzero(size <= SHORT_WORD)), (WORD_BYTES, np.flatnonzero(size > SHORT_WORD))):
+            for k in range(0, len(group), WORD_BLOCK):
+                self._spell(done, group[k:k + WORD_BLOCK], steps)
         self.new = []
 
+    def _spell(self, done: int, part: np.ndarray, steps: int) -> None:
+        w, ids = self.weights, self.model.ids
+        words = [self.new[i] for i in part] + [b""] * (WORD_BLOCK - len(part))
+        chars, real = letters(words, steps)
+        parts = []
+        for way in "fb":
+            p = by_gate(exact_product(w["chars"], w[f"char_in_{way}"]) + w[f"char_bias_{way}"])
+            parts.append(gru_on_grid(lambda t, p=p: p.take(chars[t], 1), len(chars), len(words), w[f"char_state_{way}"], real,
+                                     way == "b"))
+        spelled, _ = attention(np.concatenate(parts, 2), w["char_look"], real, exact=True)
+        known = np.array([ids.get(x, 0) for x in words])
+        x = np.concatenate([w["words"][known], on_grid(spelled), self.odds[known][:, None]], 1)
+        for gates, way in zip(self.gates, "fb"):
+            gates[:, done + part] = by_gate(exact_product(x, w[f"word_in_{way}"]) + w[f"word_bias_{way}"])[:, :len(part)]
+
     def windows(self, docs: list[list[bytes]]) -> np.ndarray:
         """Log-odds of every window of some non-empty token lists."""
-        w, h = self.model.weights, 3 * HIDDEN
+        w = self.weights
         if len(self.at) > KNOWN_WORDS:
             self._forget()
         at, new, ids = self.at, self.new, []
@@ -322,16 +370,18 @@ class Scorer:
         real = np.repeat(np.minimum(size, WINDOW), [len(s) for s in starts])
         out = np.empty(len(start), np.float32)
         steps = np.arange(WINDOW)
-        order = np.argsort(real, kind="stable")
-        for k in range(0, len(order), 2048):
-            rows = order[k:k + 2048]
-            mask = steps[:, None] < real[rows]
-            index = ids[np.where(mask, start[rows] + steps[:, None], 0)]
-            full = mask if not mask.all() else None
-            parts = [gru(lambda t, a=a: self.gates[index[t], a:a + h], WINDOW, len(rows), w[f"word_state_{way}"], full, way == "b")
-                     for a, way in ((0, "f"), (h, "b"))]
-            pooled, _ = attention(np.concatenate(parts, 2), w["word_look"], full)
-            out[rows] = pooled @ w["out"] + w["out_bias"]
+        # Full windows apart from short ones, so that each kind takes one way.
+        for rows in (np.flatnonzero(real == WINDOW), np.flatnonzero(real < WINDOW)):
+            for k in range(0, len(rows), WINDOW_BLOCK):
+                at = rows[k:k + WINDOW_BLOCK]
+                filled = np.concatenate([at, np.repeat(at[:1], WINDOW_BLOCK - len(at))])
+                mask = steps[:, None] < real[filled]
+                index = ids[np.where(mask, start[filled] + steps[:, None], 0)]
+                some = mask if real[at[0]] < WINDOW else None
+                parts = [gru_on_grid(lambda t, g=g: g.take(index[t], 1), WINDOW, WINDOW_BLOCK, w[f"word_state_{way}"], some,
+                                     way == "b") for g, way in zip(self.gates, "fb")]
+                pooled, _ = attention(np.concatenate(parts, 2), w["word_look"], some, exact=True)
+                out[at] = (exact_product(on_grid(pooled), w["out"]) + w["out_bias"])[:len(at)]
         return out
 
     def texts(self, texts: list[bytes]) -> np.ndarray:
