@@ -11,7 +11,8 @@ SCHEMA = T.StructType([
     # Columns that the operators use as names of their own.
     *(T.StructField(c, T.StringType()) for c in (
         "id", "node", "key", "row", "n", "units", "spans", "removed", "quality_score", "toxicity_score",
-        "benchmark_words", "taken", "target", "size", "lines", "n_dropped", "rendered", "_own", "_keys", "a.b")),
+        "benchmark_words", "taken", "target", "size", "lines", "n_dropped", "rendered", "_own", "_keys", "_spans_in",
+        "_items_in", "_kept_id", "ids", "runs", "collapsed", "n_words", "features", "weight", "score", "rank", "_part", "a.b")),
 ])
 EXTRA = len(SCHEMA) - 5
 

@@ -24,8 +24,8 @@ def test_exact_dedup(spark):
 
 
 def test_directory_splits_until_nothing_is_overfull(spark):
-    slots = spark.range(500).selectExpr("xxhash64(id) AS key").unionAll(spark.range(3).selectExpr("7L AS key"))
-    got = exact_dedup.directory(slots, capacity=8).collect()
+    keys = spark.range(500).selectExpr("xxhash64(id) AS key").unionAll(spark.range(3).selectExpr("7L AS key"))
+    got = exact_dedup.routed(keys, exact_dedup.directory(keys, capacity=8)).collect()
     assert len(got) == 503
     buckets = {}
     for r in got:
@@ -35,7 +35,21 @@ def test_directory_splits_until_nothing_is_overfull(spark):
     assert all(len(b) <= 8 for b in buckets.values())
     # Keys that are the same can't be split: they share a bucket of full depth if they overfill it.
     same = spark.range(5).selectExpr("7L AS key")
-    assert {r.depth for r in exact_dedup.directory(same, capacity=2).collect()} == {64}
+    assert {r.depth for r in exact_dedup.routed(same, exact_dedup.directory(same, capacity=2)).collect()} == {64}
+
+
+def test_the_directory_routes_rows_and_look_ups(spark, monkeypatch):
+    """Slots carry the bucket that the directory says; a row whose key the
+    directory doesn't know finds nothing."""
+    data = spark.createDataFrame([(i, f"text {i % 40}") for i in range(120)], "doc_id long, text string")
+    index, rounds = exact_dedup.build_index(data, capacity=4)
+    slots = index.collect()
+    assert len(slots) == 40 and len({(r.depth, r.bucket) for r in slots}) > 8
+    want = {r.key: r.bucket for r in exact_dedup.routed(index.select("key"), rounds).collect()}
+    assert all(want[r.key] == r.bucket for r in slots)
+    real = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, capacity: [x.filter("cell % 2 = 0") for x in real(keys, capacity)])
+    assert 0 < exact_dedup.exact_dedup(data, capacity=4).count() < 120
 
 
 def test_line_hash(spark):

@@ -254,10 +254,14 @@ def test_pipeline(spark):
 def test_pipeline_stages_on_awkward_rows(spark):
     import corpus_pipeline as P
     sf = "/root/testdata/sf0.001"
-    for data in (docs(spark).drop("a.b"), empty(spark).drop("a.b")):
-        done = P.staged(data, "test-awkward")  # the model of the first stage has tests of its own
-        for name, stage in P.STAGES[1:]:
+    for data in (docs(spark), empty(spark)):
+        done, columns = P.staged(data, "test-awkward"), data.columns
+        for name, stage in P.STAGES:
             done = P.staged(stage(spark, done, sf), "test-awkward")
             if name != "mixing":
-                assert done.columns == data.columns
+                assert done.columns == columns
+        assert done.columns[:len(columns)] == columns and len(done.columns) == len(columns) + 2
         assert done.count() <= data.count()
+        # Columns that only pass through keep their values.
+        for r in done.collect():
+            assert list(r)[5:len(columns)] == ["c"] * (len(columns) - 5)

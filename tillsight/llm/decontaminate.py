@@ -6,8 +6,9 @@ ASCII. A window is ``window`` consecutive words of an item, or the whole item
 if it is shorter. The automaton holds every distinct window and reads each
 text once; a hit word is one inside any occurrence.
 
-Bounds: an automaton holds at most ``block_chars`` characters of windows and
-is what the executors get by broadcast. A larger benchmark is cut into several
+Bounds: an automaton holds at most ``block_chars`` characters of windows (about 44
+bytes a character in each worker, measured) and is what the executors get by
+broadcast. A larger benchmark is cut into several
 automata, applied one after another to all documents, with the same result.
 
 Defined cases: null and empty texts have no words and no hits; items without
@@ -31,7 +32,7 @@ from .common import ascii_lower, fresh, mapped, quoted, staged, texts_of
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 4_000_000
 
 # Byte table of the normaliser: upper to lower case, other ASCII to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -112,21 +113,21 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text_col: str = "text",
     total = pats.agg(F.sum(size)).first()[0] or 0
     blocks = max(1, -(-int(total) // block_chars))
     names = {k: fresh(f"benchmark_{k}", docs.columns) for k in ("words", "spans", "items")}
-    out = docs.select("*", F.lit(None).cast("array<int>").alias("_spans_in"),
-                      F.lit(None).cast("array<string>").alias("_items_in"))
+    spans_in, items_in = (fresh(c, [*docs.columns, *names.values()]) for c in ("_spans_in", "_items_in"))
+    out = docs.select("*", F.lit(None).cast("array<int>").alias(spans_in), F.lit(None).cast("array<string>").alias(items_in))
     fields = [T.StructField(names["words"], T.LongType()),
               T.StructField(names["spans"], T.ArrayType(T.IntegerType())),
               T.StructField(names["items"], T.ArrayType(T.StringType()))]
     for k in range(blocks):
         own = pats if blocks == 1 else pats.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
         held = spark.sparkContext.broadcast([(r.pattern, r["items"]) for r in own.toLocalIterator()])
-        out = mapped(out, [text_col, "_spans_in", "_items_in"], fields, _scanner(held))
+        out = mapped(out, [text_col, spans_in, items_in], fields, _scanner(held))
         if k + 1 < blocks:
             out = staged(out, "decontaminate-block").drop(names["words"])
             out = out.select(*[quoted(c) for c in docs.columns],
-                             quoted(names["spans"]).alias("_spans_in"),
-                             quoted(names["items"]).alias("_items_in"))
-    return out.drop("_spans_in", "_items_in"), names
+                             quoted(names["spans"]).alias(spans_in),
+                             quoted(names["items"]).alias(items_in))
+    return out.drop(spans_in, items_in), names
 
 
 def hit_words(spans):

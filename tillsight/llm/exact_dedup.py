@@ -2,20 +2,23 @@
 
 Native: DataFrame functions only.
 
-1. A text's key is a 64-bit hash of its normalised form. Owner tasks group
-   (key, normalised text): the grouping compares whole texts byte by byte, and
-   copies collapse inside each task before anything is shuffled, so one text
-   that holds a third of all rows costs one row a task.
-2. Each distinct text is a slot. The directory starts as one bucket and
-   doubles: a bucket of more than ``capacity`` slots splits by the next bit of
-   the key, all others keep their local depth. Counts per 16 bits of the key
-   (65,536 rows at most, whatever the data) are refined for the overfull cells
-   only, 16 more bits a round, until nothing is overfull or 64 bits are used.
-3. Slots are written to files of the shared folder by ranges of buckets, in
-   key order. Different texts with one key follow each other as a chain, told
-   apart by their digest.
-4. Every row looks its slot up by key and digest. A hot key's rows are split
-   by the adaptive skew join: the slot side has one row for each key.
+1. A text's key is a 64-bit hash of its normalised form. The directory starts as
+   one bucket and doubles: a bucket of more than ``capacity`` keys splits by the
+   next bit of the key, all others keep their local depth. Counts of the distinct
+   keys per 16 bits (65,536 rows at most, whatever the data) are refined for the
+   overfull cells only, 16 more bits a round, until nothing is overfull or 64 bits
+   are used. Buckets hold at least twice the mean of those cells, so that the
+   directory of any table is about its first round, which tasks get by broadcast.
+2. The directory sends every row to its bucket. Within a bucket rows meet by key
+   and by the text itself, byte by byte; copies collapse inside each task before
+   anything is shuffled, so one text that holds a third of all rows costs one row a
+   task. Different texts of one key follow each other as a chain, told apart by
+   their digest.
+3. Slots are written to files of the shared folder by ranges of buckets, in key
+   order: each file is the range of one owner task.
+4. Every row looks its slot up by bucket and key and walks the chain by digest. A
+   hot key's rows are split by the adaptive skew join: the slot side has one row
+   for each text.
 
 Defined cases: null counts as empty text; equal length and doc_id (a repeated
 row) are the same document and both count as staying; a null doc_id comes
@@ -33,19 +36,20 @@ CAPACITY = 4096
 _STEP = 16
 
 
-def directory(slots: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Slots with their ``bucket`` (the key's first ``depth`` bits, as an
-    unsigned number aligned to 64 bits) and local ``depth``.
+def _cell(base: int):
+    """The bits of ``key`` before ``base`` and the 16 behind them."""
+    above = F.shiftrightunsigned("key", 64 - base) if base else F.lit(0).cast("long")
+    return above.alias("above"), F.shiftrightunsigned("key", 64 - _STEP - base).bitwiseAND((1 << _STEP) - 1).alias("cell")
 
-    ``slots`` has a long column ``key``; one row for each distinct text.
-    """
-    done = None
-    todo = slots
+
+def directory(keys: DataFrame, capacity: int) -> list[DataFrame]:
+    """The directory for a column ``key`` of distinct keys: for each round of 16
+    bits the cells (``above``, ``cell``) that end there, with the local depth ``d``
+    beyond the round's first bit."""
+    rounds = []
+    todo = keys.select("key")
     for base in range(0, 64, _STEP):
-        cell = F.shiftrightunsigned("key", 64 - _STEP - base).bitwiseAND((1 << _STEP) - 1)
-        above = (F.shiftrightunsigned("key", 64 - base) if base else F.lit(0).cast("long"))
-        todo = todo.withColumn("above", above).withColumn("cell", cell)
-        counts = todo.groupBy("above", "cell").agg(F.count("*").alias("slots"))
+        counts = staged(todo.select(*_cell(base)).groupBy("above", "cell").agg(F.count("*").alias("slots")), "exact-cells")
         # A bucket at depth d of a cell is the sum of the cells that share
         # its first d bits; the local depth is the first that fits.
         levels = (counts.select("above", "slots", F.explode(F.sequence(F.lit(0), F.lit(_STEP))).alias("d"), "cell")
@@ -56,47 +60,58 @@ def directory(slots: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 .withColumn("prefix", F.expr(f"shiftright(cell, {_STEP} - d)"))
                 .join(fits, ["above", "d", "prefix"])
                 .groupBy("above", "cell").agg(F.min("d").alias("d")))
-        leaf = staged(leaf, "exact-directory")
-        held = todo.join(leaf, ["above", "cell"])
-        held = held.select(*slots.columns, (F.col("d") + base).alias("depth"), F.when(
-            F.col("d") + base == 0, F.lit(0).cast("long")).otherwise(F.expr(
-                f"shiftleft(shiftrightunsigned(key, 64 - d - {base}), 64 - d - {base})")).alias("bucket"))
-        done = held if done is None else done.unionByName(held)
-        if base + _STEP == 64 or counts.join(leaf, ["above", "cell"], "left_anti").isEmpty():
-            return done
-        todo = todo.join(leaf, ["above", "cell"], "left_anti").select(*slots.columns)
-    return done
+        rounds.append(staged(leaf, "exact-directory"))
+        if counts.join(rounds[-1], ["above", "cell"], "left_anti").isEmpty():
+            break
+        todo = todo.select("key", *_cell(base)).join(rounds[-1], ["above", "cell"], "left_anti").select("key")
+    return rounds
+
+
+def routed(rows: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """``rows`` (with a column ``key``) with their ``bucket``, the key's first
+    ``depth`` bits aligned to 64, as the directory says; rows of a key that it
+    doesn't know have none."""
+    out = rows
+    for k, leaf in enumerate(rounds):
+        above, cell = _cell(k * _STEP)
+        leaf = leaf.withColumnRenamed("d", f"d{k}")
+        out = out.withColumn("above", above).withColumn("cell", cell).join(
+            F.broadcast(leaf) if k == 0 else leaf, ["above", "cell"], "left").drop("above", "cell")
+    depth = F.coalesce(*(F.col(f"d{k}") + k * _STEP for k in range(len(rounds))))
+    bits = F.expr("shiftleft(shiftrightunsigned(key, 64 - depth), 64 - depth)")
+    return (out.withColumn("depth", depth).withColumn("bucket", F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(bits))
+            .filter("bucket IS NOT NULL").drop(*(f"d{k}" for k in range(len(rounds)))))
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                capacity: int = CAPACITY) -> DataFrame:
-    """The index files: one row a slot with ``key``, ``digest``, ``keep_id``,
-    ``keep_length``, ``group_size``, ``bucket`` and ``depth``."""
+                capacity: int = CAPACITY) -> tuple[DataFrame, list[DataFrame]]:
+    """The index files: one row a slot with ``bucket``, ``depth``, ``key``,
+    ``digest``, ``keep_id``, ``keep_length`` and ``group_size``; and its directory."""
     text = F.coalesce(quoted(text_col), F.lit(""))
-    rows = docs.select(quoted(id_col).alias("id"), F.length(text).alias("n"), without_spaces(text).alias("norm"))
-    same = (rows.withColumn("key", F.xxhash64("norm"))
-            .groupBy("key", "norm", "n").agg(F.min("id").alias("id"), F.count("*").alias("rows")))
-    slots = (same.select("key", F.sha2("norm", 256).alias("digest"), "n", "id", "rows")
-             .groupBy("key", "digest")
+    rows = docs.select(quoted(id_col).alias("id"), F.length(text).alias("n"), without_spaces(text).alias("norm")) \
+        .withColumn("key", F.xxhash64("norm"))
+    keys = staged(rows.select("key").distinct(), "exact-keys")
+    rounds = directory(keys, max(capacity, 2 * keys.count() >> _STEP))
+    same = routed(rows, rounds).groupBy("bucket", "depth", "key", "norm", "n").agg(F.min("id").alias("id"), F.count("*").alias("rows"))
+    slots = (same.select("bucket", "depth", "key", F.sha2("norm", 256).alias("digest"), "n", "id", "rows")
+             .groupBy("bucket", "depth", "key", "digest")
              .agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("last"), "id")).alias("keep"),
                   F.sum("rows").alias("group_size"))
-             .select("key", "digest", F.col("keep.id").alias("keep_id"),
+             .select("bucket", "depth", "key", "digest", F.col("keep.id").alias("keep_id"),
                      (-F.col("keep.n")).alias("keep_length"), "group_size"))
-    slots = staged(slots, "exact-slots")
-    index = directory(slots, capacity)
-    return staged(index.repartitionByRange(F.shiftrightunsigned("bucket", 1), "key")
-                  .sortWithinPartitions("key", "digest"), "exact-index")
+    index = slots.repartitionByRange(F.shiftrightunsigned("bucket", 1), "key").sortWithinPartitions("key", "digest")
+    return staged(index, "exact-index"), rounds
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 capacity: int = CAPACITY) -> DataFrame:
     """One row for each row of ``docs``: its id, the id that stays for its
     text, the size of the group, whether it stays, and the text's digest."""
-    index = build_index(docs, id_col, text_col, capacity)
+    index, rounds = build_index(docs, id_col, text_col, capacity)
     text = F.coalesce(quoted(text_col), F.lit(""))
     rows = (docs.select(quoted(id_col).alias("id"), F.length(text).alias("n"), without_spaces(text).alias("norm"))
             .select("id", "n", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("digest")))
-    return (rows.join(index, ["key", "digest"])
+    return (routed(rows, rounds).drop("depth").join(index, ["bucket", "key", "digest"])
             .select(F.col("id").alias(id_col), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_length"))).alias("kept"),
                     F.col("digest").alias("text_sha256")))

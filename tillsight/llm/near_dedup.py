@@ -5,7 +5,9 @@ case, words between ASCII white space; a shorter text is one shingle). Under
 each of ``PERMUTATIONS`` hash orders both the smallest and the largest shingle
 are signature values, twice as many as hash evaluations. ``BANDS`` bands of
 ``ROWS`` values put documents into buckets; a pair at similarity 0.8 misses all
-of them with a chance of 3e-6. Links are confirmed on the full sets.
+of them with a chance of 5e-8 (of 6e-7 for sets of five with four in common, where
+the smallest and the largest depend on each other). Links are confirmed on the full
+sets.
 
 1. Documents with the same set form a class; only classes go on.
 2. In each bucket one leader, the class whose buckets are the fullest, is
@@ -37,9 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, discard, quoted, small, staged
+from .common import arrow_rows, discard, fresh, quoted, small, staged
 
-PERMUTATIONS, BANDS, ROWS = 48, 24, 4
+PERMUTATIONS, BANDS, ROWS = 64, 32, 4
 HELD, PASSED = 512, 512
 WIDTH, PERCENT = 2, 80
 SEED = 5
@@ -285,9 +287,9 @@ def _texts(docs, signed, candidates, id_col, text_col):
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group; a row that repeats
     id and text counts once."""
-    kept = near_groups(docs, id_col, text_col, **options).filter("kept").select(
-        quoted(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, quoted(id_col).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([id_col, text_col])
+    name = fresh("_kept_id", docs.columns)
+    kept = near_groups(docs, id_col, text_col, **options).filter("kept").select(quoted(id_col).alias(name)).distinct()
+    return docs.join(kept, quoted(id_col).eqNullSafe(F.col(name)), "left_semi").dropDuplicates([id_col, text_col])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -51,7 +51,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     selects the label rows that may be learned from.
 
     The label rows are chosen first, so only a table of 2 * ``sample`` ids is
-    broadcast, and no document is shuffled.
+    broadcast. Of an id on several rows the text with the smallest hash counts, so
+    at most that many shortened texts are shuffled to the driver.
     """
     rows = labels.filter(learn & quoted(label).isin(0, 1) & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.min(quoted(label)).cast("int").alias("label"))
@@ -61,15 +62,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         own = rows.filter(F.col("label") == y).orderBy(key, "doc_id").limit(sample)
         chosen = own if chosen is None else chosen.unionAll(own)
     texts = docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(chosen), "doc_id") \
-        .select("text", "label", key.alias("key"))
+        .select("text", "label", key.alias("key"), F.xxhash64("text").alias("hash"))
 
     def shorten(batches):
         for batch in small(batches, 0):
             parts = [spread(t, train_bytes, piece) for t in texts_of(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), batch.column(1), batch.column(2)],
-                                             names=["text", "label", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), *batch.columns[1:]],
+                                             names=["text", "label", "key", "hash"])
 
-    got = texts.mapInArrow(shorten, "text binary, label int, key long").toLocalIterator()
+    got = (texts.mapInArrow(shorten, "text binary, label int, key long, hash long").groupBy("key", "label")
+           .agg(F.min(F.struct("hash", "text"))["text"].alias("text")).toLocalIterator())
     return [(text, y) for _, text, y in sorted((r["key"], bytes(r["text"]), r["label"]) for r in got)]
 
 

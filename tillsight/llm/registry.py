@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, quality, suffix_dedup, toxicity
+from . import (chat, decontaminate, exact_dedup, line_dedup, line_hash, mixing, near_dedup, packing, periodic, quality,
+               resample, suffix_dedup, toxicity)
 from .common import table
 
 
@@ -50,9 +51,22 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.report(table(spark, d, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic.report(table(spark, d, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resample.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_exact_dedup, op5_suffix_dedup,
-                                       op6_near_dedup, op7_toxicity, op8_chat_format, op9_line_hash, op10_decontaminate)}
+                                       op6_near_dedup, op7_toxicity, op8_chat_format, op9_line_hash, op10_decontaminate,
+                                       op11_packing, op12_periodic_runs, op13_importance_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:
