@@ -42,10 +42,23 @@ def test_overview_and_column_profile(spark):
     cp = {x["column"]: x for x in profile.column_profile(o).collect()}
     assert cp["salesperson_id"]["null_count"] == 2
     assert cp["salesperson_id"]["nullable"] and not cp["id"]["nullable"]
-    assert cp["id"]["distinct_count"] is None and cp["id"]["ordinal"] == 1
+    assert cp["id"]["distinct_count"] == 3 and cp["id"]["ordinal"] == 1
     assert cp["id"]["data_type"] == "BIGINT" and cp["channel"]["data_type"] == "VARCHAR"
-    dp = {x["column"]: x for x in profile.column_profile(o, distinct=["id"]).collect()}
-    assert dp["id"]["distinct_count"] == 3 and dp["channel"]["distinct_count"] is None
+    for c in o.columns:
+        assert cp[c]["distinct_count"] == o.select(c).dropna().distinct().count(), c
+    dp = {x["column"]: x for x in profile.column_profile(o, distinct="approx").collect()}
+    assert dp["id"]["distinct_count"] == 3  # few values: the sketch is exact
+    none = profile.column_profile(o, distinct=None).collect()
+    assert all(x["distinct_count"] is None for x in none)
+
+
+def test_distinct_counts_of_awkward_columns(spark):
+    df = spark.createDataFrame([(1, None, "a", [1]), (1, None, "", [1]), (2, None, None, None), (None, None, "a", [2, 1])],
+                               "`a.b` int, empty string, s string, l array<int>")
+    assert [r["distinct_count"] for r in profile.distinct_counts(df).orderBy("ordinal").collect()] == [2, 0, 2, 2]
+    assert [r["distinct_count"] for r in profile.distinct_counts(df.limit(0)).collect()] == [0] * 4
+    plan = spark._jvm.PythonSQLUtils.explainString(profile.column_profile(df)._jdf.queryExecution(), "simple")
+    assert "Expand" not in plan
 
 
 def test_null_pattern_and_share(spark):
@@ -94,7 +107,7 @@ def test_exact_quantiles_with_a_hot_value(spark):
     import numpy as np
     want = [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]
     for size in (7, 20, 200_000):  # many ranges or one: the same steps and answers
-        assert list(exact_quantiles(df, "v", [0.25, 0.5, 0.75], bucket_values=size).first()) == want
+        assert list(exact_quantiles(df, "v", [0.25, 0.5, 0.75], accuracy=10, small=size).first()) == want
 
 
 def test_exact_quantiles_order_nan_last(spark):
@@ -104,7 +117,7 @@ def test_exact_quantiles_order_nan_last(spark):
     nan = float("nan")
     df = spark.createDataFrame([(v,) for v in (1.0, nan, 3.0, 2.0, nan, 4.0, None)], "v double")
     for size in (1, 2, 200_000):
-        q = list(exact_quantiles(df, "v", [0.0, 0.4, 0.5, 0.9], bucket_values=size).first())
+        q = list(exact_quantiles(df, "v", [0.0, 0.4, 0.5, 0.9], accuracy=10, small=size).first())
         assert q[:3] == [1.0, 3.0, 3.5] and math.isnan(q[3])
     none = df.filter("v IS NULL")
     assert list(exact_quantiles(none, "v", [0.5]).first()) == [None]

@@ -16,7 +16,8 @@ import sys
 from tillsight.plans.retail import RAW_TABLES, reports
 from tillsight.session import get_session
 from tillsight.sources.csv_files import list_csv
-from tillsight.sources.load import load_run, published_table
+from tillsight.sources.load import load_run
+from tillsight.sources.snapshots import open_snapshot
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -25,7 +26,6 @@ def main(argv: list[str] | None = None) -> int:
     ld = sub.add_parser("load", help="infer, load and reconcile a folder of CSV files")
     ld.add_argument("--input", required=True)
     ld.add_argument("--dest", required=True)
-    ld.add_argument("--multi-line", action="store_true")
     rp = sub.add_parser("report", help="write every report of the published tables")
     rp.add_argument("--dest", required=True)
     rp.add_argument("--out", required=True)
@@ -40,12 +40,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session()
     if args.cmd == "load":
-        report, run = load_run(spark, list_csv(spark, args.input), args.dest,
-                               multi_line=args.multi_line, raise_on_divergence=True)
+        report, run = load_run(spark, list_csv(spark, args.input), args.dest, raise_on_divergence=True)
         report.show(100, truncate=False)
         print(f"published {run}")
         return 0
-    raw = {t: published_table(spark, args.dest, t) for t in RAW_TABLES}
+    held = open_snapshot(spark, args.dest)  # all tables of one version
+    raw = {t: held.table(t) for t in RAW_TABLES}
     kwargs = {"as_of": args.as_of}
     if args.forecast_product:
         kwargs["forecast_product"] = args.forecast_product

@@ -76,24 +76,56 @@ def numeric_distribution(df: DataFrame, col: str, method: str = "exact",
 SQL_TYPES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 
 
-def column_profile(df: DataFrame, distinct: Sequence[str] = ()) -> DataFrame:
-    """Ordinal, name, SQL type, row count, null count and observed
-    nullability of every column, in one aggregate that moves one row a
-    partition. Exact distinct counts move values, so they are taken only for
-    the columns named in ``distinct`` (NULL for the others)."""
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """Exact distinct values of every column: ``ordinal, distinct_count``
+    (nulls apart).
+
+    Each column is a branch of its own, so a columnar source is read once in all,
+    and one shuffle carries (column, 64-bit hash) combined in each task, however
+    long the values are. A second hash tells apart values that share the first
+    one; where any do, they are counted by value.
+    """
+    hashed = None
+    for i, f in enumerate(df.schema.fields):
+        v = F.col("`" + f.name.replace("`", "``") + "`")
+        own = df.filter(v.isNotNull()).select(F.lit(i + 1).alias("ordinal"), F.xxhash64(v).alias("h"),
+                                              F.xxhash64(F.lit(i), v, F.lit(1)).alias("g"))
+        hashed = own if hashed is None else hashed.unionAll(own)
+    cells = hashed.groupBy("ordinal", "h").agg(F.min("g").alias("g0"), F.max("g").alias("g1"))
+    once = cells.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("g0") != F.col("g1")).alias("shared"))
+    rows = once.collect()
+    shared = [r["ordinal"] for r in rows if r["shared"]]
+    counts = {r["ordinal"]: r["n"] for r in rows}
+    if shared:
+        columns = [df.schema.fields[i - 1].name for i in shared]
+        by_value = df.agg(*[F.count_distinct(F.col("`" + c.replace("`", "``") + "`")) for c in columns]).first()
+        counts |= dict(zip(shared, by_value))
+    return df.sparkSession.createDataFrame([(i + 1, counts.get(i + 1, 0)) for i in range(len(df.columns))],
+                                           "ordinal int, distinct_count long")
+
+
+def column_profile(df: DataFrame, distinct: str | None = "exact", error: float = 0.02) -> DataFrame:
+    """Ordinal, name, SQL type, row count, null count, observed nullability
+    and distinct values of every column. ``distinct``: ``exact``
+    (``distinct_counts``), ``approx`` (a mergeable sketch a column in the same
+    aggregate as the other counts, relative standard error ``error``) or None."""
+    if distinct not in ("exact", "approx", None):
+        raise ValueError(f"unknown way {distinct!r} to count distinct values")
     fields = df.schema.fields
     col = lambda f: F.col("`" + f.name.replace("`", "``") + "`")
-    one = df.agg(F.count(F.lit(1)).alias("rows"),
-                 *[F.count(col(f)).alias(f"n{i}") for i, f in enumerate(fields)],
-                 *[F.count_distinct(col(f)).alias(f"d{i}") for i, f in enumerate(fields) if f.name in distinct])
+    sketches = [F.approx_count_distinct(col(f), error).alias(f"d{i}") for i, f in enumerate(fields)] if distinct == "approx" else []
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(col(f)).alias(f"n{i}") for i, f in enumerate(fields)], *sketches)
     rows = F.array(*[F.struct(
         F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column"),
         F.lit(SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())).alias("data_type"),
         F.col("rows").alias("row_count"), (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
         (F.col("rows") > F.col(f"n{i}")).alias("nullable"),
-        (F.col(f"d{i}") if f.name in distinct else F.lit(None).cast("long")).alias("distinct_count"))
+        (F.col(f"d{i}") if sketches else F.lit(None).cast("long")).alias("distinct_count"))
         for i, f in enumerate(fields)])
-    return one.select(F.explode(rows).alias("c")).select("c.*")
+    out = one.select(F.explode(rows).alias("c")).select("c.*")
+    if distinct != "exact":
+        return out
+    return out.drop("distinct_count").join(distinct_counts(df), "ordinal").select(*out.columns)
 
 
 def null_pattern(df: DataFrame, group_col: str, col: str) -> DataFrame:

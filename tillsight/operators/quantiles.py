@@ -1,104 +1,123 @@
-"""Exact continuous quantiles (``percentile_cont``) without a single-task merge.
-
-Spark's built-in exact ``percentile`` keeps every distinct value in one
-aggregation buffer and merges them in one final task; at a billion distinct
-prices that task does not survive. Here the work stays distributed, by the
-same steps at every size:
-
-1. values collapse to ``(value, count)`` with a map-side combined aggregate,
-   so a value repeated on a third of the rows is one row;
-2. the distinct values are dealt into value ranges of about ``bucket_values``
-   each (``repartitionByRange``); a range is a bucket;
-3. per-bucket totals (one row for ``bucket_values`` distinct values) get
-   running offsets in one small window, and each row of them tests the handful
-   of wanted ranks;
-4. only the values of the buckets that hold one are ranked, by a window
-   partitioned by bucket, and the values at ranks ``floor(p(n-1))`` and
-   ``ceil(p(n-1))`` are interpolated as PostgreSQL does:
-   ``lo + (pos - floor(pos)) * (hi - lo)``.
+"""Exact continuous quantiles (``percentile_cont``) by selection, without a sort.
+
+Spark's built-in exact ``percentile`` keeps every distinct value in one aggregation
+buffer and merges them in one final task; at a billion distinct prices that task
+does not survive. Here no step moves values by their number:
+
+1. every wanted rank has an open interval of values that holds it, at first all;
+2. a mergeable sketch of the interval's values (``percentile_approx``, a bounded
+   buffer a task) proposes two values around the rank;
+3. one exact pass counts the values below, at and between them, which says where
+   the rank lies whatever the sketch's error: at one of the two values, and it is
+   found, or in a part of the interval, about ``4 / accuracy`` of it;
+4. that repeats until at most ``small`` values are left, which are fetched.
+
+All ranks go through the same passes, each an aggregate that shuffles one row a
+task; a value repeated on a third of the rows is found as an end of its interval.
+The column is read two or three times more for each factor of ``accuracy / 4`` in
+its rows, so ``df`` should be a table or a cheap projection of one.
 
 NaN is greater than every number and equal to itself, as PostgreSQL orders it,
-so it takes part like any value; an interpolation that touches it is NaN. The
-histogram is checkpointed in the shared folder because three branches read it.
+so it takes part like any value; an interpolation that touches it is NaN.
+Interpolation is PostgreSQL's ``lo + (pos - floor(pos)) * (hi - lo)``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.session import materialize
-
-
-def _rank_array(n, probs: Sequence[float]):
-    """Array of structs ``(k, pos, r, side)``: the two ranks around
-    ``p * (n - 1)`` for every probability; ``n`` is a Column (a scalar)."""
-    items = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (n - 1)
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            items.append(F.struct(F.lit(i).alias("k"), pos.alias("pos"),
-                                  rank.cast("long").alias("r"), F.lit(side).alias("side")))
-    return F.array(*items)
-
-
-def _hits(frame: DataFrame, ranks, lo: str, hi: str) -> DataFrame:
-    """Rows of ``frame`` whose ``[lo, hi)`` range holds some wanted rank,
-    one row per rank hit. Each row tests the handful of ranks itself: no
-    join."""
-    # The ranks (they hold a scalar subquery) are a column first: Spark does
-    # not allow subqueries inside the lambda of a higher-order function.
-    hits = F.filter(F.col("_ranks"), lambda t: (t["pos"] >= 0) & (t["r"] >= F.col(lo))
-                    & (t["r"] < F.col(hi)))
-    return (frame.withColumn("_ranks", ranks).withColumn("_hits", hits)
-            .drop("_ranks").where(F.size("_hits") > 0)
-            .withColumn("_t", F.explode("_hits"))
-            .select("*", F.col("_t.k").alias("k"), F.col("_t.pos").alias("pos"),
-                    F.col("_t.r").alias("r"), F.col("_t.side").alias("side"))
-            .drop("_hits", "_t"))
-
-
-def _interpolate(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
-    per_k = picked.groupBy("k").agg(
-        F.first("pos").alias("pos"),
-        F.max(F.when(F.col("side") == "lo", F.col("x"))).alias("lo"),
-        F.max(F.when(F.col("side") == "hi", F.col("x"))).alias("hi"))
-    val = F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))
-    one = per_k.select(F.col("k"), val.alias("v"))
-    return one.agg(*[F.max(F.when(F.col("k") == i, F.col("v"))).alias(f"q{i}")
-                     for i in range(len(probs))])
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    bucket_values: int = 200_000) -> DataFrame:
-    """One row with one DOUBLE column ``q0, q1, ...`` per probability.
-
-    The interpolation is PostgreSQL's ``lo + (pos - floor(pos)) * (hi - lo)``;
-    Spark's built-in ``percentile`` interpolates in another order and can
-    differ in the last bit.
-    """
+ACCURACY = 2_000
+SMALL = 10_000
+
+
+@dataclass
+class _Open:
+    """An open interval that holds a rank: ``below`` values before it,
+    ``inside`` values in it. None is no bound."""
+
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+
+    def holds(self) -> Column:
+        x, out = F.col("x"), F.lit(True)
+        if self.low is not None:
+            out &= x > F.lit(self.low)
+        if self.high is not None:
+            out &= x < F.lit(self.high)
+        return out
+
+
+def select_ranks(x: DataFrame, ranks: Sequence[int], n: int, accuracy: int = ACCURACY, small: int = SMALL) -> dict[int, float]:
+    """The values at ``ranks`` (from 0) of the ``n`` numbers of column ``x``
+    (no nulls, no NaN)."""
+    todo = {r: _Open(None, None, 0, n) for r in ranks}
+    found: dict[int, float] = {}
+    while any(o.inside > small for o in todo.values()):
+        wide = {r: o for r, o in todo.items() if o.inside > small}
+        sketches = []
+        for r, o in wide.items():
+            at = r - o.below
+            around = [max(0.0, at / o.inside - 2 / accuracy), min(1.0, (at + 1) / o.inside + 2 / accuracy)]
+            sketches.append(F.percentile_approx(F.when(o.holds(), F.col("x")), around, accuracy).alias(f"s{r}"))
+        ends = {r: s for r, s in zip(wide, x.agg(*sketches).first())}
+        counts = []
+        for r, (low, high) in ends.items():
+            v = F.col("x")
+            counts += [F.count_if(v < F.lit(low)).alias(f"b{r}"), F.count_if(v == F.lit(low)).alias(f"l{r}"),
+                       F.count_if((v > F.lit(low)) & (v < F.lit(high))).alias(f"i{r}"), F.count_if(v == F.lit(high)).alias(f"h{r}")]
+        seen = x.agg(*counts).first()
+        for r, (low, high) in ends.items():
+            o, below, at_low, between = todo[r], seen[f"b{r}"], seen[f"l{r}"], seen[f"i{r}"]
+            at_high = seen[f"h{r}"] if high > low else 0
+            edges = [below, below + at_low, below + at_low + between, below + at_low + between + at_high]
+            if r < edges[0]:
+                todo[r] = _Open(o.low, low, o.below, edges[0] - o.below)
+            elif r < edges[1]:
+                found[r] = low
+            elif r < edges[2]:
+                todo[r] = _Open(low, high, edges[1], between)
+            elif r < edges[3]:
+                found[r] = high
+            else:
+                todo[r] = _Open(high, o.high, edges[3], o.below + o.inside - edges[3])
+            if r in found:
+                del todo[r]
+    if todo:
+        # At most ``small`` values for each rank.
+        keep = F.lit(False)
+        for o in todo.values():
+            keep |= o.holds()
+        values = x.filter(keep).groupBy("x").agg(F.count(F.lit(1)).alias("c")).orderBy("x").collect()
+        for r, o in todo.items():
+            left = r - o.below
+            for v in values:
+                if (o.low is None or v["x"] > o.low) and (o.high is None or v["x"] < o.high):
+                    if left < v["c"]:
+                        found[r] = v["x"]
+                        break
+                    left -= v["c"]
+    return found
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+    """One row with one DOUBLE column ``q0, q1, ...`` per probability; NULL
+    where there are no values."""
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    # The source is scanned once: the histogram feeds the ranges, the bucket
-    # totals and the ranking.
-    hist = materialize(x.groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    buckets = max(1, math.ceil(hist.count() / bucket_values))
-    hb = materialize(hist.repartitionByRange(buckets, "x").withColumn("b", F.spark_partition_id()))
-    # Partition ids follow the ranges, so their order is that of the values.
-    per_b = hb.groupBy("b").agg(F.sum("c").alias("bc"))
-    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = per_b.withColumn("b_end", F.sum("bc").over(w)).withColumn(
-        "b_start", F.col("b_end") - F.col("bc"))
-    n = offsets.select(F.max("b_end")).scalar()
-    ranks = _rank_array(n, probs)
-    # The buckets holding a wanted rank (at most 2 * len(probs) of them).
-    wanted = _hits(offsets, ranks, "b_start", "b_end").select("b", "b_start").distinct()
-    cand = hb.join(F.broadcast(wanted), "b")
-    wb = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)
-    cand = cand.withColumn("cum", F.col("b_start") + F.sum("c").over(wb)).withColumn(
-        "start", F.col("cum") - F.col("c"))
-    return _interpolate(_hits(cand.select("b", "x", "c", "cum", "start"), ranks,
-                              "start", "cum"), probs)
+    size = x.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.isnan("x")).alias("nan")).first()
+    n, numbers = size["n"], size["n"] - size["nan"]
+    positions = [p * (n - 1) for p in probs] if n else []
+    ranks = {r for pos in positions for r in (math.floor(pos), math.ceil(pos))}
+    values = select_ranks(x.where(~F.isnan("x")), sorted(r for r in ranks if r < numbers), numbers, accuracy, small)
+    out = []
+    for pos in positions:
+        low, high = (values.get(r, math.nan) for r in (math.floor(pos), math.ceil(pos)))
+        out.append(float(low + (pos - math.floor(pos)) * (high - low)))
+    row = tuple(out) if n else (None,) * len(probs)
+    return df.sparkSession.createDataFrame([row], ", ".join(f"q{i} double" for i in range(len(probs))))

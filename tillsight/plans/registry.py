@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.operators import dims, facts, forecast, profile, recommend, segment, stated
+from tillsight.operators import dims, facts, forecast, neighbours, profile, recommend, segment, stated
 from tillsight.operators.calendar import calendar_dim
 from tillsight.operators.weekday import weekday_mean
 from tillsight.plans import bindings as B
@@ -163,6 +163,35 @@ def q_changed_flag(spark, d):
             .agg(F.count(F.lit(1)).cast("long").alias("items")))
 
 
+def q_star_schema_views(spark, d):
+    """Items by quarter and location type, read by SQL from the views of the
+    catalog alone; the role tables are stored as a database's raw tables first."""
+    import uuid
+
+    from tillsight.plans import lasting_views
+    from tillsight.session import new_run_dir
+    where, mark = new_run_dir(spark, "star"), uuid.uuid4().hex[:8]
+    raw, star = f"raw_{mark}", f"star_{mark}"
+    spark.sql(f"CREATE DATABASE {raw} LOCATION '{where}/raw'")
+    spark.sql(f"CREATE DATABASE {star} LOCATION '{where}/star'")
+    for name in lasting_views.RAW:
+        getattr(B, name)(spark, d).write.option("path", f"{where}/raw/{name}").saveAsTable(f"{raw}.{name}")
+    lasting_views.create_views(spark, raw, star, lasting_views.Vocabulary(
+        person_types=B.SEGMENT_LABELS, location_types=B.NATION_TYPE_LABELS, channels=B.PRIORITY_LABELS, statuses=B.STATUS_LABELS,
+        realised=B.REALISED_STATUSES, actions=B.ACTION_LABELS, empty_reasons=B.PRIORITY_EMPTY_VALUES,
+        reason_rules=B.PRIORITY_RULES, reason_default=B.PRIORITY_DEFAULT))
+    return spark.sql(f"""
+        SELECT cal.year, cal.quarter, l.type_label, COUNT(*) AS items, CAST(SUM(i.quantity) AS BIGINT) AS units,
+               CAST(SUM(i.line_total) AS DECIMAL(38,2)) AS revenue, COUNT(DISTINCT p.brand) AS brands,
+               COUNT(DISTINCT c.customer) AS customers, COUNT(DISTINCT e.employee) AS employees
+        FROM {star}.fct_order_items i JOIN {star}.dim_calendar cal ON cal.date = i.date
+        JOIN {star}.dim_location l ON l.location_id = i.location_id
+        JOIN {star}.dim_product p ON p.variant_id = i.variant_id
+        JOIN {star}.dim_customer c ON c.customer_id = i.customer_id
+        JOIN {star}.dim_employee e ON e.employee_id = i.employee_id
+        WHERE i.is_realised GROUP BY cal.year, cal.quarter, l.type_label""")
+
+
 # --- profiling --------------------------------------------------------------
 def q_table_overview(spark, d):
     from tillsight.sources.tables import read_table
@@ -175,8 +204,7 @@ def q_numeric_distribution(spark, d):
 
 
 def q_column_profile(spark, d):
-    out = profile.column_profile(B.orders(spark, d))
-    return out.drop("distinct_count")
+    return profile.column_profile(B.orders(spark, d))
 
 
 def q_null_pattern(spark, d):
@@ -272,6 +300,10 @@ def q_similar_items_topn(spark, d):
                                    B.products(spark, d))
 
 
+def q_similar_items_all(spark, d):
+    return neighbours.similar_items_all(_pairs(spark, d), SIMILAR_N)
+
+
 def q_name_resolution(spark, d):
     return recommend.name_resolution(B.products(spark, d))
 
@@ -339,9 +371,11 @@ def q_key_candidates(spark, d):
 def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
     """Write the role tables as CSV datasets under a fresh folder of the
     shared directory; returns table -> path. With ``damaged``: each 97th return
-    has a reason with an unquoted comma, each 101st variant a line break in its
-    SKU, and one file more of the customers holds a blank line."""
+    (they are in the order of their ids) has a reason with an unquoted comma, each
+    101st variant a line break in its SKU, and the last file of the customers
+    holds a blank line."""
     from tillsight.session import new_run_dir
+    from tillsight.sources.snapshots import create_if_absent
     from tillsight.sources.csv_files import write_csv
     root = new_run_dir(spark, "csv-export")
     paths = {}
@@ -351,14 +385,13 @@ def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
         if damaged and name == "returns":
             quote = False
             df = df.withColumn("reason", F.when(F.col("id") % 97 == 0, F.concat(
-                F.coalesce("reason", F.lit("")), F.lit(",x"))).otherwise(F.col("reason")))
+                F.coalesce("reason", F.lit("")), F.lit(",x"))).otherwise(F.col("reason"))).orderBy("id")
         if damaged and name == "product_variants":
             df = df.withColumn("sku", F.when(F.col("id") % 101 == 0, F.concat("sku", F.lit("\n2nd")))
                                .otherwise(F.col("sku")))
         write_csv(df, path, quote)
         if damaged and name == "customers":
-            spark.createDataFrame([(",".join(df.columns) + "\n",)], "value string").coalesce(1) \
-                .write.mode("append").text(path)
+            create_if_absent(spark, f"{path}/z-last.csv", ",".join(df.columns) + "\n\n")
         paths[name] = path
     return paths
 
@@ -366,17 +399,73 @@ def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
 def q_csv_validation(spark, d):
     from tillsight.sources.csv_files import validate_csv
     return validate_csv(spark, list(_export_csv(spark, d, damaged=True).values())) \
-        .drop("path", "content_hash", "example")
+        .drop("path", "content", "example", "first_bad_file", "first_bad_in_file")
 
 
 def q_load_reconcile(spark, d):
-    from tillsight.session import new_run_dir
-    from tillsight.sources.load import load_run
+    from tillsight.session import new_run_dir, stage
+    from tillsight.sources.load import load_run, reconcile_run
     paths = _export_csv(spark, d, damaged=True)
     # The orders aren't declared, and a declared table has no file.
     expected = [t for t in paths if t != "orders"] + ["warehouses"]
-    report, _ = load_run(spark, list(paths.values()), new_run_dir(spark, "raw-load"), expected=expected)
-    return report
+    _, run = load_run(spark, list(paths.values()), new_run_dir(spark, "raw-load"), expected=expected)
+    # One value of the stored items changes after the load; no row comes or goes.
+    items = spark.read.parquet(f"{run}/order_items")
+    first = items.agg(F.min(F.struct("order_id", "line_number")).alias("k")).first()["k"]
+    hit = (F.col("order_id") == first[0]) & (F.col("line_number") == first[1])
+    changed = stage(items.withColumn("quantity", F.when(hit, F.col("quantity") + 1).otherwise(F.col("quantity"))), "changed-items")
+    changed.write.mode("overwrite").parquet(f"{run}/order_items")
+    return reconcile_run(spark, run, expected)
+
+
+# Files of the reload: customers by the remainder of their id.
+RELOAD_FILES = 4
+
+
+def q_reload_changed_files(spark, d):
+    """U05 for a folder whose files change: customers in four files are loaded,
+    one file is replaced (every fifth of its customers left out, the names of the
+    others in capitals), one is new, and the folder is loaded again."""
+    from tillsight.session import new_run_dir
+    from tillsight.sources.csv_files import read_text_table
+    from tillsight.sources.infer import infer_schema, struct_from_catalog
+    from tillsight.sources.reload import current_rows, reload_changed
+    landing, dest = new_run_dir(spark, "landing"), new_run_dir(spark, "reload")
+    customers = _as_text(B.customers(spark, d))
+    part = F.col("id").cast("long") % RELOAD_FILES
+
+    def put(name: str, rows: DataFrame) -> None:
+        _put_file(spark, rows, landing, name)
+
+    for k in range(RELOAD_FILES - 1):
+        put(f"part{k}.csv", customers.filter(part == k))
+    schema = struct_from_catalog(infer_schema({"customers": read_text_table(spark, landing)}), "customers")
+    reload_changed(spark, landing, "customers", schema, dest)
+    put("part1.csv", customers.filter((part == 1) & (F.col("id").cast("long") % 5 != 0))
+        .withColumn("legal_name", F.upper("legal_name")))
+    put(f"part{RELOAD_FILES - 1}.csv", customers.filter(part == RELOAD_FILES - 1))
+    report = reload_changed(spark, landing, "customers", schema, dest)
+    now = current_rows(spark, "customers", schema, dest).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").cast("long").alias("id_sum"),
+        F.count_if(F.col("legal_name") == F.upper("legal_name")).alias("capitals"))
+    return report.agg(F.count_if(F.col("action") == "new").alias("files_new"),
+                      F.count_if(F.col("action") == "replaced").alias("files_replaced"),
+                      F.count_if(F.col("action") == "unchanged").alias("files_unchanged"),
+                      F.sum("records").alias("records")).join(now)
+
+
+def _put_file(spark, rows: DataFrame, folder: str, name: str) -> None:
+    """Write ``rows`` as CSV beside ``folder`` and put it there as one file
+    (a sub-folder of parts) called ``name``, in place of what was there."""
+    from tillsight.session import new_run_dir
+    from tillsight.sources.csv_files import write_csv
+    made = f"{new_run_dir(spark, 'one-file')}/data"
+    write_csv(rows.coalesce(1), made)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(made)
+    files = source.getFileSystem(conf)
+    file = next(s.getPath() for s in files.listStatus(source) if s.getPath().getName().endswith(".csv"))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(files, file, files, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), False, True, conf)
 
 
 def q_incremental_load(spark, d):
@@ -385,12 +474,12 @@ def q_incremental_load(spark, d):
     per-batch reconciliation."""
     from tillsight.session import new_run_dir
     from tillsight.sources.csv_files import read_text_table
-    from tillsight.sources.infer import collect_catalog, infer_schema, struct_from_catalog
+    from tillsight.sources.infer import infer_schema, struct_from_catalog
     from tillsight.streaming.landing import batch_report, stream_raw_load
     paths = _export_csv(spark, d)
     dest = new_run_dir(spark, "stream-load")
     texts = {name: read_text_table(spark, path) for name, path in paths.items()}
-    catalog = collect_catalog(infer_schema(texts))
+    catalog = infer_schema(texts)
     # The five streams are independent: start them all, then wait.
     running = [stream_raw_load(spark, path, name, struct_from_catalog(catalog, name), dest)
                for name, path in paths.items()]

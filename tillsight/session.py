@@ -124,3 +124,12 @@ def materialize(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df, purpose: str):
+    """Write ``df`` as Parquet in a fresh sub-folder of the shared folder and read
+    it back: computed once, columns pruned by its readers, and a lost executor
+    reads the files again."""
+    path = f"{new_run_dir(df.sparkSession, purpose)}/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

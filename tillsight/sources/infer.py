@@ -16,15 +16,19 @@ Every non-empty value of every column is tested (no sampling). The rules:
 * a column named ``id`` (any case) is a key candidate when it has no empty
   value, at least one value, and no duplicate (exact distinct count).
 
-The scan is one job per table: columns are unpivoted to (column, value) and
-aggregated with partial aggregation per partition, so the shuffle carries a
-few rows per column and partition; only the id-column distinct count moves
-values. Digits are ASCII only (Python's ``\\d`` would also take other Unicode
-digits).
+The scan is one job for all tables. Every value gets the bit of its class, and a
+column's state is the union of those bits, the widest parts of its numbers and two
+counts: an aggregate of a few plain buffers that shuffles one row a task. Each column
+is a branch of its own with the same expressions (built, compiled and generated
+once), so a columnar source is read once in all. Only the exact distinct count of
+columns called ``id`` moves values, in a branch of its own. The rules are then applied
+to the states on the driver (a handful of numbers a column).
+Digits are ASCII only (Python's ``\\d`` would also take other Unicode digits).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -111,13 +115,6 @@ def is_timestamp(v: Column) -> Column:
             & v.rlike(TIMESTAMP_RE) & _valid_date(date_part))
 
 
-def _stack(df: DataFrame) -> DataFrame:
-    """One row per value: the column's ordinal and the value."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("ordinal"), F.col(f"`{c}`").cast("string").alias("v"))
-        for i, c in enumerate(df.columns)])).alias("s")).select("s.*")
-
-
 def value_class(v: Column) -> Column:
     """What a filled value looks like: integer ``i``, decimal ``d``, date ``t``,
     time stamp ``s``, boolean ``b``, else ``x``. The shapes exclude each other,
@@ -126,106 +123,107 @@ def value_class(v: Column) -> Column:
             .when(is_timestamp(v), "s").when(is_boolean(v), "b").otherwise("x"))
 
 
-def infer_table(df: DataFrame, table: str,
-                identifier_pattern: str = IDENTIFIER_PATTERN) -> DataFrame:
-    """Catalog rows ``(table, ordinal, column, sql_type, spark_type, nullable,
-    is_key, n_rows, reason)`` for one all-text table (null and '' both mean
-    empty). ``reason`` says why values that fit a narrower type are TEXT."""
-    ids = [i + 1 for i, name in enumerate(df.columns) if name.lower() == "id"]
-    v = F.col("v")
-    filled = v.isNotNull() & (v != "")
-    # Every value gets one class in this projection; the aggregate below only
-    # counts classes and takes maxima.
-    flags = _stack(df).select(
-        "ordinal", F.when(filled, value_class(v)).alias("k"), _unsigned(v).alias("body"),
-        F.when(F.col("ordinal").isin(ids), F.when(filled, v)).alias("id_v"))
-    c = F.col
-    num = c("k").isin("i", "d")
-    int_part = F.substring_index(c("body"), ".", 1)
-    frac = F.when(c("k") == "d", F.substring_index(c("body"), ".", -1)).otherwise(F.lit(""))
-
-    def misses(*classes: str) -> Column:
-        return F.count_if(~c("k").isin(*classes))
-
-    agg = flags.groupBy("ordinal").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(c("k").isNull()).alias("n_empty"),
-        F.count("k").alias("n_filled"),
-        misses("b").alias("x_bool"),
-        misses("i").alias("x_int"),
-        misses("i", "d").alias("x_num"),
-        misses("s").alias("x_ts"),
-        misses("t").alias("x_date"),
-        F.max(F.when(num, F.length(int_part))).alias("int_digits"),
-        F.max(F.when(num, F.length(frac))).alias("frac_digits"),
-        F.max(F.when(c("k") == "i", c("body").try_cast("decimal(38,0)"))).alias("magnitude"),
-        # Exact distinct count, only non-null for columns named id.
-        F.count_distinct("id_v").alias("id_distinct"),
-    )
-    # Left join onto the column list so a header-only table still lists
-    # every column (TEXT, not null, no key).
-    names = df.sparkSession.createDataFrame(
-        [(i + 1, col) for i, col in enumerate(df.columns)], "ordinal int, column string")
-    counts = ("n_rows", "n_empty", "n_filled", "x_bool", "x_int", "x_num", "x_ts", "x_date",
-              "id_distinct")
-    agg = names.join(agg.withColumn("ordinal", F.col("ordinal").cast("int")),
-                                  "ordinal", "left")
-    for k in counts:
-        agg = agg.withColumn(k, F.coalesce(F.col(k), F.lit(0)))
-    precision = c("int_digits") + c("frac_digits")
-    # No type of SQL or Spark holds more than 38 digits.
-    too_wide = (c("n_filled") > 0) & (c("x_num") == 0) & (precision > 38)
-    numeric_name = F.concat(F.lit("NUMERIC("), precision.cast("string"), F.lit(", "),
-                            c("frac_digits").cast("string"), F.lit(")"))
-    wide = (c("int_digits") > 19) | (c("magnitude") > F.lit(BIGINT_LIMIT))
-    int_name = (F.when(wide, F.concat(F.lit("DECIMAL("), c("int_digits").cast("string"),
-                                      F.lit(", 0)")))
-                .when(c("magnitude") > F.lit(INTEGER_LIMIT), F.lit("BIGINT"))
-                .otherwise(F.lit("INTEGER")))
-    sql_type = (F.when(F.lower(c("column")).rlike(identifier_pattern), F.lit("TEXT"))
-                .when(c("n_filled") == 0, F.lit("TEXT"))
-                .when(c("x_bool") == 0, F.lit("BOOLEAN"))
-                .when(too_wide, F.lit("TEXT"))
-                .when(c("x_int") == 0, int_name)
-                .when(c("x_num") == 0, numeric_name)
-                .when(c("x_ts") == 0, F.lit("TIMESTAMP"))
-                .when(c("x_date") == 0, F.lit("DATE"))
-                .otherwise(F.lit("TEXT")))
-    typed = agg.withColumn("sql_type", sql_type)
-    t = c("sql_type")
-    spark_type = (F.when(t == "BOOLEAN", F.lit("boolean"))
-                  .when(t == "INTEGER", F.lit("int"))
-                  .when(t == "BIGINT", F.lit("bigint"))
-                  .when(t == "TIMESTAMP", F.lit("timestamp_ntz"))
-                  .when(t == "DATE", F.lit("date"))
-                  .when(t == "TEXT", F.lit("string"))
-                  .when(t.startswith("NUMERIC"),
-                        F.concat(F.lit("decimal("), precision.cast("string"), F.lit(","),
-                                 c("frac_digits").cast("string"), F.lit(")")))
-                  .when(t.startswith("DECIMAL"),
-                        F.concat(F.lit("decimal("), c("int_digits").cast("string"), F.lit(",0)"))))
-    is_key = ((F.lower(c("column")) == "id") & (c("n_empty") == 0) & (c("n_filled") > 0)
-              & (c("id_distinct") == c("n_filled")))
-    return typed.select(
-        F.lit(table.lower()).alias("table"), c("ordinal").cast("int").alias("ordinal"),
-        "column", "sql_type", spark_type.alias("spark_type"),
-        (c("n_empty") > 0).alias("nullable"), is_key.alias("is_key"),
-        c("n_rows").cast("long").alias("n_rows"),
-        F.when((t == "TEXT") & too_wide & ~F.lower(c("column")).rlike(identifier_pattern),
-               F.lit("numbers of more than 38 digits")).alias("reason"))
+# A value's class as a bit; integers by the width they need.
+_BITS = {"i": 1, "i64": 2, "wide": 4, "d": 8, "t": 16, "s": 32, "b": 64, "x": 128}
+_INTEGER = _BITS["i"] | _BITS["i64"] | _BITS["wide"]
+
+
+def _above(digits: Column, limit: int) -> Column:
+    """Whether digits without leading zeros say more than ``limit``."""
+    n = len(str(limit))
+    return (F.length(digits) > n) | ((F.length(digits) == n) & (digits > F.lit(str(limit))))
+
+
+def _state() -> tuple[list[Column], list[Column]]:
+    """For a column ``v``: each value's class and digits, and the aggregates
+    over them: rows, filled values, classes met, widest integer part and fraction."""
+    v, body, k = F.col("v"), F.col("body"), F.col("k")
+    bit = (F.when(k == "i", F.when(_above(body, BIGINT_LIMIT), _BITS["wide"]).when(_above(body, INTEGER_LIMIT), _BITS["i64"])
+                  .otherwise(_BITS["i"]))
+           .when(k == "d", _BITS["d"]).when(k == "t", _BITS["t"]).when(k == "s", _BITS["s"]).when(k == "b", _BITS["b"])
+           .when(k.isNotNull(), _BITS["x"]))
+    return ([F.when(v != "", value_class(v)).alias("k"), _unsigned(v).alias("body")],
+            [F.count(F.lit(1)).alias("n_rows"), F.count("k").alias("filled"), F.bit_or(bit).alias("bits"),
+             F.max(F.when(k.isin("i", "d"), F.length(F.substring_index(body, ".", 1)))).alias("int"),
+             F.max(F.when(k == "d", F.length(F.substring_index(body, ".", -1)))).alias("frac")])
+
+
+def _states(df: DataFrame, table: str, state: tuple[list[Column], list[Column]]) -> DataFrame:
+    """One row a column: ``table, ordinal, n_rows, filled, bits, int, frac``; and
+    a row with ``ids`` for each column called id."""
+    none = F.lit(None)
+    out = None
+    for i, c in enumerate(df.columns):
+        v = F.col(f"`{c}`").cast("string").alias("v")
+        here = [F.lit(table).alias("table"), F.lit(i + 1).alias("ordinal")]
+        part = df.select(v).select(*state[0]).agg(*state[1]).select(*here, "n_rows", "filled", "bits", "int", "frac",
+                                                                   none.cast("long").alias("ids"))
+        out = part if out is None else out.unionAll(part)
+        if c.lower() == "id":
+            ids = df.select(v).filter("v != ''").groupBy("v").count().agg(F.count(F.lit(1)).alias("ids"))
+            out = out.unionAll(ids.select(*here, *(none.cast(t) for t in ("long", "long", "int", "int", "int")), "ids"))
+    return out
+
+
+def _types(bits: int, int_digits: int, frac_digits: int, named_identifier: bool) -> tuple[str, str, str | None]:
+    """SQL type, Spark type and reason from what a column's values are."""
+    whole = bits and not bits & ~_INTEGER
+    number = bits and not bits & ~(_INTEGER | _BITS["d"])
+    precision = int_digits + frac_digits
+    if named_identifier or not bits:
+        return "TEXT", "string", None
+    if bits == _BITS["b"]:
+        return "BOOLEAN", "boolean", None
+    if number and precision > 38:  # no type of SQL or Spark holds more
+        return "TEXT", "string", "numbers of more than 38 digits"
+    if whole and (int_digits > 19 or bits & _BITS["wide"]):
+        return f"DECIMAL({int_digits}, 0)", f"decimal({int_digits},0)", None
+    if whole:
+        return ("BIGINT", "bigint", None) if bits & _BITS["i64"] else ("INTEGER", "int", None)
+    if number:
+        return f"NUMERIC({precision}, {frac_digits})", f"decimal({precision},{frac_digits})", None
+    if bits == _BITS["s"]:
+        return "TIMESTAMP", "timestamp_ntz", None
+    if bits == _BITS["t"]:
+        return "DATE", "date", None
+    return "TEXT", "string", None
+
+
+CATALOG = ("table string, ordinal int, column string, sql_type string, spark_type string, nullable boolean, is_key boolean, "
+           "n_rows long, reason string")
 
 
 def infer_schema(tables: Mapping[str, DataFrame],
                  identifier_pattern: str = IDENTIFIER_PATTERN) -> DataFrame:
-    """The catalog of several tables (sorted by table name), one scan
-    each, combined into one plan."""
-    out = None
-    for name in sorted(tables, key=str.lower):
-        part = infer_table(tables[name], name, identifier_pattern)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    """The catalog of several all-text tables (null and '' both mean empty),
+    sorted by table name: ``table, ordinal, column, sql_type, spark_type, nullable,
+    is_key, n_rows, reason``. ``reason`` says why values that fit a narrower type
+    are TEXT. Computed here, in one job; a header-only table lists every column
+    (TEXT, not null, no key)."""
+    if not tables:
         raise ValueError("no tables to infer")
-    return out
+    names = sorted(tables, key=str.lower)
+    state, states = _state(), None
+    for i, name in enumerate(names):
+        part = _states(tables[name], str(i), state)
+        states = part if states is None else states.unionAll(part)
+    found = states.collect()
+    ids = {(r["table"], r["ordinal"]): r["ids"] for r in found if r["ids"] is not None}
+    by_column = {(r["table"], r["ordinal"]): r for r in found if r["ids"] is None}
+    rows = []
+    for i, name in enumerate(names):
+        for k, column in enumerate(tables[name].columns, start=1):
+            s = by_column[str(i), k]
+            identifier = re.search(identifier_pattern, column.lower()) is not None
+            types = _types(s["bits"] or 0, s["int"] or 0, s["frac"] or 0, identifier)
+            is_key = column.lower() == "id" and 0 < s["filled"] == s["n_rows"] == ids[str(i), k]
+            rows.append((name.lower(), k, column, *types[:2], s["n_rows"] > s["filled"], is_key, s["n_rows"], types[2]))
+    return tables[names[0]].sparkSession.createDataFrame(rows, CATALOG)
+
+
+def infer_table(df: DataFrame, table: str, identifier_pattern: str = IDENTIFIER_PATTERN) -> DataFrame:
+    """Catalog rows of one all-text table (``infer_schema``)."""
+    return infer_schema({table: df}, identifier_pattern)
 
 
 def key_candidates(catalog: DataFrame) -> DataFrame:
@@ -234,13 +232,6 @@ def key_candidates(catalog: DataFrame) -> DataFrame:
         "table", "column", "is_key", "nullable", "n_rows")
 
 
-def collect_catalog(catalog: DataFrame) -> DataFrame:
-    """Run the inference once and keep the catalog (one row per column) as
-    a small local frame, so per-table schema lookups do not re-scan the
-    data."""
-    return catalog.sparkSession.createDataFrame(catalog.collect(), catalog.schema)
-
-
 def struct_from_catalog(catalog: DataFrame, table: str) -> T.StructType:
     """The Spark schema of one table from its catalog rows (one row per
     column is brought to the driver). A header-only table has every column

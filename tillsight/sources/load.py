@@ -1,16 +1,16 @@
 """Repeatable raw load with reconciliation and stage-then-publish.
 
-Flow per run: every file is validated first (``validate_csv``: its records are
-counted in the plain text, apart from the CSV parser). A file with ragged
-records or blank lines is ``invalid`` and not loaded. The others are read as
-text with the header matched by name, typed with the inferred catalog (casts
-fail loudly under ANSI mode, as COPY would), and written as Parquet to a fresh
-staging folder of the run. The text's record count and the staged rows are
-reconciled against the expected tables (a full outer join of three small
-frames). Only when every table is ``ok`` is the run published: a manifest that
-maps each table to its staged folder, and then one more pointer file among
-those of earlier runs. Pointers are only ever added; readers take the newest,
-so a failed or partial run is never visible and a reader never finds none.
+Flow per run: the records of every file are found and parsed once (``stage_csv``)
+and kept as a text table, which validation, inference and load share. A file with
+ragged records, blank lines or an open quote is ``invalid`` and not loaded. The
+others are typed with the inferred catalog (casts fail loudly under ANSI mode, as
+COPY would) and written as Parquet to a fresh folder of the run, beside a note of
+what the source holds: its record count and a fingerprint of its typed records.
+``reconcile_run`` reads the stored tables back and compares both, so a lost row, a
+row too many and a changed value are all ``divergent``. Only when every table is
+``ok`` is the run published, all tables at once, as the next version
+(``tillsight.sources.snapshots``); a failed or partial run is never visible, and a
+reader that holds a snapshot never mixes two runs.
 
 Re-running loads into a new run folder, so repeating a load never duplicates
 rows (the reference truncates and reloads).
@@ -18,16 +18,16 @@ rows (the reference truncates and reloads).
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.sources.csv_files import read_text_table, table_name, validate_csv
-from tillsight.sources.infer import collect_catalog, infer_schema, struct_from_catalog
+from tillsight.sources.csv_files import fingerprint, stage_csv, table_name, validation_of
+from tillsight.sources.infer import infer_schema, struct_from_catalog
+from tillsight.sources.snapshots import commit, open_snapshot
 
 
 def typed_frame(text: DataFrame, schema: T.StructType) -> DataFrame:
@@ -49,15 +49,19 @@ def reconcile(expected: Sequence[str], source_counts: DataFrame,
     """U06 + U07: one row per table with source and loaded counts and a
     status: ``ok``, ``divergent``, ``missing`` (a file without an expected
     table), ``not_loaded`` (an expected table without a file) or ``invalid``
-    (a file that failed validation)."""
+    (a file that failed validation). Counts must be equal, and fingerprints
+    too where both sides have them (``source_content``, ``loaded_content``)."""
     spark = source_counts.sparkSession
+    same = F.col("source_rows") == F.col("loaded_rows")
+    if "source_content" in source_counts.columns and "loaded_content" in loaded_counts.columns:
+        same &= F.coalesce(F.col("source_content") == F.col("loaded_content"), F.lit(False))
     exp = spark.createDataFrame([(t.lower(),) for t in expected], "table string").withColumn(
         "_expected", F.lit(True))
     j = (source_counts.join(loaded_counts, "table", "full").join(exp, "table", "full"))
     status = (F.when(F.col("_expected").isNull(), "missing")
               .when(F.col("source_rows").isNull(), "not_loaded")
               .when(F.col("loaded_rows").isNull(), "invalid")
-              .when(F.col("source_rows") == F.col("loaded_rows"), "ok")
+              .when(same, "ok")
               .otherwise("divergent"))
     return j.select("table", "source_rows", "loaded_rows", status.alias("status"))
 
@@ -78,7 +82,7 @@ def missing_tables(files: Sequence[str], declared: Sequence[str]) -> list[str]:
 
 def load_run(spark: SparkSession, files: Sequence[str], dest: str,
              expected: Sequence[str] | None = None, catalog: DataFrame | None = None,
-             multi_line: bool = False, publish: bool = True,
+             publish: bool = True,
              require_declared: bool = False,
              raise_on_divergence: bool = False,
              bucket_by: Mapping[str, tuple[str, int]] | None = None,
@@ -87,8 +91,6 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     reconciliation report (materialised) and the run folder.
 
     ``expected`` lists the tables that must exist (default: one per file);
-    files with line breaks inside quotes are read whole (``multi_line`` forces
-    that for all);
     ``catalog`` is a U03 catalog (default: inferred from the files in the
     same run). With ``require_declared`` every file must have a declared
     table (in ``expected``), checked before anything is read or written, as
@@ -109,24 +111,23 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
         if missing:
             raise MissingTablesError(f"no declared table for: {', '.join(missing)}")
     run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
-    checked = {r["table"]: r for r in validate_csv(spark, list(files), multi_line).collect()}
+    staged = {t.table: t for t in (stage_csv(spark, p) for p in sorted(files))}
+    checked = {t: validation_of(s) for t, s in staged.items()}
     valid = {t for t, r in checked.items() if r["status"] in ("ok", "divergent")}
-    texts = {t: read_text_table(spark, r["path"], multi_line=multi_line or r["line_breaks"] > 0)
-             for t, r in checked.items() if t in valid}
-    # The catalog is read several times below; compute it once.
+    texts = {t: staged[t].text() for t in valid}
     if catalog is None and texts:
         catalog = infer_schema(texts)
-    catalog = collect_catalog(catalog) if catalog is not None else None
     expected = list(expected) if expected is not None else list(checked)
     known = set() if catalog is None else {
         r["table"] for r in catalog.select("table").distinct().collect()}
-    src_rows = [(t, r["source_records"]) for t, r in checked.items()]
-    loaded_rows = []
-    bucketed: dict[str, str] = {}
+    loaded: dict[str, tuple] = {}
     wanted = {e.lower() for e in expected}
     for name in sorted(valid & known & wanted):
         typed = typed_frame(texts[name], struct_from_catalog(catalog, name))
-        path = f"{run}/{name}"
+        # What the source holds is noted on the pass that writes it.
+        noted = Observation(f"source_{name}")
+        typed = typed.observe(noted, fingerprint(typed).alias("content"))
+        path, table = f"{run}/{name}", None
         if bucket_by and name in bucket_by:
             key, buckets = bucket_by[name]
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
@@ -134,39 +135,42 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
             table = f"{database}.{name}_{run.rsplit('/', 1)[-1]}"
             (typed.write.mode("errorifexists").bucketBy(int(buckets), key).sortBy(key)
              .option("path", path).saveAsTable(table))
-            bucketed[name] = table
-            loaded = spark.table(table).count()
         else:
             typed.write.mode("errorifexists").parquet(path)
-            loaded = spark.read.parquet(path).count()
-        loaded_rows.append((name, loaded))
-    src = spark.createDataFrame(src_rows, "table string, source_rows long")
-    loaded = spark.createDataFrame(loaded_rows, "table string, loaded_rows long")
-    report = reconcile(expected, src, loaded)
+        loaded[name] = (path, table, noted.get["content"])
+    source = [(t, r["source_records"], *loaded.get(t, (None, None, None))) for t, r in checked.items()]
+    spark.createDataFrame(source, SOURCE).coalesce(1).write.mode("errorifexists").json(f"{run}/_source")
+    report = reconcile_run(spark, run, expected)
     rows = report.collect()  # one row per table
-    report = spark.createDataFrame(rows, report.schema)
     bad = [r for r in rows if r["status"] != "ok"]
     if raise_on_divergence and bad:
         detail = ", ".join(f"{r['table']}: {r['status']} ({r['source_rows']} -> {r['loaded_rows']})"
                            for r in bad)
         raise DivergentLoadError(f"load aborted, nothing published: {detail}")
     if publish and rows and not bad:
-        manifest = spark.createDataFrame(
-            [(r["table"], f"{run}/{r['table']}", r["loaded_rows"], bucketed.get(r["table"]))
-             for r in rows],
-            "table string, path string, rows long, catalog_table string")
-        manifest.coalesce(1).write.mode("errorifexists").json(f"{run}/_manifest")
-        spark.createDataFrame([(time.time_ns(), run)], "published long, run string").coalesce(1) \
-            .write.mode("append").json(f"{dest.rstrip('/')}/_published")
+        commit(spark, dest, {"run": run, "tables": {t: {"path": x[0], "catalog_table": x[1]} for t, x in loaded.items()}})
     return report, run
 
 
+SOURCE = "table string, source_rows long, path string, catalog_table string, source_content string"
+
+
+def reconcile_run(spark: SparkSession, run: str, expected: Sequence[str]) -> DataFrame:
+    """U07 for the tables of a run as they are stored now, at any time after
+    their load: counts and fingerprints against those of the source. One row per
+    table, computed eagerly."""
+    source = spark.read.schema(SOURCE).json(f"{run}/_source")
+    stored = []
+    for r in source.filter("path IS NOT NULL").collect():
+        df = spark.table(r["catalog_table"]) if r["catalog_table"] else spark.read.parquet(r["path"])
+        found = df.agg(F.count(F.lit(1)).alias("n"), fingerprint(df).alias("f")).first()
+        stored.append((r["table"], found["n"], found["f"]))
+    loaded = spark.createDataFrame(stored, "table string, loaded_rows long, loaded_content string")
+    report = reconcile(expected, source, loaded)
+    return spark.createDataFrame(report.collect(), report.schema)
+
+
 def published_table(spark: SparkSession, dest: str, table: str) -> DataFrame:
-    """Read a table of the last published run (through the catalog when it
-    was written bucketed, so the bucketing is visible to the planner)."""
-    run = spark.read.json(f"{dest.rstrip('/')}/_published").agg(F.max_by("run", "published")).first()[0]
-    entry = (spark.read.json(f"{run}/_manifest").filter(F.col("table") == table.lower())
-             .first())
-    if entry is not None and "catalog_table" in entry and entry["catalog_table"]:
-        return spark.table(entry["catalog_table"])
-    return spark.read.parquet(f"{run}/{table.lower()}")
+    """A table of the newest version. To read several tables of one version,
+    hold ``open_snapshot(spark, dest)`` and ask it for each."""
+    return open_snapshot(spark, dest).table(table)
