@@ -45,15 +45,15 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents that it takes, with ``taken`` words of each (repeats
     counted) and their source's ``target``."""
-    names = {k: fresh(k, docs.columns) for k in ("taken", "target", "_id", "_source", "_size", "_nth")}
+    names = {k: fresh(k, docs.columns) for k in ("taken", "target", "_id", "_source", "_size", "_nth", "_own")}
     share = mixing.mix(docs).filter("taken > 0").select(
         F.col("doc_id").alias(names["_id"]), F.col("source").alias(names["_source"]), F.col("size").alias(names["_size"]),
         F.col("nth").alias(names["_nth"]), F.col("taken").alias(names["taken"]), F.col("target").alias(names["target"]))
     own = F.struct(F.col("doc_id"), F.col("source"), mixing.words(F.col("text")),
                    F.row_number().over(Window.partitionBy("doc_id", "source", mixing.words(F.col("text")))
                                        .orderBy(F.xxhash64("text"))).cast("long"))
-    return (docs.withColumn("_own", own)
-            .join(share, F.col("_own").eqNullSafe(F.struct(*(quoted(names[k]) for k in ("_id", "_source", "_size", "_nth")))))
+    return (docs.withColumn(names["_own"], own)
+            .join(share, quoted(names["_own"]).eqNullSafe(F.struct(*(quoted(names[k]) for k in ("_id", "_source", "_size", "_nth")))))
             .select(*[quoted(c) for c in docs.columns], quoted(names["taken"]), quoted(names["target"])))
 
 
