@@ -73,7 +73,9 @@ def test_ids_of_words_are_ids_of_texts():
     rng = random.Random(8)
     chars = [*"abcXYZ 's't\n\t09.,!?<|>", "\u00e9", "e\u0301", "\u0301", "\u00a0", "\u2003", "\u0130", "\u03a3", "\u65e5", "\U0001f600", "\x00", "\x1c", "\u1100\u1161"]
     texts = ["".join(rng.choices(chars, k=rng.randrange(0, 60))) for _ in range(3000)]
-    texts += ["<|endoftext|> x", "a" * 100 + " b", "\u65e5" * 300, "", " \n"]
+    latin = [chr(c) for c in range(0x21, 0x250)]  # beyond the Latin letters too
+    texts += ["".join(rng.choices(latin, k=rng.randrange(1, 12))) for _ in range(5000)] + [c + "x" + c for c in latin]
+    texts += ["<|endoftext|> x", "it's I'LL we'Ve 'S's !'s x'sy", "a" * 100 + " b", "\u65e5" * 300, "", " \n"]
     plain = [np.array(e.ids, "<u4").tobytes() for e in tokenizer().encode_batch_fast(texts, add_special_tokens=False)]
     assert packing.Encoder(None).encode([t.encode() for t in texts]) == plain
 

@@ -210,3 +210,13 @@ def test_chat_awkward_tables(spark):
     assert said == [f"line {i}" for i in range(450)]
     assert len(parts[1]) == 2 and len(parts[2]) == len(parts[None]) == 1
     assert chat.report(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_chat_deals_crowded_turns(spark):
+    """A third of all rows have no turn number, another third share one."""
+    data = [*((1, None, "user", f"late {i}") for i in range(900)), *((1, 7, "user", f"same {i}") for i in range(900)),
+            *((1 + i // 4, i % 4, "user", f"told {i}") for i in range(900))]
+    made = chat.transcripts(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()
+    said = [x for r in made for x in r.text.split("\n") if x]
+    assert sum("late" in x for x in said) == 900 and sum("same" in x for x in said) == 900 and sum("told" in x for x in said) == 900
+    assert max(r.text.count("late") + r.text.count("same") for r in made) < 3 * chat.TURNS

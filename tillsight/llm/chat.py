@@ -88,6 +88,7 @@ def transcripts(turns: DataFrame) -> DataFrame:
     gap = F.when(F.pmod(F.xxhash64("conv_id", F.lit(3)), F.lit(2)) == 0, "\n").otherwise("\n\n")
     rows = turns.select("conv_id", "turn", known.alias("role"), said.alias("said"), gap.alias("gap"),
                         F.coalesce(F.floor(F.col("turn") / TURNS), F.lit(-1)).alias("part")).distinct()
+    rows = _spread(rows)
     parts = rows.groupBy("conv_id", "part").agg(
         F.min("gap").alias("gap"), F.array_sort(F.collect_list(F.struct(
             F.col("turn").isNull().alias("last"), "turn", "role", "said"))).alias("turns"))
@@ -102,6 +103,21 @@ def transcripts(turns: DataFrame) -> DataFrame:
                         roles.alias("roles"), begins.alias("begins"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of one conversation that share a turn number, or have none, don't
+    say their order. Where there are more than ``TURNS`` of them they are dealt by
+    hash into further parts (numbered from 2**32 on), so that no group follows
+    one conversation."""
+    crowds = staged(rows.groupBy("conv_id", "turn").agg(F.count("*").alias("crowd")).filter(F.col("crowd") > TURNS)
+                    .select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), "crowd"), "chat-crowds")
+    if crowds.isEmpty():
+        return rows
+    nth = F.pmod(F.xxhash64("role", "said"), F.ceil(F.col("crowd") / TURNS))
+    return (rows.join(crowds, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")), "left")
+            .withColumn("part", F.col("part") + F.coalesce(nth, F.lit(0)) * F.lit(1 << 32))
+            .drop("_conv", "_turn", "crowd"))
+
+
 def count_features(known: DataFrame) -> DataFrame:
     """Counts of transitions and features over transcripts with roles:
     ``kind``, ``state``, ``value``, ``seen``."""

@@ -294,3 +294,30 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 def report(docs: DataFrame) -> DataFrame:
     return near_groups(docs)
+
+
+SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 2 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), sized AS (
+  SELECT doc_id, shingle, n FROM s JOIN n USING (doc_id)
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                           AND 100 * a.n >= {PERCENT} * b.n AND 100 * b.n >= {PERCENT} * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM w
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), c AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""

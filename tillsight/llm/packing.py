@@ -26,9 +26,10 @@ group, so equal input and settings give equal sequences.
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -41,7 +42,8 @@ LENGTH = 2048
 END = 1
 GROUP_BYTES = 2 << 20
 SEED = 11
-KNOWN_WORDS, KNOWN_BYTES = 200_000, 64  # words of a worker's table, and how long they may be
+# Words and pieces of a worker's tables, and how long a word there may be.
+KNOWN_WORDS, KNOWN_PIECES, KNOWN_BYTES = 500_000, 250_000, 64
 
 
 def default_tokenizer() -> str:
@@ -51,9 +53,23 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Bytes as the characters that the vocabulary file spells them with: those that
+# show as themselves, the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+# Words of ASCII and Latin letters (each one code point, as is its lower case), and
+# the pieces that the vocabulary cuts them into once they are in lower case (fixed
+# values of the vocabulary).
+_LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+_PROBE = "Don't STOP, it's 42: caf\u00e9-\u00c9t\u00e9 'll !'s \u0179\u0142 (e.g.) x\u00d7y \u65e5\u672c"
+
+
 class Encoder:
-    """Texts to little-endian 32-bit ids. The vocabulary drops white space, so
-    the ids of a text are those of its words one after another."""
+    """Texts to little-endian 32-bit ids. The vocabulary drops white space, so the
+    ids of a text are those of its words one after another, and those of a word are
+    the merges of its pieces; words of other scripts take the tokenizer's whole way.
+    Words and pieces met before are looked up, a bounded number of them."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task a core
@@ -61,29 +77,67 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.merges = self.tokenizer.model
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.long: list[bytes] = []  # words that aren't kept
+        whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        if self.encode([_PROBE.encode()])[0] != packed_ids(whole):
+            raise ValueError("not a vocabulary of words without white space")
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
+            ids = self.pieces[piece] = packed_ids([t.id for t in self.merges.tokenize(spelled)])
+        return ids
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of words that aren't known yet."""
+        known, piece, other = self.words, self._piece, []
+        if len(self.pieces) > KNOWN_PIECES:
+            self.pieces.clear()
+        for w in words:
+            text = w.decode()
+            if w.isalpha():  # of ASCII alone: one piece
+                known[w] = piece(text)
+            elif _LATIN.fullmatch(text):
+                known[w] = b"".join(map(piece, _PIECES.findall(text.lower())))
+            else:
+                other.append(text)
+        if other:
+            for text, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+                known[text.encode()] = packed_ids(e.ids)
+        self.long += [w for w in words if len(w) > KNOWN_BYTES]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
-        split = [t.split() for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        known = self.known
-        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        long = {}
-        for w, e in zip(new, got):
-            (known if len(w) <= KNOWN_BYTES else long)[w] = np.array(e.ids, "<u4").tobytes()
-        if long:
-            return [b"".join([known[w] if w in known else long[w] for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+        out = []
+        for text in texts:
+            words = text.lower().split()  # A-Z only
+            ids = [*map(self.words.get, words)]
+            if None in ids:
+                if len(self.words) > KNOWN_WORDS:
+                    self.words.clear()
+                self._learn([w for w in dict.fromkeys(words) if w not in self.words])
+                ids = [*map(self.words.__getitem__, words)]
+            out.append(b"".join(ids))
+            for w in self.long:
+                del self.words[w]
+            self.long = []
+        return out
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encoded(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None, end: int = END) -> tuple[DataFrame, str]:
     """``docs`` with one column more, and its name: the document's ids as
     little-endian 32-bit numbers, the end mark behind them."""
     name = fresh("ids", docs.columns)
-    mark = np.array([end], "<u4").tobytes()
+    mark = packed_ids([end])
 
     def work():
         encoder = Encoder(tokenizer)

@@ -70,5 +70,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.SQL, "op4_exact_dedup": exact_dedup.SQL,
-            "op9_line_hash": line_hash.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op2_line_dedup": line_dedup.SQL, "op4_exact_dedup": exact_dedup.SQL, "op5_suffix_dedup": suffix_dedup.SQL,
+            "op6_near_dedup": near_dedup.SQL, "op9_line_hash": line_hash.SQL, "op10_decontaminate": decontaminate.SQL,
+            "op13_importance_resampling": resample.SQL}

@@ -219,3 +219,54 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of the documents of 20 words or more, towards the benchmark's texts."""
     out, names = resample(docs.select("doc_id", "text"), benchmark)
     return out.select("doc_id", *(quoted(names[c]).alias(c) for c in ("n_features", "weight", "score", "rank")))
+
+
+# crc32 byte by byte: a table of 256 remainders, made by its rule.
+_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], "
+              "lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))")
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+SQL = rf"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS words FROM documents
+), b AS (
+  SELECT {_WORDS} AS words FROM benchmark
+), df AS (
+  SELECT doc_id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM d
+), bf AS (
+  SELECT unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM b
+), known AS (
+  SELECT feature, hex(encode(feature)) AS h FROM (SELECT feature FROM df UNION SELECT feature FROM bf)
+), table_of AS (
+  SELECT {_CRC_TABLE} AS crc
+), hashed AS (
+  SELECT feature, xor(list_reduce(list_concat([4294967295], list_transform(range(0, length(h) // 2),
+           lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)
+         % {BUCKETS} AS bucket
+  FROM known, table_of
+), s AS (
+  SELECT bucket, count(*) AS n FROM df JOIN hashed USING (feature) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS n FROM bf JOIN hashed USING (feature) GROUP BY bucket
+), g AS (
+  SELECT s.bucket, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM df) + {BUCKETS}) AS DOUBLE)
+           / CAST((s.n + 1) * ((SELECT count(*) FROM bf) + {BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), w AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain) AS total
+  FROM df JOIN hashed USING (feature) JOIN g USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_features, 0) AS n_features,
+         CAST(coalesce(floor(total / n_features), 0) AS BIGINT) AS weight,
+         CAST('0x' || sha256('{SEED}:' || d.doc_id)[1:8] AS BIGINT) AS h
+  FROM d LEFT JOIN w USING (doc_id)
+), drawn AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, {SHARE_PERCENT} * count(*) OVER () // 100 AS k
+  FROM drawn WHERE n_words >= {MIN_WORDS}
+)
+SELECT drawn.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CAST(CASE WHEN place <= k THEN place END AS BIGINT) AS rank
+FROM drawn LEFT JOIN r USING (doc_id)
+"""

@@ -491,3 +491,30 @@ def report(docs: DataFrame) -> DataFrame:
                 names=schema.names)
 
     return cut.select("doc_id", "text", quoted(name)).mapInArrow(summed, schema)
+
+
+SQL = rf"""
+WITH t AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (
+  SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, {2 * LENGTH})) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - {LENGTH - 1}, 0))) AS pos FROM t)
+), f AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS r FROM p
+), later AS (
+  SELECT doc_id, pos, pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + {LENGTH} AS apart FROM f WHERE r > 1
+), runs AS (
+  SELECT doc_id, pos, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM later
+), spans AS (
+  SELECT doc_id, min(pos) AS s, max(pos) + {LENGTH} AS e FROM runs GROUP BY doc_id, run
+), cuts AS (
+  SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM spans
+), kept AS (
+  SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) || substr(any_value(h), 2 * max(e) + 1) AS h
+  FROM cuts JOIN t USING (doc_id) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+"""
