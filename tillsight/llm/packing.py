@@ -43,7 +43,7 @@ END = 1
 GROUP_BYTES = 2 << 20
 SEED = 11
 # Words and pieces of a worker's tables, and how long a word there may be.
-KNOWN_WORDS, KNOWN_PIECES, KNOWN_BYTES = 500_000, 250_000, 64
+KNOWN_WORDS, KNOWN_PIECES, KNOWN_BYTES = 700_000, 400_000, 64
 
 
 def default_tokenizer() -> str:
@@ -128,6 +128,17 @@ class Encoder:
         return out
 
 
+def worker_encoder(path: str | None) -> Encoder:
+    """The encoder of this worker process, which serves many tasks: words that
+    one of them met need not be learned by the next."""
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("_held_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def packed_ids(ids: list[int]) -> bytes:
     """Ids as little-endian 32-bit numbers."""
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -140,7 +151,7 @@ def encoded(docs: DataFrame, text_col: str = "text", tokenizer: str | None = Non
     mark = packed_ids([end])
 
     def work():
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
 
         def ids(columns: list[pa.Array]) -> list[pa.Array]:
             out = []
