@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import pytest
+
 from llm_cases import docs, empty, rows
 from tillsight.llm import decontaminate, exact_dedup, line_dedup, line_hash
 
@@ -52,13 +54,14 @@ def test_the_directory_routes_rows_and_look_ups(spark, monkeypatch):
     assert 0 < exact_dedup.exact_dedup(data, capacity=4).count() < 120
 
 
-def test_line_hash(spark):
-    out, names = line_hash.line_hash_dedup(docs(spark))
+@pytest.mark.parametrize("least", [1, 5])
+def test_line_hash(spark, least):
+    out, names = line_hash.line_hash_dedup(docs(spark), **({} if least == 1 else {"min_words": least}))
     got = out.collect()
     assert out.columns[:len(docs(spark).columns)] == docs(spark).columns and len(got) == len(rows())
     first = {}
     for r in sorted({(r[0] is None, r[0] or 0, r[1] or "") for r in rows()}):
-        for start, _, norm in line_hash.units_of(r[2], "\n", 5):
+        for start, _, norm in line_hash.units_of(r[2], "\n", least):
             first.setdefault(norm, (r[0], r[1], r[2], start))
     same_id = {3}  # rows of one id with different texts rank by a hash
     for r in got:
@@ -68,7 +71,7 @@ def test_line_hash(spark):
         if text is None:
             assert r.text is None
             continue
-        spans = [(s, e) for s, e, norm in line_hash.units_of(text, "\n", 5)
+        spans = [(s, e) for s, e, norm in line_hash.units_of(text, "\n", least)
                  if first[norm][1:] != (r.doc_id, text, s)]
         assert [(s.start, s.end) for s in r[names["spans"]]] == spans
         kept, at = "", 0
