@@ -75,3 +75,23 @@ def test_long_lists_are_not_paired(spark):
         neighbours._meetings = real
     assert got == brute(pairs, 3)
     assert sum(counted) < 400 * 400 / 10
+
+
+def test_short_lists_are_counted_by_product(spark, monkeypatch):
+    """Without long lists no table of pairs is dealt; with a limit on buyers only
+    the products beyond it go the other way."""
+    rng = random.Random(11)
+    pairs = {(rng.randrange(40), rng.randrange(30)) for _ in range(250)} | {(c, 5) for c in range(40)}
+    real, dealt = neighbours._meetings, []
+
+    def spying(left, right):
+        dealt.append({r[0] for r in left.select("a").distinct().collect()})
+        return real(left, right)
+
+    monkeypatch.setattr(neighbours, "_meetings", spying)
+    monkeypatch.setattr(neighbours, "COUNTS_PER_TASK", 500)
+    assert {tuple(r) for r in neighbours.similar_items_all(frame(spark, pairs), 3).collect()} == brute(pairs, 3)
+    assert dealt == []
+    monkeypatch.setattr(neighbours, "MANY_BUYERS", 30)
+    assert {tuple(r) for r in neighbours.similar_items_all(frame(spark, pairs), 3).collect()} == brute(pairs, 3)
+    assert dealt == [{5}]

@@ -14,6 +14,12 @@ with each other as a whole:
   to one that has ``b`` buyers than ``h / sqrt(own buyers * b)``. The search of a
   product ends as soon as that is less than its N-th best.
 
+The counts of short lists are never dealt as pairs. Every purchase takes its
+customer's list to the task of its product, once; there the products of the lists
+are counted, bounded and ranked in place. Without long lists, a pair that met once
+only matters if it is among the N + 1 rarest products of that customer's list: N
+others of the list are at least as similar.
+
 Products that share no buyer have similarity 0 and fill short lists by id, as in
 the list of one product (``recommend.similar_items``). Ties go to the lower id.
 """
@@ -24,10 +30,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.operators.recommend import product_buyers
-from tillsight.session import materialize
+from tillsight.session import materialize, stage
 
 LIST_LIMIT = 256
 FIRST_SLICE = 64
+# Met products that one task counts, and buyers from which a product's are dealt out.
+COUNTS_PER_TASK = 2_000_000
+MANY_BUYERS = 20_000
 
 
 def _similarity(common: str | Column, a: str, b: str) -> Column:
@@ -58,13 +67,19 @@ def similar_items_all(pairs: DataFrame, n: int = 5, list_limit: int = LIST_LIMIT
     """``n`` rows for every product that anyone bought (fewer only if there are
     not so many others): ``product_id, rank, similar_id, similarity`` (rounded to
     4 places, ranked unrounded), ``common_buyers, buyers`` (of the similar one)."""
-    pairs = materialize(pairs.select("customer_id", "product_id"))
-    lists = pairs.groupBy("customer_id").agg((F.count(F.lit(1)) > list_limit).alias("long"))
-    tagged = materialize(pairs.join(lists, "customer_id"))
+    pairs = stage(pairs.select("customer_id", "product_id"), "similar-pairs")
+    lists = pairs.filter("customer_id IS NOT NULL").groupBy("customer_id").agg(F.count(F.lit(1)).alias("items"))
+    known = lists.agg(F.sum(F.when(F.col("items") <= list_limit, F.col("items") * F.col("items"))).alias("work"),
+                      F.max("items").alias("longest")).first()
+    has_long = (known["longest"] or 0) > list_limit
+    tagged = pairs.filter("customer_id IS NOT NULL").withColumn("long", F.lit(False))
+    if has_long:
+        tagged = stage(pairs.join(lists.select("customer_id", (F.col("items") > list_limit).alias("long")), "customer_id"),
+                       "similar-tagged")
     short, hot = tagged.filter("NOT long"), tagged.filter("long").drop("long")
     met = hot.groupBy("product_id").agg(F.count(F.lit(1)).alias("h"))
-    sizes = materialize(product_buyers(pairs).join(met, "product_id", "left")
-                        .select("product_id", "buyers", F.coalesce("h", F.lit(0)).alias("h")))
+    sizes = stage(product_buyers(pairs).join(met, "product_id", "left")
+                  .select("product_id", "buyers", F.coalesce("h", F.lit(0)).alias("h")), "similar-sizes")
 
     def side(c: str) -> DataFrame:
         return sizes.select(F.col("product_id").alias(c), F.col("buyers").alias(f"n{c}"), F.col("h").alias(f"h{c}"))
@@ -72,14 +87,51 @@ def similar_items_all(pairs: DataFrame, n: int = 5, list_limit: int = LIST_LIMIT
     def purchases(df: DataFrame, c: str) -> DataFrame:
         return df.select("customer_id", F.col("product_id").alias(c))
 
-    counted = _meetings(purchases(short, "a"), purchases(short, "b")) \
-        .join(side("a"), "a").join(side("b"), "b").withColumn("similarity", _similarity("met", "na", "nb"))
+    tasks = max(1, -(-(known["work"] or 0) // COUNTS_PER_TASK))
+    counted = _counted(short, sizes, None if has_long else n, tasks)
+    most = sizes.agg(F.max("buyers")).first()[0] or 0
+    if most > MANY_BUYERS:
+        many = side("a").filter(F.col("na") > MANY_BUYERS)
+        counted = counted.unionByName(
+            _meetings(purchases(short, "a").join(many.select("a"), "a", "left_semi"), purchases(short, "b"))
+            .join(many, "a").join(side("b"), "b"))
+    counted = counted.withColumn("similarity", _similarity("met", "na", "nb"))
     best = _best(counted, n)
-    if hot.limit(1).count():
+    if has_long:
         best = _with_long_lists(counted, materialize(best), hot, sizes, side, purchases, n, first_slice)
     return _filled(best, sizes, n)
 
 
+def _counted(short: DataFrame, sizes: DataFrame, n: int | None, tasks: int) -> DataFrame:
+    """``a, b, met, na, nb, ha, hb`` of the products that meet in ``short`` lists,
+    dealt by ``a``, which has at most ``MANY_BUYERS``. With ``n``, without pairs
+    that can't be among the ``n`` best."""
+    kind = sizes.schema["product_id"].dataType.simpleString()
+    narrow = kind
+    if kind == "bigint":  # ids that fit go as integers
+        far = sizes.agg(F.max(F.abs("product_id"))).first()[0] or 0
+        narrow = "int" if far < 2 ** 31 else kind
+    cells = short.join(sizes, "product_id").repartition(max(1, tasks // 4), "customer_id")
+    cell = F.struct(F.col("buyers").alias("n"), F.col("product_id").alias("p"), F.col("h").alias("h"))
+    lists = cells.groupBy("customer_id").agg(F.array_sort(F.collect_list(cell)).alias("list"))
+    edge = F.element_at(F.slice(F.array_distinct("list"), 1, (n or 0) + 1), -1)
+    own = F.filter("list", lambda x: x["n"] <= MANY_BUYERS)
+    dealt = lists.select(
+        F.explode(own).alias("own"), F.transform("list", lambda x: x["p"].cast(narrow)).alias("p"),
+        F.transform("list", lambda x: x["n"]).alias("n"), F.transform("list", lambda x: x["h"]).alias("h"), edge.alias("edge"))
+    dealt = dealt.select(F.col("own.p").alias("a"), F.col("own.n").alias("na"), F.col("own.h").alias("ha"), "p", "n", "h",
+                         F.col("edge.n").alias("edge_n"), F.col("edge.p").alias("edge_p")).repartition(tasks, "a")
+    pairs = dealt.select("*", F.posexplode("p").alias("i", "b")).select(
+        "a", "na", "ha", "edge_n", "edge_p", F.col("b").cast(kind).alias("b"), F.get("n", "i").alias("nb"), F.get("h", "i").alias("hb")) \
+        .filter("a != b")
+    near = (F.col("nb") < F.col("edge_n")) | ((F.col("nb") == F.col("edge_n")) & (F.col("b") <= F.col("edge_p")))
+    met = pairs.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("met"), *(F.max(c).alias(c) for c in ("na", "nb", "ha", "hb")), F.max(near).alias("near"))
+    if n is not None:
+        met = met.filter("met > 1 OR near")
+    return met.drop("near")
+
+
 def _with_long_lists(counted, best, hot, sizes, side, purchases, n, first_slice) -> DataFrame:
     """The lists once the customers with long lists count as well."""
     hot_a, hot_b = purchases(hot, "a"), purchases(hot, "b")
