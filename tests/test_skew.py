@@ -93,3 +93,16 @@ def test_hot_customer_and_hot_variant_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_customer_categories_deal_items_by_order(spark, monkeypatch):
+    """As many tasks as the items need, whatever the session's partitions are."""
+    from tillsight.operators import segment
+    orders = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 8), (None, 8)], "id long, customer_id long")
+    items = spark.createDataFrame([(1, 5, 2), (1, 6, 1), (2, 5, 4), (3, 6, None), (None, 5, 9)], "order_id long, product_variant_id long, quantity int")
+    variants = spark.createDataFrame([(5, 50), (6, 60)], "id long, product_id long")
+    products = spark.createDataFrame([(50, "a"), (60, "b")], "id long, category_id string")
+    monkeypatch.setattr(segment, "ITEMS_PER_TASK", 2)
+    out = segment._customer_categories(orders, items, variants, products, "category_id")
+    assert {tuple(r) for r in out.collect()} == {(7, "a", 8, 2), (7, "b", 2, 1), (8, "b", None, 1)}
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
