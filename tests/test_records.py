@@ -166,3 +166,31 @@ def test_inference_plan_has_no_explode(spark):
     df = spark.createDataFrame([("1", "x")] * 3, "id string, v string")
     plan = spark._jvm.PythonSQLUtils.explainString(I._states(df, "t", I._state())._jdf.queryExecution(), "simple")
     assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_plain_records_and_others(spark, scratch):
+    """Records without quotes are cut at commas, with the parser's results."""
+    path = _file(scratch, "mixed.csv", 'a,b\n1,\n,2\n , x \n,\n"q","",\n"q",""\nx\n1,2,3\r\n4,5\r\n6,\\\n"7,8",9\n')
+    staged = C.stage_csv(spark, path)
+    assert sorted(map(tuple, staged.text().collect()), key=str) == sorted(
+        [("1", None), (None, "2"), (" ", " x "), (None, None), ("q", ""), ("4", "5"), ("6", "\\"), ("7,8", "9")], key=str)
+    found = C.validation_of(staged)
+    assert (found["records"], found["ragged"], found["example"], found["first_bad_record"]) == (11, 3, '"q","",', 6)
+
+
+def test_digest_adds_whole_numbers(spark):
+    df = spark.range(1000).selectExpr("id", "IF(id % 5 = 0, NULL, cast(id % 7 AS string)) AS s")
+    sums = [sum(r[0] for r in df.selectExpr(f"xxhash64({k}, id IS NULL, id, s IS NULL, s)").collect()) for k in (1, 2)]
+    agg = df.agg(C.fingerprint(df).alias("f"))
+    assert agg.first()["f"] == f"1000:{sums[0]}:{sums[1]}"
+    assert "sum(shiftright(" in agg._jdf.queryExecution().executedPlan().toString()
+
+
+def test_class_from_its_parts(spark):
+    values = ["0", "007", "+5", "-5", "--5", "1.5", "01.5", ".5", "5.", "1.2.3", "-0.5", "+", "", "1998-02-06", "1998-2-31", "x", "T", "false",
+              "1998-02-06 10:11:12", "12:30", "9223372036854775808", "1e5", " 1", "1 ", "/1", ":1", "٣"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    body = F.col("body")
+    parts = df.withColumn("body", I._unsigned(F.col("v"))).withColumn("rest", I._without_digits(body))
+    got = parts.select(I.value_class(F.col("v")), I._class_of(F.col("v"), body, F.col("rest")), "v").collect()
+    assert [(r[2], r[0]) for r in got] == [(r[2], r[1]) for r in got]

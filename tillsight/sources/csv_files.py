@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.session import stage
+from tillsight.session import side_by_side, stage
 
 # Marks a quoted empty field while reading; mapped back to ''.
 EMPTY_SENTINEL = "\u0000\u0001"
@@ -61,14 +61,20 @@ def header(spark: SparkSession, path: str | list[str]) -> list[str]:
     return cols
 
 
+def _without_return(c: str) -> Column:
+    """The line without carriage returns at its end; most have none."""
+    return F.when(F.contains(F.col(c), F.lit("\r")), F.regexp_replace(c, "\r$", "")).otherwise(F.col(c))
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with their file, the block of it that a task reads, and a number
     that grows by one within a block."""
-    text = F.regexp_replace("value", "\r$", "")
+    text = _without_return("value")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return spark.read.option("lineSep", "\n").text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
-        F.monotonically_increasing_id().alias("at"), "value", (quotes % 2).alias("odd"),
+        F.monotonically_increasing_id().alias("at"), "value",
+        F.when(F.contains("value", F.lit('"')), quotes % 2).otherwise(0).alias("odd"),
         (F.trim(text) == "").cast("int").alias("blank"))
 
 
@@ -128,7 +134,7 @@ def scan_records(spark: SparkSession, path: str | list[str]) -> CsvRecords:
     number = F.col("before") + F.when(F.col("inside") == 0, F.col("k0")).otherwise(F.col("k1"))
     part = marked.join(own, ["file", "block"]).withColumn("within", (F.col("inside") + F.col("odd_before")) % 2) \
         .select("file", number.alias("number"), (F.col("others") + number).alias("ordinal"), "block", "at", "value", "blank", "odd", "within")
-    text = F.regexp_replace("value", "\r$", "").alias("record")
+    text = _without_return("value").alias("record")
     alone = (F.col("within") == 0) & (F.col("odd") == 0)
     frame = frame.unionAll(part.filter(alone).select(
         "file", "number", "ordinal", (F.col("blank") == 1).alias("blank"), F.lit(1).alias("n_lines"), text))
@@ -159,7 +165,7 @@ def _in_place(lines: DataFrame, own: DataFrame) -> DataFrame:
     number = F.col("before") + F.col("at") - F.col("first") + 1
     return lines.join(own, ["file", "block"]).select(
         "file", number.alias("number"), (F.col("others") + number).alias("ordinal"), (F.col("blank") == 1).alias("blank"),
-        F.lit(1).alias("n_lines"), F.regexp_replace("value", "\r$", "").alias("record"))
+        F.lit(1).alias("n_lines"), _without_return("value").alias("record"))
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -196,13 +202,22 @@ class StagedCsv:
 def stage_csv(spark: SparkSession, path: str | list[str], table: str | None = None) -> StagedCsv:
     """Parse the records under ``path`` (or several) once. A record is bad when its field
     count differs from the header's, or when the parser doesn't find all its
-    line breaks inside fields (a stray quote joined lines that are records)."""
+    line breaks inside fields (a stray quote joined lines that are records).
+
+    A record without a quote is cut at its commas, if that gives as many fields as
+    the header has; the parser reads all others."""
     columns = header(spark, path)
     found = scan_records(spark, path)
     fields = [f"c{i}" for i in range(len(columns))]
-    parsed = found.frame.withColumn("s", F.from_csv(
+    read = F.from_csv(
         "record", ", ".join(f"{c} string" for c in [*fields, "_corrupt"]),
-        {"quote": '"', "escape": '"', "emptyValue": EMPTY_SENTINEL, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+        {"quote": '"', "escape": '"', "emptyValue": EMPTY_SENTINEL, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    special = [F.contains("record", F.lit(x)) for x in ('"', "\r", "\n", "\0")]
+    plain = ~(F.col("blank") | special[0] | special[1] | special[2] | special[3])
+    cut = [F.get("cut", F.lit(i)) for i in range(len(fields))]
+    cut = [F.when(x != "", x).alias(c) for c, x in zip(fields, cut)] + [F.lit(None).cast("string").alias("_corrupt")]
+    parsed = found.frame.withColumn("cut", F.when(plain, F.split("record", ",", -1))) \
+        .withColumn("s", F.when(F.col("cut").isNotNull() & (F.size("cut") == len(fields)), F.struct(*cut)).otherwise(read)).drop("cut")
     breaks = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
     kept = sum((F.coalesce(breaks(F.col(f"s.{c}")), F.lit(0)) for c in fields), F.lit(0))
     bad = F.col("s._corrupt").isNotNull() | F.col("s").isNull() | ((F.col("n_lines") > 1) & (kept < F.col("n_lines") - 1))
@@ -240,28 +255,36 @@ def fingerprint(df: DataFrame, where: Column | None = None) -> Column:
 def row_digest(columns: list[Column], where: Column | None = None) -> Column:
     cells = [x for c in columns for x in (c.isNull(), c)]
     where = F.lit(True) if where is None else where
+    low = F.lit((1 << 21) - 1).cast("long")
 
     def total(seed: int) -> Column:
-        h = F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")
-        return F.coalesce(F.sum(F.when(where, h)), F.lit(0)).cast("string")
+        # The hash in three parts, so that whole numbers add up without overflow.
+        h = F.when(where, F.xxhash64(F.lit(seed), *cells))
+        parts = [(42, F.shiftright(h, 42)), (21, F.shiftright(h, 21).bitwiseAND(low)), (0, h.bitwiseAND(low))]
+        return sum((F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,0)") * F.lit(1 << k).cast("decimal(14,0)") for k, x in parts),
+                   F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").cast("string")
 
     return F.concat_ws(":", F.count_if(where).cast("string"), total(1), total(2))
 
 
 def validation_of(staged: StagedCsv) -> dict:
-    """The line of ``validate_csv`` for one table: one job over its records."""
+    """The line of ``validate_csv`` for one table: one job over its records, and
+    one over the bad ones if there are any."""
     c, found = F.col, staged.records
     bad = c("bad") & ~c("blank")
     rep = staged.frame.agg(
         F.count_if(~c("blank")).alias("records"), F.count_if(bad).alias("ragged"),
-        F.min(F.when(bad, c("record"))).alias("example"),
-        F.min(F.when(c("bad") | c("blank"), F.struct("ordinal", "file", "number"))).alias("first"),
+        F.count_if(c("bad") | c("blank")).alias("odd"),
         row_digest(staged.values(), ~c("bad") & ~c("blank")).alias("content")).first()
     status = ("open_quote" if found.open_files else "ragged" if rep["ragged"] else "blank_lines" if found.blank_lines else
               "divergent" if rep["records"] != found.source_records else "ok")
-    first = rep["first"] or (None, None, None)
+    worst = None
+    if rep["odd"]:
+        worst = staged.frame.filter(c("bad") | c("blank")).agg(
+            F.min(F.when(bad, c("record"))).alias("example"), F.min(F.struct("ordinal", "file", "number")).alias("first")).first()
+    first = worst["first"] if worst else (None, None, None)
     return {"table": staged.table, "path": str(staged.path), "header_fields": len(staged.columns),
-            "source_records": found.source_records, "records": rep["records"], "ragged": rep["ragged"], "example": rep["example"],
+            "source_records": found.source_records, "records": rep["records"], "ragged": rep["ragged"], "example": worst["example"] if worst else None,
             "first_bad_record": first[0], "first_bad_file": first[1], "first_bad_in_file": first[2],
             "line_breaks": found.line_breaks, "blank_lines": found.blank_lines, "content": rep["content"], "status": status}
 
@@ -284,7 +307,8 @@ def validate_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     if not paths:
         raise ValueError("no CSV files")
-    return spark.createDataFrame([tuple(validation_of(stage_csv(spark, p)).values()) for p in sorted(paths)], VALIDATION)
+    found = side_by_side(lambda p: tuple(validation_of(stage_csv(spark, p)).values()), sorted(paths))
+    return spark.createDataFrame(found, VALIDATION)
 
 
 def write_csv(df: DataFrame, path: str, quote: bool = True) -> None:

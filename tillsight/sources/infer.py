@@ -123,6 +123,19 @@ def value_class(v: Column) -> Column:
             .when(is_timestamp(v), "s").when(is_boolean(v), "b").otherwise("x"))
 
 
+def _without_digits(body: Column) -> Column:
+    """What an unsigned value holds besides digits; none if it doesn't begin with one."""
+    return F.when((body >= "0") & (body < ":"), F.translate(body, _DIGITS, ""))
+
+
+def _class_of(v: Column, body: Column, rest: Column) -> Column:
+    """``value_class`` from the value, unsigned, and its ``_without_digits``."""
+    whole, frac = F.substring_index(body, ".", 1), F.substring_index(body, ".", -1)
+    decimal = (rest == ".") & (F.length(whole) > 0) & (F.length(frac) > 0) & _no_leading_zero(whole)
+    return (F.when((rest == "") & _no_leading_zero(body), "i").when(decimal, "d").when(is_date(v), "t")
+            .when(is_timestamp(v), "s").when(is_boolean(v), "b").otherwise("x"))
+
+
 # A value's class as a bit; integers by the width they need.
 _BITS = {"i": 1, "i64": 2, "wide": 4, "d": 8, "t": 16, "s": 32, "b": 64, "x": 128}
 _INTEGER = _BITS["i"] | _BITS["i64"] | _BITS["wide"]
@@ -134,21 +147,22 @@ def _above(digits: Column, limit: int) -> Column:
     return (F.length(digits) > n) | ((F.length(digits) == n) & (digits > F.lit(str(limit))))
 
 
-def _state() -> tuple[list[Column], list[Column]]:
-    """For a column ``v``: each value's class and digits, and the aggregates
-    over them: rows, filled values, classes met, widest integer part and fraction."""
+def _state() -> tuple[list[list[Column]], list[Column]]:
+    """For a column ``v``: each value's class and digits in three steps, so that
+    each is worked out once, and the aggregates over them: rows, filled values, classes met, widest integer part and fraction."""
     v, body, k = F.col("v"), F.col("body"), F.col("k")
     bit = (F.when(k == "i", F.when(_above(body, BIGINT_LIMIT), _BITS["wide"]).when(_above(body, INTEGER_LIMIT), _BITS["i64"])
                   .otherwise(_BITS["i"]))
            .when(k == "d", _BITS["d"]).when(k == "t", _BITS["t"]).when(k == "s", _BITS["s"]).when(k == "b", _BITS["b"])
            .when(k.isNotNull(), _BITS["x"]))
-    return ([F.when(v != "", value_class(v)).alias("k"), _unsigned(v).alias("body")],
+    return ([[v, _unsigned(v).alias("body")], [v, body, _without_digits(body).alias("rest")],
+             [F.when(v != "", _class_of(v, body, F.col("rest"))).alias("k"), body]],
             [F.count(F.lit(1)).alias("n_rows"), F.count("k").alias("filled"), F.bit_or(bit).alias("bits"),
              F.max(F.when(k.isin("i", "d"), F.length(F.substring_index(body, ".", 1)))).alias("int"),
              F.max(F.when(k == "d", F.length(F.substring_index(body, ".", -1)))).alias("frac")])
 
 
-def _states(df: DataFrame, table: str, state: tuple[list[Column], list[Column]]) -> DataFrame:
+def _states(df: DataFrame, table: str, state: tuple[list[list[Column]], list[Column]]) -> DataFrame:
     """One row a column: ``table, ordinal, n_rows, filled, bits, int, frac``; and
     a row with ``ids`` for each column called id."""
     none = F.lit(None)
@@ -156,7 +170,7 @@ def _states(df: DataFrame, table: str, state: tuple[list[Column], list[Column]])
     for i, c in enumerate(df.columns):
         v = F.col(f"`{c}`").cast("string").alias("v")
         here = [F.lit(table).alias("table"), F.lit(i + 1).alias("ordinal")]
-        part = df.select(v).select(*state[0]).agg(*state[1]).select(*here, "n_rows", "filled", "bits", "int", "frac",
+        part = df.select(v).select(*state[0][0]).select(*state[0][1]).select(*state[0][2]).agg(*state[1]).select(*here, "n_rows", "filled", "bits", "int", "frac",
                                                                    none.cast("long").alias("ids"))
         out = part if out is None else out.unionAll(part)
         if c.lower() == "id":

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillsight.session import side_by_side
 from tillsight.sources.csv_files import fingerprint, stage_csv, table_name, validation_of
 from tillsight.sources.infer import infer_schema, struct_from_catalog
 from tillsight.sources.snapshots import commit, open_snapshot
@@ -111,8 +112,13 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
         if missing:
             raise MissingTablesError(f"no declared table for: {', '.join(missing)}")
     run = f"{dest.rstrip('/')}/_runs/{uuid.uuid4().hex[:12]}"
-    staged = {t.table: t for t in (stage_csv(spark, p) for p in sorted(files))}
-    checked = {t: validation_of(s) for t, s in staged.items()}
+    def check(path: str):
+        text = stage_csv(spark, path)
+        return text, validation_of(text)
+
+    both = side_by_side(check, sorted(files))
+    staged = {t.table: t for t, _ in both}
+    checked = {t.table: r for t, r in both}
     valid = {t for t, r in checked.items() if r["status"] in ("ok", "divergent")}
     texts = {t: staged[t].text() for t in valid}
     if catalog is None and texts:
@@ -120,9 +126,13 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
     expected = list(expected) if expected is not None else list(checked)
     known = set() if catalog is None else {
         r["table"] for r in catalog.select("table").distinct().collect()}
-    loaded: dict[str, tuple] = {}
     wanted = {e.lower() for e in expected}
-    for name in sorted(valid & known & wanted):
+    names = sorted(valid & known & wanted)
+    if bucket_by and set(names) & set(bucket_by):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+                  f"LOCATION '{dest.rstrip('/')}/_catalog'")
+
+    def load(name: str) -> tuple:
         typed = typed_frame(texts[name], struct_from_catalog(catalog, name))
         # What the source holds is noted on the pass that writes it.
         noted = Observation(f"source_{name}")
@@ -130,14 +140,14 @@ def load_run(spark: SparkSession, files: Sequence[str], dest: str,
         path, table = f"{run}/{name}", None
         if bucket_by and name in bucket_by:
             key, buckets = bucket_by[name]
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
-                      f"LOCATION '{dest.rstrip('/')}/_catalog'")
             table = f"{database}.{name}_{run.rsplit('/', 1)[-1]}"
             (typed.write.mode("errorifexists").bucketBy(int(buckets), key).sortBy(key)
              .option("path", path).saveAsTable(table))
         else:
             typed.write.mode("errorifexists").parquet(path)
-        loaded[name] = (path, table, noted.get["content"])
+        return path, table, noted.get["content"]
+
+    loaded = dict(zip(names, side_by_side(load, names)))
     source = [(t, r["source_records"], *loaded.get(t, (None, None, None))) for t, r in checked.items()]
     spark.createDataFrame(source, SOURCE).coalesce(1).write.mode("errorifexists").json(f"{run}/_source")
     report = reconcile_run(spark, run, expected)
@@ -160,11 +170,13 @@ def reconcile_run(spark: SparkSession, run: str, expected: Sequence[str]) -> Dat
     their load: counts and fingerprints against those of the source. One row per
     table, computed eagerly."""
     source = spark.read.schema(SOURCE).json(f"{run}/_source")
-    stored = []
-    for r in source.filter("path IS NOT NULL").collect():
+
+    def count(r) -> tuple:
         df = spark.table(r["catalog_table"]) if r["catalog_table"] else spark.read.parquet(r["path"])
         found = df.agg(F.count(F.lit(1)).alias("n"), fingerprint(df).alias("f")).first()
-        stored.append((r["table"], found["n"], found["f"]))
+        return r["table"], found["n"], found["f"]
+
+    stored = side_by_side(count, source.filter("path IS NOT NULL").collect())
     loaded = spark.createDataFrame(stored, "table string, loaded_rows long, loaded_content string")
     report = reconcile(expected, source, loaded)
     return spark.createDataFrame(report.collect(), report.schema)
