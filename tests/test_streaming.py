@@ -48,3 +48,19 @@ def test_one_file_per_trigger_gives_one_batch_each(spark, scratch):
     rep = batch_report(spark, dest, "t").collect()
     assert len(rep) == 3 and all(r["source_rows"] == 4 and r["status"] == "ok" for r in rep)
     assert loaded_table(spark, dest, "t").select("id").distinct().count() == 12
+
+
+def test_inference_reads_a_columnar_copy(spark, monkeypatch):
+    """The exported text is parsed once for inference, not once a column."""
+    from tillsight.plans import registry
+    from tillsight.sources import infer
+    real, read = infer.infer_schema, []
+
+    def spying(tables, *more):
+        read.extend(f for t in tables.values() for f in t.inputFiles())
+        return real(tables, *more)
+
+    monkeypatch.setattr(infer, "infer_schema", spying)
+    rows = registry.q_incremental_load(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 5 and all(r["source_rows"] == r["loaded_rows"] for r in rows)
+    assert read and not [f for f in read if not f.endswith(".parquet")]

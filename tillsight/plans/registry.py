@@ -374,12 +374,13 @@ def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
     (they are in the order of their ids) has a reason with an unquoted comma, each
     101st variant a line break in its SKU, and the last file of the customers
     holds a blank line."""
-    from tillsight.session import new_run_dir
+    from tillsight.session import new_run_dir, side_by_side
     from tillsight.sources.snapshots import create_if_absent
     from tillsight.sources.csv_files import write_csv
     root = new_run_dir(spark, "csv-export")
-    paths = {}
-    for name, fn in INFER_TABLES.items():
+
+    def put(table) -> tuple[str, str]:
+        name, fn = table
         path, df = f"{root}/{name}.csv", fn(spark, d)
         quote = True
         if damaged and name == "returns":
@@ -392,8 +393,9 @@ def _export_csv(spark, d, damaged: bool = False) -> dict[str, str]:
         write_csv(df, path, quote)
         if damaged and name == "customers":
             create_if_absent(spark, f"{path}/z-last.csv", ",".join(df.columns) + "\n\n")
-        paths[name] = path
-    return paths
+        return name, path
+
+    return dict(side_by_side(put, INFER_TABLES.items()))
 
 
 def q_csv_validation(spark, d):
@@ -472,13 +474,15 @@ def q_incremental_load(spark, d):
     """U05 in streaming form: CSV exports of the role tables land in one
     folder per table and are loaded by an available-now stream; returns the
     per-batch reconciliation."""
-    from tillsight.session import new_run_dir
+    from tillsight.session import new_run_dir, side_by_side, stage
     from tillsight.sources.csv_files import read_text_table
     from tillsight.sources.infer import infer_schema, struct_from_catalog
     from tillsight.streaming.landing import batch_report, stream_raw_load
     paths = _export_csv(spark, d)
     dest = new_run_dir(spark, "stream-load")
-    texts = {name: read_text_table(spark, path) for name, path in paths.items()}
+    # Inference reads each column by itself: from a columnar copy, so that the
+    # text is parsed once and not once a column.
+    texts = dict(zip(paths, side_by_side(lambda path: stage(read_text_table(spark, path), "stream-text"), paths.values())))
     catalog = infer_schema(texts)
     # The five streams are independent: start them all, then wait.
     running = [stream_raw_load(spark, path, name, struct_from_catalog(catalog, name), dest)
