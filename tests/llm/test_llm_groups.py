@@ -217,6 +217,43 @@ def test_components_of_long_paths_and_stars(spark):
     assert len(got) == 61 + 51
 
 
+def test_near_groups_writes_small_tables_as_few_files(spark, monkeypatch):
+    """Every file costs a local executor child processes, so a table of few rows
+    must not have one a partition; the groups stay the same."""
+    files, staged = {}, near_dedup.staged
+
+    def counted(df, purpose, *args):
+        out = staged(df, purpose, *args)
+        files.setdefault(purpose, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    base = " ".join(f"w{k}" for k in range(60))
+    data = [(i, f"{base} end{i}") for i in range(40)] + [(100 + i, f"other{i} text{i} of its{i} own{i}") for i in range(40)]
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.component_id for r in
+               near_dedup.near_groups(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 if i < 100 else i for i, _ in data}
+    assert {"near-shared", "near-members", "near-texts", "near-pairs", "near-left", "components"} <= set(files)
+    assert {k: max(v) for k, v in files.items() if k not in ("near-signatures", "near-links") and max(v) > 1} == {}
+
+
+def test_staged_keeps_rows_in_fewer_files(spark):
+    from tillsight.llm.common import staged
+    df = spark.range(0, 1000, 1, 20)
+    assert len(staged(df, "t").inputFiles()) == 20
+    for bound, a_file, want in ((1000, 50_000, 1), (1000, 250, 4), (0, 250, 1), (10_000, 10, 20)):
+        out = staged(df, "t", bound, a_file)
+        assert len(out.inputFiles()) == want and sorted(r.id for r in out.collect()) == list(range(1000))
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
     from tillsight.llm import decontaminate, line_dedup, toxicity

@@ -47,6 +47,7 @@ WIDTH, PERCENT = 2, 80
 SEED = 5
 KNOWN_WORDS = 100_000
 BATCH_ROWS = 1000  # of texts handed to Python at a time
+TEXTS_A_FILE = 4000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -181,22 +182,25 @@ def compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, _LINK)
 
 
-def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
+def components(links: DataFrame, first: str = "a", second: str = "b", rows: int | None = None) -> DataFrame:
     """``node`` and ``root`` (the smallest node reachable) of every node in
-    ``links``, by alternating large-star and small-star steps."""
+    ``links``, by alternating large-star and small-star steps. ``rows``, if
+    known, is the number of links."""
     edges = staged(links.select(F.greatest(first, second).alias("u"), F.least(first, second).alias("v"))
-                   .filter("u != v").distinct(), "components")
+                   .filter("u != v").distinct(), "components", rows)
     mark = None
     while True:
+        size = mark[0] if mark else rows  # a step reads two rows an edge
+        size = None if size is None else 2 * size
         # Large star: every node's larger neighbours hang on its smallest one.
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written, so that the rows of a node with very many links can be split.
-        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components", size)
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: every node and its smaller neighbours hang on the smallest.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = staged(small.unionAll(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "components")
+        new = staged(small.unionAll(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "components", size)
         before, mark = mark, tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         discard(edges, low)
         edges = new
@@ -212,41 +216,44 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``component_id`` and ``kept``."""
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         signed = staged(signatures(docs, id_col, text_col, width), "near-signatures")
+    n_docs = signed.count()
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"))
     entries = classes.select("node", "n", F.posexplode("bands").alias("band", "key")) \
         .select("node", "n", F.xxhash64("band", "key").alias("bucket"))
-    shared = staged(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "near-shared")
-    members = staged(entries.join(shared, "bucket"), "near-members")
+    shared = staged(entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"),
+                    "near-shared", BANDS * n_docs)
+    n_members = shared.agg(F.sum("members")).first()[0] or 0
+    members = staged(entries.join(shared, "bucket"), "near-members", BANDS * n_docs)
     rank = members.groupBy("node").agg(F.sum("members").alias("rank"))
-    members = staged(members.join(rank, "node"), "near-ranked")
-    texts = staged(_texts(docs, signed, members.select("node").distinct(), id_col, text_col), "near-texts")
+    members = staged(members.join(rank, "node"), "near-ranked", n_members)
+    texts = staged(_texts(docs, signed, members.select("node").distinct(), id_col, text_col), "near-texts", n_docs, TEXTS_A_FILE)
     leaders = staged(members.groupBy("bucket").agg(F.max(F.struct("rank", "node", "n")).alias("lead"))
-                     .select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "near-leaders")
+                     .select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "near-leaders", n_members)
     followers = members.select("bucket", "node", "n").join(leaders, "bucket").filter("node != lead")
 
     # The leader of a bucket against the others, each pair once.
     pairs = staged(followers.filter(100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n"))
-                   .select("lead", "node").distinct(), "near-pairs")
+                   .select("lead", "node").distinct(), "near-pairs", n_members)
     blocks = pairs.groupBy("lead").agg(F.ceil(F.count("*") / passed).cast("int").alias("blocks"))
-    led = pairs.join(staged(blocks, "near-blocks"), "lead").select(
+    led = pairs.join(staged(blocks, "near-blocks", n_members), "lead").select(
         F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).alias("key"), F.lit(1).alias("side"), "node")
     lead = blocks.select("lead", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")).select(
         F.xxhash64("lead", "block").alias("key"), F.lit(0).alias("side"), F.col("lead").alias("node"))
     own = led.unionAll(lead).join(texts, "node").withColumn("root", F.col("node"))
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         links = staged(compare(own, width, percent), "near-links")
-    roots = components(links)
+    roots = components(links, rows=links.count())
 
     # What is left of a bucket: members outside its largest component against all.
     left = staged(followers.select("bucket", "node").join(roots, "node", "left")
-                  .select("bucket", "node", F.coalesce("root", "node").alias("root")), "near-left")
+                  .select("bucket", "node", F.coalesce("root", "node").alias("root")), "near-left", n_members)
     parts = left.groupBy("bucket", "root").agg(F.count("*").alias("members"))
     split = staged(parts.groupBy("bucket").agg(F.max(F.struct("members", "root")).alias("main"), F.sum("members").alias("all"))
                    .filter("main.members < all")
                    .select("bucket", F.col("main.root").alias("main"),
                            F.ceil((F.col("all") - F.col("main.members")) / held).cast("int").alias("rows"),
-                           F.ceil(F.col("all") / passed).cast("int").alias("columns")), "near-split")
+                           F.ceil(F.col("all") / passed).cast("int").alias("columns")), "near-split", n_members)
     todo = left.join(split, "bucket")
     row, column = F.pmod(F.xxhash64("node"), F.col("rows")).cast("int"), F.pmod(F.xxhash64("node"), F.col("columns")).cast("int")
     outside = todo.filter("root != main").select("bucket", "node", "root", row.alias("row"), F.explode(
@@ -258,12 +265,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = staged(compare(blocks.join(texts, "node"), width, percent), "near-links")
     # These links are between roots, so the components of the few roots that
     # they join are enough.
-    above = components(more).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    above = components(more, rows=more.count()).select(F.col("node").alias("root"), F.col("root").alias("above"))
     named = signed.groupBy("node").agg(F.min("id").alias("id")).filter("node IS NOT NULL").join(roots, "node", "left") \
         .select("node", "id", F.coalesce("root", "node").alias("root")).join(above, "root", "left") \
         .select(F.col("node").alias("_node"), "id", F.coalesce("above", "root").alias("_root"))
-    least = staged(named.groupBy("_root").agg(F.min("id").alias("least")), "near-least")
-    final = staged(named.join(least, "_root").select("_node", "least"), "near-final")
+    least = staged(named.groupBy("_root").agg(F.min("id").alias("least")), "near-least", n_docs)
+    final = staged(named.join(least, "_root").select("_node", "least"), "near-final", n_docs)
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
     return (signed.select("id", "n", "node").join(final, F.col("node") == F.col("_node"), "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
