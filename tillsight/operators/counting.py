@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 # Workers get these functions with the job; they need not find this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-AT_ONCE = 1_000_000
+AT_ONCE = 250_000
 
 
 def met_counter(n: int | None, at_once: int = AT_ONCE) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -79,60 +79,60 @@ def numbered(a: pa.Array, p: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
             place[known.indices.to_numpy()], len(order))
 
 
-def grouped(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each distinct key (at most ``most``), ascending: where it is once, and how
+def grouped(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys (all under ``most``), ascending, where each is once, and how
     often it occurs. Where there is room the place is sorted with the key, which is
     several times faster than to sort places."""
     bits = max(1, len(key) - 1).bit_length()
     if (most << bits) < 2 ** 63:
-        key = np.sort((key << bits) | np.arange(len(key)))
-        place, key = key & ((1 << bits) - 1), key >> bits
+        place = np.sort((key << bits) | np.arange(len(key)))
+        key = place >> bits
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        place = place[starts] & ((1 << bits) - 1)
     else:
         place = np.argsort(key)
         key = key[place]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return place[starts], np.diff(np.r_[starts, len(key)])
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        place = place[starts]
+    return key[starts], place, np.diff(np.r_[starts, len(key)])
 
 
 def count(rows: pa.Table, n: int | None) -> pa.RecordBatch:
-    """The counts of ``rows``, which hold all purchases of their products."""
+    """The counts of ``rows``, which hold all purchases of their products, by product."""
     a = rows["a"].combine_chunks()
     lists = rows["p"].combine_chunks()
     p = lists.flatten()
-    sizes = pc.list_value_length(lists).to_numpy()
     own, other, numbers = numbered(a, p)
     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    product = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(own)]))
-    at = np.repeat(np.arange(len(own)), sizes)  # the purchase of each cell
-    cells = np.flatnonzero(other != own[at])
-    key = product[at[cells]] * numbers + other[cells]
-    if not len(key):
-        once, met = cells, cells
-    else:
-        once, met = grouped(key, len(starts) * numbers)
-        once = cells[once]
-    nb = rows["n"].combine_chunks().flatten().to_numpy().astype(np.int64)
+    product = np.repeat(np.arange(len(starts)) * numbers, np.diff(np.r_[starts, len(own)]))
+    key = np.repeat(product, pc.list_value_length(lists).to_numpy())
+    key += other
+    key, once, met = grouped(key, len(starts) * numbers)
+    product = key // numbers
+    b = key - product * numbers
+    nb = rows["n"].combine_chunks().flatten().to_numpy()[once].astype(np.int64)
+    keep = b != own[starts][product]
     if n is not None:
         # Whoever met once must be among the rarest that any of the lists begins with.
         edge = np.minimum.reduceat(rows["edge"].combine_chunks().to_numpy().astype(np.int64), starts)
-        keep = (met > 1) | (nb[once] <= edge[product[at[once]]])
-        once, met = once[keep], met[keep]
-    nb, of = nb[once], at[once]
+        keep &= (met > 1) | (nb <= edge[product])
+    once, met, product, b, nb = once[keep], met[keep], product[keep], b[keep], nb[keep]
+    of = starts[product]
     na = rows["na"].combine_chunks().to_numpy().astype(np.int64)[of]
     out = {"met": met, "na": na, "nb": nb}
     if n is None:
-        for c, values in (("ha", lambda: rows["ha"].to_numpy()[of]),
-                          ("hb", lambda: rows["h"].combine_chunks().flatten().to_numpy()[once])):
-            out[c] = values() if c[0] in rows.column_names else np.zeros(len(of), np.int64)
+        known = "h" in rows.column_names
+        out["ha"] = rows["ha"].combine_chunks().to_numpy()[of] if known else np.zeros(len(of), np.int64)
+        out["hb"] = rows["h"].combine_chunks().flatten().to_numpy()[once] if known else np.zeros(len(of), np.int64)
     else:
         similarity = met.astype(float) / np.sqrt((na * nb).astype(float))
-        order = np.lexsort((other[once], -similarity, product[of]))
-        group = product[of[order]]
+        order = np.lexsort((b, -similarity, product))
+        group = product[order]
         begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
         rank = np.arange(len(group)) - np.repeat(begin, np.diff(np.r_[begin, len(group)])) + 1
         order, rank = order[rank <= n], rank[rank <= n]
         out = {c: x[order] for c, x in out.items()} | {"similarity": similarity[order], "rank": rank}
         of, once = of[order], once[order]
-    plain = {c: pa.array(x, pa.int32() if c == "rank" else pa.float64() if c == "similarity" else pa.int64()) for c, x in out.items()}
-    found = {"a": a.take(pa.array(of)), "b": p.take(pa.array(once))} | plain
+    kinds = {"rank": pa.int32(), "similarity": pa.float64()}
+    found = {"a": a.take(pa.array(of)), "b": p.take(pa.array(once))} | {c: pa.array(x, kinds.get(c, pa.int64())) for c, x in out.items()}
     return pa.RecordBatch.from_arrays(list(found.values()), names=list(found))

@@ -49,7 +49,7 @@ COUNTS_PER_TASK = 4_000_000
 MANY_BUYERS = 10_000
 # Products of lists dealt in one round: so many at least, or so many a purchase.
 CELLS_PER_ROUND = 100_000_000
-CELLS_PER_PURCHASE = 6
+CELLS_PER_PURCHASE = 4
 PURCHASES_PER_FILE = 200_000
 
 
